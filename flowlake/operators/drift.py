@@ -13,8 +13,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowlake.contract import columns_of_kind, common_columns
 from flowlake.functions.scalar import quoted
+from flowlake.operators.lookup import bounded
 from flowlake.operators.ordered import running_totals
 from flowlake.operators.sampling import sample_per_class
+from flowlake.session import materialize
 
 # Thresholds of the stored drift table and of the column tests.
 PSI_LIMIT, DATASET_SHARE, PSI_BINS, EPSILON = 0.2, 0.5, 10, 1e-6
@@ -66,7 +68,7 @@ def numeric_distances(reference: DataFrame, current: DataFrame, columns: list[st
 
     Columns without values on one side are left out.
     """
-    values = counted_values(reference, current, columns)
+    values = materialize(counted_values(reference, current, columns), "drift-values")
     bound = len(columns)
     cumulative = running_totals(values, "value", {"run_r": "r", "run_c": "c"}, ["feature"], bound)
     n, m = F.col("run_r_total"), F.col("run_c_total")
@@ -80,10 +82,13 @@ def numeric_distances(reference: DataFrame, current: DataFrame, columns: list[st
             picks.append(F.min(F.when(F.col("run_r") > rank, F.col("value"))).alias(f"{side}{i}"))
         place = at(F.col("n"))
         edges.append(F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * (place - F.floor(place)))
-    stats = (
+    # One row per column: it goes through the driver once instead of being
+    # computed in both branches below.
+    stats = bounded(
         cumulative.filter((n > 0) & (m > 0)).groupBy("feature")
         .agg(F.max(n).alias("n"), F.max(m).alias("m"), F.max(gap).alias("ks_statistic"), *picks)
-        .select("feature", "n", "m", "ks_statistic", F.array_sort(F.array_distinct(F.array(*edges))).alias("edges"))
+        .select("feature", "n", "m", "ks_statistic", F.array_sort(F.array_distinct(F.array(*edges))).alias("edges")),
+        max_rows=bound,
     )
 
     # Bins hold their lower edge, the last one also its upper edge. A bin that
@@ -112,14 +117,19 @@ def drift_table(
     """The stored drift table: one row per numeric column with the dataset verdict on each."""
     columns = columns or common_columns(reference, current, numeric_only=True)
     measured = numeric_distances(reference, current, columns)
-    verdicts = measured.withColumn("drifted", (F.col("psi") > PSI_LIMIT).cast("int"))
+    verdicts = measured.withColumns(
+        {
+            "drifted": (F.col("psi") > PSI_LIMIT).cast("int"),
+            "ks_p_value": kolmogorov_p(F.col("ks_statistic"), F.col("n"), F.col("m")),
+        }
+    )
     share = F.avg("drifted").over(Window.partitionBy())
     size = lambda df: df.agg(F.count(F.lit(1)).alias("s")).scalar()
     return verdicts.select(
         "feature",
         F.round("psi", 6).alias("psi"),
         F.round("ks_statistic", 6).alias("ks_statistic"),
-        kolmogorov_p(F.col("ks_statistic"), F.col("n"), F.col("m")).alias("ks_p_value"),
+        "ks_p_value",
         "drifted",
         F.round(share, 4).alias("share_drifted"),
         (share > DATASET_SHARE).cast("int").alias("dataset_drift_detected"),

@@ -16,6 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowlake.operators.lookup import lookup_join
+from flowlake.session import materialize
 
 BUCKET = "__range"
 MAX_GROUPS = 5_000
@@ -138,9 +139,13 @@ def previous_value(
 def value_table(
     df: DataFrame, value: str, counts: dict[str, Column], groups: list[str] | None = None
 ) -> DataFrame:
-    """Distinct values with counts; NaN and null values are left out."""
+    """Distinct values with counts, as a stored table; NaN and null values are left out.
+
+    Boundaries, range ends and the ordered scan all read it.
+    """
     kept = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    return kept.groupBy(*(groups or []), value).agg(*[c.alias(name) for name, c in counts.items()])
+    counted = kept.groupBy(*(groups or []), value).agg(*[c.alias(name) for name, c in counts.items()])
+    return materialize(counted, "values")
 
 
 def quantiles_from_totals(

@@ -167,3 +167,14 @@ def mixed_segments(segments: DataFrame, label: str) -> DataFrame:
     )
 
 
+
+
+def histogram(df: DataFrame, column: str, edges: list[float]) -> DataFrame:
+    """Rows per bin of given edges, numbered from 1; values outside the edges are dropped.
+
+    A bin holds its lower edge, the last one also its upper edge.
+    """
+    value = quoted(column)
+    reached = F.size(F.filter(F.lit(edges), lambda e: e <= value))
+    inside = df.filter((value >= edges[0]) & (value <= edges[-1]))
+    return inside.groupBy(F.least(reached, F.lit(len(edges) - 1)).alias("bin")).agg(F.count(F.lit(1)).alias("n"))

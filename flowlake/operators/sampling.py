@@ -100,6 +100,27 @@ def cut_by_rank(
     return decided_rows.select(*columns, out).unionByName(ranked_rows.select(*columns, out))
 
 
+def seeded_places(df: DataFrame, id_column: str, seed: int = 42) -> DataFrame:
+    """Add ``place``, the row's position in the seeded order, from 1.
+
+    Rows are ranked inside key prefixes and the counts of the prefixes before
+    are added, so no task sees all rows.
+    """
+    columns = df.columns
+    keyed = df.withColumn("__h", order_key(id_column, seed)).withColumn(
+        "__b", F.conv(F.substring("__h", 1, PREFIX_DIGITS), 16, 10).cast("int")
+    )
+    earlier = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    before = keyed.groupBy("__b").agg(F.count(F.lit(1)).alias("__c")).select(
+        F.col("__b").alias("__p"), F.coalesce(F.sum("__c").over(earlier), F.lit(0)).alias("__before")
+    )
+    ranked = keyed.withColumn(
+        "__r", F.row_number().over(Window.partitionBy("__b").orderBy("__h", id_column))
+    )
+    joined = ranked.join(before, F.col("__b") == F.col("__p"))
+    return joined.select(*columns, (F.col("__before") + F.col("__r")).alias("place"))
+
+
 def sample_rows(df: DataFrame, n: int, id_column: str, seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows (or all, if there are fewer): the first n in seeded order."""
     marked = cut_by_rank(df, id_column, [], lambda size: [F.lit(n).cast("bigint")], "__s", seed)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "flowlake", master: str | None = None, **conf: str) -> SparkSession:
@@ -39,3 +39,14 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+
+
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame that several branches read, and read it back.
+
+    The lineage ends at shared files, so a lost executor costs a re-read and not
+    a recomputation, and the branches do not compute the frame once each.
+    """
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
