@@ -54,6 +54,74 @@ class Leaf:
     value: np.ndarray
 
 
+TABLE_BITS = 10  # up to this path size all outcomes of a path are tabulated
+CELLS = 2_000_000  # working size of one step in a task
+
+
+def path_weights(test: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Contribution of each test on a path to a leaf that pays 1.
+
+    A leaf pays out the product of its tests, where a feature outside the
+    coalition counts with its pass share. The Shapley weights are a Beta
+    integral, so the average over coalitions is the integral over t of
+    prod(test * t + share * (1 - t)), a polynomial that Gauss-Legendre nodes
+    integrate exactly.
+    """
+    nodes, masses = np.polynomial.legendre.leggauss((share.shape[-1] + 1) // 2)
+    weight = np.zeros(np.broadcast_shapes(test.shape, share.shape))
+    for t, mass in zip((nodes + 1) / 2, masses / 2):
+        factor = test * t + share * (1 - t)
+        weight += mass * factor.prod(axis=-1, keepdims=True) / factor
+    return (test - share) * weight
+
+
+class Paths:
+    """Leaves with equally long paths, evaluated together."""
+
+    def __init__(self, leaves: list[Leaf]):
+        self.features = np.array([leaf.features for leaf in leaves])
+        self.low = np.array([leaf.low for leaf in leaves])
+        self.high = np.array([leaf.high for leaf in leaves])
+        self.share = np.array([leaf.share for leaf in leaves])
+        values = np.array([leaf.value for leaf in leaves])
+        self.size = self.features.shape[1]
+        flat = self.features.ravel()
+        owner = np.repeat(np.arange(len(leaves)), self.size)
+        self.columns = [(f, np.flatnonzero(flat == f)) for f in np.unique(flat)]
+        self.values = [values[owner[cells]] for _, cells in self.columns]
+        self.table = None
+        if self.size <= TABLE_BITS:
+            outcomes = (np.arange(1 << self.size)[:, None] >> np.arange(self.size)) & 1
+            self.table = path_weights(outcomes[None].astype(float), self.share[:, None, :])
+
+    def add_to(self, result: np.ndarray, rows: np.ndarray) -> None:
+        step = max(1, CELLS // self.features.size)
+        for start in range(0, len(rows), step):
+            x = rows[start : start + step][:, self.features]
+            test = (x > self.low) & (x <= self.high)
+            if self.table is None:
+                part = path_weights(test.astype(float), self.share)
+            else:
+                outcome = test @ (1 << np.arange(self.size))
+                part = self.table[np.arange(len(self.features)), outcome]
+            part = part.reshape(len(x), -1)
+            for (feature, cells), values in zip(self.columns, self.values):
+                result[start : start + step, :, feature] += part[:, cells] @ values
+
+
+def group_paths(leaves: list[Leaf]) -> list[Paths]:
+    sizes = sorted({len(leaf.features) for leaf in leaves})
+    return [Paths([leaf for leaf in leaves if len(leaf.features) == size]) for size in sizes]
+
+
+def shapley_values(rows: np.ndarray, paths: list[Paths], outputs: int) -> np.ndarray:
+    """Exact path-dependent Shapley values, shaped (row, output, feature)."""
+    result = np.zeros((len(rows), outputs, rows.shape[1]))
+    for group in paths:
+        group.add_to(result, rows)
+    return result
+
+
 def _saved_nodes(spark: SparkSession, model) -> dict[int, dict[int, object]]:
     """Nodes of a tree ensemble by tree and id, read from its saved form.
 
@@ -112,40 +180,12 @@ def forest_leaves(spark: SparkSession, classifier: Classifier) -> list[Leaf]:
     return leaves
 
 
-def shapley_values(rows: np.ndarray, leaves: list[Leaf], outputs: int) -> np.ndarray:
-    """Exact path-dependent Shapley values, shaped (row, output, feature).
-
-    A leaf pays out the product of its features' tests, where a feature outside
-    the coalition counts with its pass share. The Shapley weights are a Beta
-    integral, so the average over coalitions is the integral over t of
-    prod(test * t + share * (1 - t)), a polynomial that Gauss-Legendre nodes
-    integrate exactly.
-    """
-    result = np.zeros((len(rows), outputs, rows.shape[1]))
-    nodes = {}
-    for leaf in leaves:
-        size = len(leaf.features)
-        order = (size + 1) // 2
-        if order not in nodes:
-            x, w = np.polynomial.legendre.leggauss(order)
-            nodes[order] = ((x + 1) / 2, w / 2)
-        x = rows[:, leaf.features]
-        test = ((x > leaf.low) & (x <= leaf.high)).astype(float)
-        weight = np.zeros_like(test)
-        for t, w in zip(*nodes[order]):
-            factor = test * t + leaf.share * (1 - t)
-            weight += w * factor.prod(axis=1, keepdims=True) / factor
-        part = (test - leaf.share) * weight
-        result[:, :, leaf.features] += part[:, None, :] * leaf.value[None, :, None]
-    return result
-
-
 def forest_contributions(
     matrix: DataFrame, classifier: Classifier, keep: list[str], out: str = "contributions"
 ) -> DataFrame:
     """The ``keep`` columns, the row's feature values and one contribution array per class."""
     spark = matrix.sparkSession
-    leaves = spark.sparkContext.broadcast(forest_leaves(spark, classifier))
+    paths = spark.sparkContext.broadcast(group_paths(forest_leaves(spark, classifier)))
     outputs = 1 if classifier.kind == "boosted_binary" else len(classifier.classes)
     row = F.array(*[quoted(c).cast("double") for c in classifier.features]).alias("__row")
     kinds = {f.name: f.dataType.simpleString() for f in matrix.schema}
@@ -153,7 +193,7 @@ def forest_contributions(
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            values = shapley_values(np.stack(batch["__row"].to_numpy()), leaves.value, outputs)
+            values = shapley_values(np.stack(batch["__row"].to_numpy()), paths.value, outputs)
             yield batch.assign(**{out: [list(map(list, row)) for row in values]})
 
     return matrix.select(*[quoted(c) for c in keep], row).mapInPandas(explain, schema)
@@ -189,7 +229,7 @@ def global_importance(matrix: DataFrame, classifier: Classifier) -> DataFrame:
         means = _linear_means(matrix, classifier)
         return importance_table(means, classifier.version)
     spark = matrix.sparkSession
-    leaves = spark.sparkContext.broadcast(forest_leaves(spark, classifier))
+    paths = spark.sparkContext.broadcast(group_paths(forest_leaves(spark, classifier)))
     boosted = classifier.kind == "boosted_binary"
     classes = classifier.classes[1:] if boosted else classifier.classes
     features = classifier.features
@@ -198,7 +238,7 @@ def global_importance(matrix: DataFrame, classifier: Classifier) -> DataFrame:
     def totals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums, count = np.zeros((len(classes), len(features))), 0
         for batch in batches:
-            values = shapley_values(np.stack(batch["row"].to_numpy()), leaves.value, len(classes))
+            values = shapley_values(np.stack(batch["row"].to_numpy()), paths.value, len(classes))
             sums += np.abs(values).sum(axis=0)
             count += len(batch)
         if count:

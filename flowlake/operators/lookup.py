@@ -11,9 +11,8 @@ BOUNDED_ROWS = 10_000
 
 def attack_categories(spark: SparkSession) -> DataFrame:
     """The attack type to category lookup: nine constant rows."""
-    return spark.createDataFrame(
-        list(ATTACK_CATEGORIES.items()), "attack_type string, attack_category string"
-    )
+    rows = ", ".join(f"('{kind}', '{category}')" for kind, category in ATTACK_CATEGORIES.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS seed(attack_type, attack_category)")
 
 
 def bounded(df: DataFrame, max_rows: int = BOUNDED_ROWS) -> DataFrame | None:

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Row, functions as F, types as T
 
 from flowlake import contract
 from flowlake.functions.scalar import failure_summary, quoted
@@ -29,10 +29,6 @@ NON_NEGATIVE = (
     "TcpRtt", "SynAck", "AckDat",
 )
 
-RESULT_SCHEMA = (
-    "position int, expectation string, column string, success boolean, "
-    "element_count bigint, unexpected_count bigint, unexpected_percent double"
-)
 LOG_SCHEMA = T.StructType(
     [
         T.StructField("event_timestamp", T.TimestampType(), False),
@@ -52,18 +48,28 @@ class Expectation:
     values: tuple = ()
     minimum: float | None = None
 
-    def broken(self) -> Column:
-        """True where a value breaks the rule. Only the null rule looks at nulls."""
-        value = quoted(self.column)
+    def broken(self) -> str:
+        """Condition under which a value breaks the rule. Only the null rule looks at nulls."""
+        value = name_sql(self.column)
         if self.kind == NOT_NULL:
-            return value.isNull()
+            return f"{value} IS NULL"
         if self.kind == IN_SET:
-            return value.isNotNull() & ~value.isin(*self.values)
+            return f"{value} NOT IN ({', '.join(value_sql(v) for v in self.values)})"
         if self.kind == BETWEEN:
-            return value.isNotNull() & (value < self.minimum)
+            return f"{value} < {self.minimum}"
         raise ValueError(f"{self.kind} has no row rule")
 
 
+def name_sql(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def value_sql(value) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
+
+
 def silver_suite() -> list[Expectation]:
     """The 61 checks on parsed flows, derived from the contract."""
     required = [*contract.REQUIRED, "Label", "attack_type", "attack_tool", "event_id", "schema_version"]
@@ -85,89 +91,99 @@ def silver_suite() -> list[Expectation]:
     ]
 
 
-def _result(position, kind, column, total, checked, bad) -> Column:
-    percent = F.when(checked > 0, F.lit(100.0) * bad / checked).otherwise(F.lit(0.0))
-    return F.struct(
-        F.lit(position).alias("position"),
-        F.lit(kind).alias("expectation"),
-        F.lit(column).alias("column"),
-        (bad == 0).alias("success"),
-        total.cast("bigint").alias("element_count"),
-        bad.cast("bigint").alias("unexpected_count"),
-        percent.cast("double").alias("unexpected_percent"),
+def _result(position: int, check: Expectation, total: str, checked: str, bad: str) -> str:
+    return (
+        f"named_struct('position', {position}, 'expectation', {value_sql(check.kind)}, "
+        f"'column', {value_sql(check.column)}, 'success', {bad} = 0, "
+        f"'element_count', {total}, 'unexpected_count', {bad}, "
+        f"'unexpected_percent', CASE WHEN {checked} > 0 THEN 100.0D * {bad} / {checked} ELSE 0.0D END)"
     )
 
 
-def validate(df: DataFrame, suite: list[Expectation]) -> DataFrame:
-    """One result row per check: success, unexpected count and percent.
+def _fixed(position: int, check: Expectation, success: bool, bad: int | None, percent: float | None) -> str:
+    count = "NULL" if bad is None else str(bad)
+    share = "NULL" if percent is None else repr(percent)
+    return (
+        f"named_struct('position', {position}, 'expectation', {value_sql(check.kind)}, "
+        f"'column', {value_sql(check.column)}, 'success', {str(success).lower()}, "
+        f"'element_count', CAST(NULL AS bigint), 'unexpected_count', CAST({count} AS bigint), "
+        f"'unexpected_percent', CAST({share} AS double))"
+    )
+
 
-    The percent is over non-null values, for the null check over all rows. A
-    check on a column that is not there fails with null counts.
+class Suite:
+    """Checks turned into expressions once, for tables with the same columns.
+
+    A stream builds it before the first micro-batch and runs it on every one.
     """
-    spark = df.sparkSession
-    present = set(df.columns)
-    parts: list[DataFrame] = []
-    static: list[tuple] = []
-    aggregates: list[Column] = []
-    rows: list[Column] = []
-    for position, check in enumerate(suite, start=1):
-        if check.kind == COLUMNS_MATCH:
-            absent = len([name for name in check.values if name not in present])
-            percent = 100.0 * absent / len(check.values)
-            static.append((position, check.kind, check.column, absent == 0, None, absent, percent))
-        elif check.column not in present:
-            static.append((position, check.kind, check.column, False, None, None, None))
-        elif check.kind == UNIQUE:
+
+    def __init__(self, checks: list[Expectation], columns: list[str]):
+        self.checks = list(checks)
+        present = set(columns)
+        aggregates, rows = ["count(1) AS total"], []
+        self.unique: list[tuple[int, Expectation]] = []
+        for position, check in enumerate(self.checks, start=1):
+            if check.kind == COLUMNS_MATCH:
+                absent = len([name for name in check.values if name not in present])
+                rows.append(_fixed(position, check, absent == 0, absent, 100.0 * absent / len(check.values)))
+            elif check.column not in present:
+                rows.append(_fixed(position, check, False, None, None))
+            elif check.kind == UNIQUE:
+                self.unique.append((position, check))
+            else:
+                aggregates.append(f"count_if({check.broken()}) AS bad{position}")
+                checked = "total"
+                if check.kind != NOT_NULL:
+                    checked = f"n_{columns.index(check.column)}"
+                    counted = f"count({name_sql(check.column)}) AS {checked}"
+                    if counted not in aggregates:
+                        aggregates.append(counted)
+                rows.append(_result(position, check, "total", checked, f"bad{position}"))
+        self.aggregates = [F.expr(text) for text in aggregates]
+        self.rows = f"inline(array({', '.join(rows)}))" if rows else None
+
+    def validate(self, df: DataFrame) -> DataFrame:
+        """One result row per check: success, unexpected count and percent.
+
+        The percent is over non-null values, for the null check over all rows. A
+        check on a column that is not there fails with null counts.
+        """
+        parts = []
+        if self.rows:
+            parts.append(df.agg(*self.aggregates).selectExpr(self.rows))
+        for position, check in self.unique:
             # Every member of a repeated group is unexpected; nulls are not looked at.
-            groups = df.groupBy(quoted(check.column).alias("v")).agg(F.count(F.lit(1)).alias("c"))
-            zero = F.lit(0)
-            sums = groups.agg(
-                F.coalesce(F.sum("c"), zero).alias("total"),
-                F.coalesce(F.sum(F.when(F.col("v").isNotNull(), F.col("c"))), zero).alias("checked"),
-                F.coalesce(F.sum(F.when(F.col("v").isNotNull() & (F.col("c") > 1), F.col("c"))), zero)
-                .alias("bad"),
-            )
-            row = _result(position, check.kind, check.column, F.col("total"), F.col("checked"), F.col("bad"))
-            parts.append(sums.select(row.alias("r")).select("r.*"))
-        else:
-            aggregates.append(F.count_if(check.broken()).alias(f"bad{position}"))
-            checked = F.col("total")
-            if check.kind != NOT_NULL:
-                aggregates.append(F.count(quoted(check.column)).alias(f"n{position}"))
-                checked = F.col(f"n{position}")
-            rows.append(
-                _result(position, check.kind, check.column, F.col("total"), checked, F.col(f"bad{position}"))
+            counted = df.groupBy(quoted(check.column).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+            sums = counted.agg(
+                F.expr("coalesce(sum(c), 0) AS total"),
+                F.expr("coalesce(sum(c) FILTER (WHERE v IS NOT NULL), 0) AS checked"),
+                F.expr("coalesce(sum(c) FILTER (WHERE v IS NOT NULL AND c > 1), 0) AS bad"),
             )
-    if rows:
-        totals = df.agg(F.count(F.lit(1)).alias("total"), *aggregates)
-        parts.append(totals.select(F.inline(F.array(*rows))))
-    if static:
-        parts.append(spark.createDataFrame(static, RESULT_SCHEMA))
-    return reduce(DataFrame.unionByName, parts).orderBy("position")
+            parts.append(sums.selectExpr(f"inline(array({_result(position, check, 'total', 'checked', 'bad')}))"))
+        return reduce(DataFrame.unionByName, parts)
 
 
-def batch_record(results: DataFrame, batch_id: int, row_count: int, now: datetime | None = None) -> dict:
-    """The log row of a validated batch; only the result rows reach the driver."""
+def validate(df: DataFrame, checks: list[Expectation]) -> DataFrame:
+    """Run checks on one table; see :class:`Suite`."""
+    return Suite(checks, df.columns).validate(df)
+
+
+def batch_record(results: list[Row], batch_id: int, now: datetime | None = None) -> dict:
+    """The log row of a validated batch, from its collected results: one row per check."""
     failed = [
         f"{row['expectation']}({row['column']})"
-        for row in results.filter(~F.col("success")).orderBy("position").collect()
+        for row in sorted(results, key=lambda row: row["position"]) if not row["success"]
     ]
     return {
         "event_timestamp": now or datetime.now(timezone.utc),
         "batch_id": int(batch_id),
-        "row_count": int(row_count),
+        "row_count": max((row["element_count"] or 0 for row in results), default=0),
         "success": not failed,
         "n_failed_expectations": len(failed),
         "failed_expectation_summary": failure_summary(failed),
     }
 
 
-def row_count(results: DataFrame) -> int:
-    """Rows of the batch, read from its results instead of counting again."""
-    found = results.agg(F.max("element_count")).first()[0]
-    return int(found or 0)
-
-
 @dataclass(frozen=True)
 class SchemaTest:
     model: str

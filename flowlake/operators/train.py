@@ -187,12 +187,13 @@ def _fit(
 
 def fit_logistic(
     train: DataFrame, features: list[str], label: str, weight: str | None = "weight",
-    strength: float = 1.0, iterations: int = 1000, **kw,
+    strength: float = 1.0, iterations: int = 1000, tolerance: float = 1e-4, **kw,
 ) -> Classifier:
     """Multinomial logistic regression on standardised columns.
 
     ``strength`` divides the penalty of a summed loss; Spark averages the loss,
-    so the penalty is divided by the total weight as well.
+    so the penalty is divided by the total weight as well. Training stops at
+    ``tolerance`` or after ``iterations``.
     """
 
     def make(vectors: DataFrame, k: int):
@@ -200,7 +201,7 @@ def fit_logistic(
         extra = {"weightCol": weight} if weight else {}
         return LogisticRegression(
             featuresCol="features", labelCol="label_index", family="multinomial", maxIter=iterations,
-            regParam=1.0 / (strength * total), standardization=False, **extra,
+            tol=tolerance, regParam=1.0 / (strength * total), standardization=False, **extra,
         ).fit(vectors)
 
     return _fit("logistic", train, features, label, make, weight, scaled=True, **kw)

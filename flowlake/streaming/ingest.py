@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowlake import contract
-from flowlake.operators.quality import LOG_SCHEMA, Expectation, batch_record, row_count, silver_suite, validate
+from flowlake.operators.quality import LOG_SCHEMA, Expectation, Suite, batch_record, silver_suite
 from flowlake.sources.writers import write_batch
 
 
@@ -47,21 +47,19 @@ def checked_batch_writer(
     Checks inform and never hold a batch back. The suite is built once. An empty
     batch writes and logs nothing.
     """
-    suite = silver_suite() if suite is None else suite
+    checks = Suite(silver_suite() if suite is None else suite, list(contract.SILVER_COLUMNS))
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        # Read once: the write and the checks both need it.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if batch.isEmpty():
                 return
             write_batch(batch, silver_path, batch_id, ["attack_type"], fmt, "silver")
-            results = validate(batch, suite).persist()
-            try:
-                record = batch_record(results, batch_id, row_count(results))
-            finally:
-                results.unpersist()
-            log = spark.createDataFrame([record], LOG_SCHEMA).drop("batch_id" if fmt != "delta" else "")
+            record = batch_record(checks.validate(batch).collect(), batch_id)
+            log = spark.createDataFrame([record], LOG_SCHEMA)
+            log = log if fmt == "delta" else log.drop("batch_id")
             write_batch(log, log_path, batch_id, fmt=fmt, app="quality_log")
         finally:
             batch.unpersist()
