@@ -452,3 +452,53 @@ def _(t):
         train.with_balanced_weight(split.filter("split = 'train'"), "kind"), names, "kind"
     )
     return evaluate.class_report(score.score_matrix(split.filter("split <> 'train'"), model), "kind", "predicted_class")
+
+
+# ---- ranking of contributions ------------------------------------------------
+
+# A fixed linear score stands in for a model: weight times value, per class.
+PARTS = {"Dur": 0.5, "Rate": -2.0, "sHops": 1.25, "TotPkts": 0.03, "sMeanPktSz": -0.02, "pLoss": 40.0, "TcpRtt": 75.0}
+PARTS_SQL = ", parts AS (" + " UNION ALL ".join(
+    f"""SELECT event_id, attack_type AS class, '{c}' AS feature, CAST("{c}" AS double) AS value, "{c}" * {w}::double AS contribution FROM flows"""
+    for c, w in PARTS.items()
+) + ")"
+
+
+@query(
+    "a18_mean_contributions",
+    on_flows(PARTS_SQL + """, means AS (SELECT class, feature, avg(abs(contribution)) AS v FROM parts GROUP BY 1, 2),
+      both_ AS (SELECT * FROM means UNION ALL SELECT 'Overall', feature, avg(v) FROM means GROUP BY 2)
+      SELECT '1' AS model_version, class, feature, round(v, 6) AS mean_abs_shap,
+        row_number() OVER (PARTITION BY class ORDER BY v DESC, feature) AS feature_rank FROM both_"""),
+)
+def _(t):
+    means = [F.avg(F.abs(F.col(c) * w)).alias(c) for c, w in PARTS.items()]
+    wide = t.flows.groupBy(F.col("attack_type").alias("class")).agg(*means)
+    long = wide.unpivot("class", list(PARTS), "feature", "mean_abs_shap")
+    return rounded(explain.importance_table(long, "1"))
+
+
+@query(
+    "w6_importance_rank",
+    on_flows(PARTS_SQL + """, means AS (SELECT class, feature, avg(abs(contribution)) AS v FROM parts GROUP BY 1, 2)
+      SELECT class, feature, row_number() OVER (PARTITION BY class ORDER BY v DESC, feature) AS feature_rank FROM means
+      QUALIFY feature_rank <= 3"""),
+)
+def _(t):
+    means = [F.avg(F.abs(F.col(c) * w)).alias(c) for c, w in PARTS.items()]
+    wide = t.flows.groupBy(F.col("attack_type").alias("class")).agg(*means)
+    ranked = explain.importance_table(wide.unpivot("class", list(PARTS), "feature", "mean_abs_shap"), "1")
+    return ranked.filter("class <> 'Overall' AND feature_rank <= 3").select("class", "feature", "feature_rank")
+
+
+@query(
+    "w7_top_features_per_row",
+    on_flows(PARTS_SQL + """SELECT event_id, feature, round(value, 6) AS value, round(contribution, 6) AS shap_contribution FROM parts
+      QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY abs(contribution) DESC, feature) <= 5"""),
+)
+def _(t):
+    names = sorted(PARTS)
+    row = F.array(*[F.col(c).cast("double") for c in names])
+    parts = F.array(*[F.col(c) * PARTS[c] for c in names])
+    top = explain.top_features(row, parts, names)
+    return rounded(t.flows.select("event_id", F.inline(top)))
