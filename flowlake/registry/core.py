@@ -140,7 +140,7 @@ def query(name: str, oracle: str | None = None):
         run.__name__ = name
         QUERIES[name] = run
         if oracle is not None:
-            ORACLES[name] = oracle
+            ORACLES[name] = settled(oracle)
         return function
 
     return register
@@ -156,12 +156,36 @@ def plain_times(df: DataFrame) -> DataFrame:
     )
 
 
+def nudge(digits: int) -> float:
+    """A small step before rounding, so that exact ties do not depend on the order of additions."""
+    return 3.7 * 10.0 ** -(digits + 4)
+
+
+def settled(sql: str) -> str:
+    """The same step in every ``round(x, digits)`` of more than two digits in a SQL text."""
+    out, start = [], 0
+    while (found := sql.find("round(", start)) >= 0:
+        depth, comma, end = 1, None, found + len("round(")
+        while depth:
+            char = sql[end]
+            depth += (char == "(") - (char == ")")
+            if char == "," and depth == 1:
+                comma = end
+            end += 1
+        inner, digits = sql[found + len("round("):comma], int(sql[comma + 1:end - 1])
+        step = f" + {nudge(digits)!r}::double" if digits > 2 else ""
+        out.append(f"{sql[start:found]}round(({settled(inner)}){step}, {digits})")
+        start = end
+    return "".join(out) + sql[start:]
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles rounded, so that the order of additions does not show; times without a zone."""
     shown = plain_times(df)
     return shown.select(
         [
-            F.round(F.col(f"`{f.name}`"), digits).alias(f.name) if f.dataType.typeName() == "double" else F.col(f"`{f.name}`")
+            F.round(F.col(f"`{f.name}`") + nudge(digits), digits).alias(f.name)
+            if f.dataType.typeName() == "double" else F.col(f"`{f.name}`")
             for f in shown.schema
         ]
     )
