@@ -7,9 +7,11 @@ the Kolmogorov-Smirnov distance.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from flowlake.contract import columns_of_kind, common_columns
 from flowlake.functions.scalar import quoted
@@ -139,8 +141,40 @@ def drift_table(
     )
 
 
+def _upper_gamma(shape: float, x: float) -> float:
+    """Share of a gamma distribution above x: a series near zero, a continued fraction beyond."""
+    if x <= 0 or shape <= 0:
+        return 1.0
+    front = math.exp(shape * math.log(x) - x - math.lgamma(shape))
+    if x < shape + 1:
+        term = total = 1.0 / shape
+        k = shape
+        while term > total * 1e-16:
+            k += 1
+            term *= x / k
+            total += term
+        return max(0.0, 1.0 - front * total)
+    b, c = x + 1 - shape, 1e300
+    d = h = 1 / b
+    for i in range(1, 10_000):
+        a = i * (shape - i)
+        b += 2
+        d = 1 / (a * d + b)
+        c = b + a / c
+        h *= d * c
+        if abs(d * c - 1) < 1e-15:
+            break
+    return front * h
+
+
+@F.pandas_udf(T.DoubleType())
+def chi_square_p(statistic: pd.Series, freedom: pd.Series) -> pd.Series:
+    """Upper tail of the chi-square distribution; used on one row per column."""
+    return pd.Series([_upper_gamma(f / 2, x / 2) for x, f in zip(statistic, freedom)])
+
+
 def category_distances(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
-    """PSI, chi-square statistic and Jensen-Shannon distance of category shares per column."""
+    """PSI, chi-square test and Jensen-Shannon distance of category shares per column."""
     values = counted_values(reference, current, columns, "string")
     # One row per column; joined back by its bounded size, not by a window over the column.
     totals = values.groupBy("feature").agg(
@@ -153,13 +187,14 @@ def category_distances(reference: DataFrame, current: DataFrame, columns: list[s
     half = lambda x: F.when(x > 0, x * F.log2(x / middle)).otherwise(0.0)
     expected_r, expected_c = (r + c) * n / (n + m), (r + c) * m / (n + m)
     chi = (r - expected_r) * (r - expected_r) / expected_r + (c - expected_c) * (c - expected_c) / expected_c
-    return joined.groupBy("feature").agg(
+    found = joined.groupBy("feature").agg(
         F.max("n").alias("n"), F.max("m").alias("m"),
         _psi_terms(r, c, n, m).alias("psi"),
         F.sum(chi).alias("chi_square"),
         (F.max("levels") - 1).alias("degrees_of_freedom"),
         F.sqrt(F.greatest(F.sum(half(p) + half(q)) / 2, F.lit(0.0))).alias("js_distance"),
     )
+    return found.withColumn("p_value", chi_square_p("chi_square", "degrees_of_freedom"))
 
 
 def column_drift(reference: DataFrame, current: DataFrame, columns: list[str] | None = None) -> DataFrame:

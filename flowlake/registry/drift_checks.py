@@ -111,7 +111,7 @@ CATEGORY = SIDES + ", pairs AS (" + " UNION ALL ".join(
       CAST(degrees_of_freedom AS bigint) AS degrees_of_freedom, round(js_distance, 6) AS js_distance FROM distances"""),
 )
 def _(t):
-    return rounded(drift.category_distances(t.reference, t.current, CATEGORIES))
+    return rounded(drift.category_distances(t.reference, t.current, CATEGORIES).drop("p_value"))
 
 
 @query(

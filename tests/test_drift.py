@@ -85,6 +85,7 @@ def test_categories(spark):
     expected = table.sum(1, keepdims=True) * table.sum(0) / table.sum()
     assert row["js_distance"] == pytest.approx(math.sqrt(js))
     assert row["chi_square"] == pytest.approx(((table - expected) ** 2 / expected).sum())
+    assert row["p_value"] == pytest.approx(math.exp(-row["chi_square"] / 2))  # two degrees of freedom
     assert row["degrees_of_freedom"] == 2 and (row["n"], row["m"]) == (100, 50)
 
 
@@ -93,3 +94,11 @@ def test_column_drift_joins_kinds(spark):
     cur = spark.createDataFrame([(float(i), "y", "B") for i in range(50)], "v double, k string, prediction string")
     found = {r["feature"]: (r["kind"], r["drifted"]) for r in drift.column_drift(ref, cur).collect()}
     assert found == {"v": ("numeric", 0), "k": ("category", 1), "prediction": ("category", 0)}
+
+
+@pytest.mark.parametrize(
+    "statistic, freedom, p",
+    [(3.841459, 1, 0.05), (9.487729, 4, 0.05), (6.634897, 1, 0.01), (0.0, 3, 1.0), (1.0, 10, 0.999828), (100.0, 2, math.exp(-50))],
+)
+def test_chi_square_tail(statistic, freedom, p):
+    assert drift._upper_gamma(freedom / 2, statistic / 2) == pytest.approx(p, rel=1e-4)
