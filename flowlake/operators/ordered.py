@@ -15,7 +15,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from flowlake.operators.lookup import lookup_join
+from flowlake.operators.lookup import bounded
 from flowlake.session import materialize
 
 BUCKET = "__range"
@@ -28,10 +28,12 @@ def _bucket_root(df: DataFrame) -> int:
     return min(64, max(4, math.ceil(math.sqrt(width))))
 
 
-def _same(groups: list[str]) -> Column:
+def _same(groups: list[str], group_bound: int | None) -> Column:
+    """Equal groups. Without nulls a plain equality keeps the partitioning of the ordered scan."""
     match = F.lit(True)
     for g in groups:
-        match = match & F.col(f"`{g}`").eqNullSafe(F.col(f"`__{g}`"))
+        left, right = F.col(f"`{g}`"), F.col(f"`__{g}`")
+        match = match & (left.eqNullSafe(right) if group_bound is None else left == right)
     return match
 
 
@@ -40,13 +42,15 @@ def with_ranges(
 ) -> DataFrame:
     """Add a range number that grows with ``key`` within each group.
 
-    ``group_bound`` is for callers that know how many groups there can be, such
-    as one per column of a table; otherwise the groups are counted before their
-    boundaries are broadcast.
+    ``group_bound`` is for callers that know how many groups there can be and
+    that none is null, such as one per column of a table; otherwise the groups
+    are counted before their boundaries are broadcast.
 
     Boundaries come from an approximate-quantile sketch, so they only decide
-    how even the ranges are and never what the result is. A row finds its range
-    in two short steps over the boundaries.
+    how even the ranges are and never what the result is. They are computed once
+    and fixed before they are used: a sketch that is computed again may differ a
+    little, and all branches of a plan must agree on the ranges. A row finds its
+    range in two short steps over the boundaries.
     """
     groups = list(groups or [])
     root = _bucket_root(df)
@@ -55,23 +59,30 @@ def with_ranges(
         key, [i / count for i in range(1, count)], F.lit(max(1000, 20 * count))
     )
     if groups:
-        bounds = df.groupBy(*groups).agg(sketch.alias("__bounds"))
-        if group_bound is not None and group_bound <= MAX_GROUPS:
-            named = bounds.withColumnsRenamed({g: f"__{g}" for g in groups})
-            joined = df.join(F.broadcast(named), _same(groups), "left").drop(*[f"__{g}" for g in groups])
-        else:
-            joined = lookup_join(df, bounds, groups, max_rows=MAX_GROUPS)
+        every = F.transform(
+            F.sequence(F.lit(root - 1), F.lit(count - 2), F.lit(root)), lambda i: F.get("__bounds", i)
+        )
+        bounds = df.groupBy(*groups).agg(sketch.alias("__bounds")).withColumn("__steps", every)
+        limit = MAX_GROUPS if group_bound is None else group_bound
+        fixed = bounded(bounds, min(limit, MAX_GROUPS))
+        named = materialize(bounds, "ranges") if fixed is None else F.broadcast(fixed)
+        named = named.withColumnsRenamed({g: f"__{g}" for g in groups})
+        joined = df.join(named, _same(groups, group_bound), "left").drop(*[f"__{g}" for g in groups])
     else:
-        joined = df.withColumn("__bounds", df.agg(sketch).scalar())
-    coarse = F.transform(
-        F.sequence(F.lit(root), F.lit(count - 1), F.lit(root)), lambda i: F.get("__bounds", i - 1)
-    )
-    reached = lambda bounds: F.size(F.filter(bounds, lambda b: b <= F.col(key)))
+        found = df.agg(sketch.alias("b")).first()["b"]
+        kind = f"array<{df.schema[key].dataType.simpleString()}>"
+        joined = df.withColumns(
+            {
+                "__bounds": F.lit(found).cast(kind),
+                "__steps": F.lit(found[root - 1 :: root] if found else None).cast(kind),
+            }
+        )
+    reached = lambda bounds: F.coalesce(F.size(F.filter(bounds, lambda b: b <= F.col(key))), F.lit(0))
     return (
-        joined.withColumn("__coarse", F.coalesce(reached(coarse), F.lit(0)))
+        joined.withColumn("__coarse", reached(F.col("__steps")))
         .withColumn("__fine", F.slice("__bounds", F.col("__coarse") * root + 1, root - 1))
-        .withColumn(BUCKET, F.col("__coarse") * root + F.coalesce(reached(F.col("__fine")), F.lit(0)))
-        .drop("__bounds", "__coarse", "__fine")
+        .withColumn(BUCKET, F.col("__coarse") * root + reached(F.col("__fine")))
+        .drop("__bounds", "__steps", "__coarse", "__fine")
     )
 
 
@@ -103,7 +114,7 @@ def running_totals(
         *[F.coalesce(F.sum(f"__t_{out}").over(earlier), F.lit(0)).alias(f"__c_{out}") for out in inputs],
         *[F.sum(f"__t_{out}").over(group).alias(f"{out}_total") for out in inputs],
     )
-    joined = local.join(carried, _same(groups) & (F.col(BUCKET) == F.col("__carry_range")))
+    joined = local.join(carried, _same(groups, group_bound) & (F.col(BUCKET) == F.col("__carry_range")))
     return joined.select(
         *ranged.columns,
         *[(F.col(f"__l_{out}") + F.col(f"__c_{out}")).alias(out) for out in inputs],
@@ -132,7 +143,7 @@ def previous_value(
         F.col(BUCKET).alias("__carry_range"),
         F.lag("__end").over(Window.partitionBy(*groups).orderBy(BUCKET)).alias("__before"),
     )
-    joined = local.join(carried, _same(groups) & (F.col(BUCKET) == F.col("__carry_range")))
+    joined = local.join(carried, _same(groups, group_bound) & (F.col(BUCKET) == F.col("__carry_range")))
     return joined.select(*ranged.columns, F.coalesce("__lag", "__before").alias(out))
 
 

@@ -103,3 +103,32 @@ def test_histogram_closes_only_the_last_bin(spark):
     df = frame(spark, [-1.0, 0.0, 0.5, 1.0, 2.0, 2.1])
     found = {r["bin"]: r["n"] for r in profile.histogram(df, "v", [0.0, 1.0, 2.0]).collect()}
     assert found == {1: 2, 2: 2}
+
+
+def test_boundaries_are_fixed_before_use(spark):
+    """All branches of a plan must see the same ranges, so no branch may compute the sketch itself."""
+    df = spark.range(100).selectExpr("id", "id % 3 AS g", "CAST(id AS double) AS v")
+    for groups in ([], ["g"]):
+        plan = ordered.running_totals(df, "id", {"run": "v"}, groups)._jdf.queryExecution().optimizedPlan().toString()
+        assert "percentile_approx" not in plan
+
+
+def test_carry_join_does_not_shuffle_rows_again(spark):
+    df = spark.range(1000).selectExpr("id", "id % 3 AS g", "CAST(id AS double) AS v")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = ordered.running_totals(df, "id", {"run": "v"}, ["g"], 3)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    left = plan[plan.index("SortMergeJoin") :].split("__carry_range")[1].split("+- Sort [__g")[0]
+    assert left.count("Exchange hashpartitioning") == 1
+
+
+def test_many_groups_go_through_files(spark, monkeypatch):
+    df = spark.range(200).selectExpr("id", "id % 20 AS g", "CAST(1 AS double) AS v")
+    few = ordered.running_totals(df, "id", {"run": "v"}, ["g"]).select("id", "run", "run_total").orderBy("id").collect()
+    monkeypatch.setattr(ordered, "MAX_GROUPS", 5)
+    many = ordered.running_totals(df, "id", {"run": "v"}, ["g"]).select("id", "run", "run_total").orderBy("id").collect()
+    assert few == many and {r["run_total"] for r in few} == {10.0}
