@@ -7,11 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowlake.llm import bpe
+from flowlake.llm import bpe, language
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -24,6 +25,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op3_segmentation_unigrams(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from two thirds of them."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    model = language.fit(docs.filter(~held_out), "text", "lang", PIECES)
+    found = language.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query
 def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Every document encoded, and decoded from its ids."""
