@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowlake.llm import bpe, language
+from flowlake.llm import bpe, decontamination, language
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -35,6 +35,18 @@ def op3_segmentation_unigrams(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+@query
+def op6_positional_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark windows of ten words in every document, from a stored positional index."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontamination.contamination(docs, table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 @query
 def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Every document encoded, and decoded from its ids."""
