@@ -143,10 +143,11 @@ class Vocabulary:
     def encode_plain(self, text: str) -> bytes:
         pieces = self.pieces(text)
         kept = self.kept
-        new = set(pieces) - kept.keys()
+        distinct = set(pieces)
+        new = [p for p in distinct if p not in kept]
         if len(kept) + len(new) > REMEMBERED:
             kept.clear()
-            new = set(pieces)
+            new = distinct
         for piece in new:
             kept[piece] = self.encode_piece(piece)
         return b"".join(map(kept.__getitem__, pieces))

@@ -183,7 +183,7 @@ class WordScores(dict):
         self.rows = np.zeros((self.room, len(model.languages)))
 
     def learn(self, words: set[str]) -> None:
-        new = sorted(words - self.keys())
+        new = sorted(w for w in words if w not in self)
         if len(self) + len(new) > len(self.rows):
             self.clear()
             new = sorted(words)
