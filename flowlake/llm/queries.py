@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowlake.llm import bpe, decontamination, language
+from flowlake.llm import bpe, decontamination, language, near_dups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -35,6 +35,14 @@ def op3_segmentation_unigrams(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+@query
+def op5_bottom_k_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose sets of three-word shingles are equal to 85 per cent."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = near_dups.near_duplicates(docs, size=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept", "class_id")
+
+
 @query
 def op6_positional_index(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark windows of ten words in every document, from a stored positional index."""
