@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from flowlake.llm.packing import gaps, pack, pack_sorted, unpack_sorted
 from flowlake.session import scratch_path
 
 WORDS_AT_ONCE = 500_000
@@ -52,38 +53,6 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(FOLD).split() if text else []
 
 
-def pack(numbers: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted lists, one after the other, as variable-length gaps, and where each list begins in them.
-
-    ``starts`` are the first places of the lists in ``numbers``. Each gap is written in
-    groups of seven bits, low ones first; the top bit says that more follow.
-    """
-    gaps = numbers.astype(np.uint64)
-    gaps[1:] -= numbers[:-1].astype(np.uint64)
-    gaps[starts] = numbers[starts]
-    sizes = np.ones(len(gaps), np.int64)
-    for bits in (7, 14, 21, 28, 35):
-        sizes += gaps >= np.uint64(1 << bits)
-    ends = np.cumsum(sizes)
-    out = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
-    first = ends - sizes
-    for k in range(int(sizes.max(initial=0))):
-        has = sizes > k
-        more = (sizes[has] > k + 1).astype(np.uint8) << 7
-        out[first[has] + k] = ((gaps[has] >> np.uint64(7 * k)) & np.uint64(127)).astype(np.uint8) | more
-    return out, first[starts]
-
-
-def unpack(content: bytes) -> np.ndarray:
-    raw = np.frombuffer(content, np.uint8)
-    last = raw < 128
-    group = np.cumsum(last) - last
-    first = np.concatenate([[0], np.flatnonzero(last)[:-1] + 1]) if len(raw) else np.zeros(0, np.int64)
-    place = np.arange(len(raw)) - first[group]
-    values = (raw & 127).astype(np.int64) << (7 * place)
-    return np.cumsum(np.add.reduceat(values, first)) if len(raw) else np.zeros(0, np.int64)
-
-
 def block_rows(block: int, ids: list, texts: list) -> pa.RecordBatch:
     """Index rows of one block: its terms, and its directory as the row without a term."""
     number: defaultdict[bytes, int] = defaultdict(count().__next__)
@@ -100,10 +69,11 @@ def block_rows(block: int, ids: list, texts: list) -> pa.RecordBatch:
     order = np.argsort(terms, kind="stable")
     sizes = np.bincount(terms, minlength=len(number))
     first = np.concatenate([[0], np.cumsum(sizes)])[:-1].astype(np.int64)
-    content, offsets = pack(places[order], first) if len(terms) else (np.zeros(0, np.uint8), np.zeros(0, np.int64))
-    directory, _ = pack(np.array(starts), np.array([0]))
-    buffer = pa.py_buffer(content.tobytes() + directory.tobytes())
-    bounds = np.concatenate([offsets, [len(content), len(content) + len(directory)]]).astype(np.int32)
+    content, ends = pack(gaps(places[order], first))
+    directory = pack_sorted(np.array(starts))
+    buffer = pa.py_buffer(content.tobytes() + directory)
+    lists = np.concatenate([[0], ends])[np.append(first, len(terms))]
+    bounds = np.append(lists, len(content) + len(directory)).astype(np.int32)
     n = len(number) + 1
     return pa.RecordBatch.from_arrays(
         [
@@ -224,9 +194,9 @@ def search_part(index: DataFrame, items: list[tuple[int, str | None]], width: in
         postings, starts, ids = {}, np.zeros(1, np.int64), []
         for term, content, docs in zip(*(block.column(c).to_pylist() for c in ("term_no", "positions", "doc_ids"))):
             if term < 0:
-                starts, ids = unpack(content), docs
+                starts, ids = unpack_sorted(content), docs
             else:
-                postings[term] = unpack(content)
+                postings[term] = unpack_sorted(content)
         matches: list[list[dict]] = [[] for _ in ids]
         n_words = np.diff(starts) - 1
         for window, places in known.search(postings, slop):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowlake.llm import bpe, decontamination, language, near_dups
+from flowlake.llm import bpe, decontamination, interpolation, language, near_dups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -55,6 +55,15 @@ def op6_positional_index(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op7_deleted_interpolation(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document scored by a bigram model, learned from four fifths of them."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))
+    found = interpolation.score_documents(docs, "doc_id", "text", ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Every document encoded, and decoded from its ids."""

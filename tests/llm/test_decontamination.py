@@ -2,9 +2,6 @@ import hashlib
 import random
 import re
 
-import numpy as np
-import pytest
-
 from flowlake.llm import decontamination
 from flowlake.llm.queries import op6_positional_index
 
@@ -36,12 +33,6 @@ def got(frame):
     return sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in frame.collect()), key=str)
 
 
-@pytest.mark.parametrize("numbers", [[], [0], [5], [0, 1, 127, 128, 16384, 2097152, 1 << 33]])
-def test_packed_lists(numbers):
-    content, _ = decontamination.pack(np.array(numbers, np.int64), np.array([0] if numbers else [], np.int64))
-    assert decontamination.unpack(content.tobytes()).tolist() == numbers
-
-
 def test_against_brute_force(spark, monkeypatch):
     rng = random.Random(3)
     vocabulary = [f"w{i}" for i in range(6)] + ["Ünï", "the"]
