@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowlake.llm import bpe, decontamination, interpolation, language, near_dups
+from flowlake.llm import bpe, decontamination, interpolation, language, near_dups, outliers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -35,6 +35,12 @@ def op3_segmentation_unigrams(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+@query
+def op4_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    """Base rules, and outliers per language and source under robust covariances."""
+    return outliers.judge(table(spark, folder, "documents"))
+
+
 @query
 def op5_bottom_k_sketches(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose sets of three-word shingles are equal to 85 per cent."""
