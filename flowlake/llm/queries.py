@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowlake.llm import bpe, decontamination, interpolation, language, near_dups, outliers
+from flowlake.llm import bpe, decontamination, interpolation, language, licenses, near_dups, outliers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -80,3 +80,13 @@ def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op9_positional_rare_words(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and notices in every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return licenses.scan(docs).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word",
+        F.concat_ws(",", "base_labels").alias("base_labels"), F.concat_ws(",", "labels").alias("labels"), "score",
+    )
