@@ -188,7 +188,7 @@ def scan(
                 F.struct(notice["label"].alias("label"), first.alias("first_word"), F.least(F.lit(1.0), there / notice["all"]).alias("share")),
             )
 
-        rows = rows.withColumn("places", F.array_sort(F.array_compact(F.transform("__laid", compare))).cast(place))
+        rows = rows.withColumn("places", F.array_sort(F.array_distinct(F.array_compact(F.transform("__laid", compare)))).cast(place))
     else:
         rows = rows.withColumn("places", F.array().cast(place))
     labels = F.array_sort(F.array_union("__base", F.transform("places", lambda p: p["label"])))
