@@ -185,7 +185,7 @@ def scan(
             inside = F.concat(F.lit(" "), F.array_join(stretch, " "), F.lit(" "))
             return F.when(
                 (there >= share * notice["all"]) & inside.contains(notice["must"]),
-                F.struct(notice["label"].alias("label"), first.alias("first_word"), F.least(F.lit(1.0), there / notice["all"]).alias("share")),
+                F.struct(notice["label"].alias("label"), first.alias("first_word"), F.least(F.lit(1.0), F.round(there / notice["all"], 9)).alias("share")),
             )
 
         rows = rows.withColumn("places", F.array_sort(F.array_distinct(F.array_compact(F.transform("__laid", compare)))).cast(place))
