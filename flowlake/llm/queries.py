@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowlake.llm import bpe, decontamination, interpolation, language, licenses, near_dups, outliers
+from flowlake.llm import bpe, decontamination, interpolation, language, licenses, near_dups, outliers, site_style
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -90,3 +90,10 @@ def op9_positional_rare_words(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_base", "first_word", "last_word",
         F.concat_ws(",", "base_labels").alias("base_labels"), F.concat_ws(",", "labels").alias("labels"), "score",
     )
+
+
+@query
+def op10_site_style_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    found = site_style.extract(table(spark, folder, "pages"))
+    return found.select("page_id", "url", "text", "n_chars")
