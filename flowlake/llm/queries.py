@@ -7,12 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowlake.llm import bpe, decontamination, interpolation, language, licenses, near_dups, outliers, site_style
+from flowlake.llm import bpe, chat, decontamination, interpolation, language, licenses, near_dups, outliers, site_style, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -25,6 +26,39 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_offset_attribution(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every line of every document, encoded as whole documents."""
+    return token_counts.section_counts(table(spark, folder, "documents").select("doc_id", "text"), BYTE_RANKS)
+
+
+@query
+def op2_perspective_rotation(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation from the perspective of each of its speakers."""
+    found = chat.perspectives(table(spark, folder, "conversations"))
+    spans = F.transform("mask", lambda m: F.concat(m["start"], F.lit("-"), m["end"]))
+    return found.withColumn("mask", F.concat_ws(",", spans))
+
+
+SQL["op2_perspective_rotation"] = f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(CAST(floor(turn / {chat.SEGMENT}.0) AS BIGINT), -1) AS segment, turn, coalesce(role, 'unknown') AS role,
+    replace(coalesce(text, ''), '<|im_', '<| im_') || '<|im_end|>' || chr(10) AS body, coalesce(text, '') AS text
+  FROM conversations),
+speakers AS (SELECT DISTINCT conv_id, role AS perspective FROM turns WHERE role <> 'system'),
+pieces AS (
+  SELECT t.conv_id, t.segment, s.perspective, t.turn, t.role, t.text, t.body, t.role = s.perspective AS own,
+    '<|im_start|>' || CASE WHEN t.role = s.perspective THEN 'assistant' WHEN t.role = 'system' THEN 'system' ELSE 'user name=' || t.role END || chr(10) AS head
+  FROM turns t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
+placed AS (
+  SELECT *, row_number() OVER w AS k, CAST(sum(length(head) + length(body)) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto
+  FROM pieces WINDOW w AS (PARTITION BY conv_id, segment, perspective ORDER BY turn NULLS FIRST, role, text))
+SELECT conv_id, perspective, segment, CAST(count(*) AS INTEGER) AS n_turns, string_agg(head || body, '' ORDER BY k) AS text,
+  coalesce(string_agg(CAST(upto - length(body) AS VARCHAR) || '-' || CAST(upto - 1 AS VARCHAR), ',' ORDER BY k) FILTER (own), '') AS mask
+FROM placed GROUP BY conv_id, segment, perspective
+"""
+
+
 @query
 def op3_segmentation_unigrams(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document, learned from two thirds of them."""
