@@ -54,10 +54,15 @@ def json_safe(name: str, kind: T.DataType) -> Column:
     return column.cast("string")
 
 
-def event_id(number: Column, *content: Column) -> Column:
-    """``evt_<8 digits>_<8 hex>``; the suffix is a digest, so a replay repeats the id."""
-    digest = F.sha2(F.concat_ws("|", number.cast("string"), *[c.cast("string") for c in content]), 256)
-    return F.format_string("evt_%08d_%s", number.cast("long"), F.substring(digest, 1, 8))
+def event_id(*content: Column, number: Column | None = None) -> Column:
+    """``evt_<8 digits>_<24 hex>``: a number among equal rows, and a digest of the content.
+
+    The id is the row's own: a replay, another layout of the files or another capture
+    beside it do not change it. Nulls are written as a sign of their own.
+    """
+    parts = [F.coalesce(c.cast("string"), F.lit("\x00")) for c in content]
+    digest = F.sha2(F.concat_ws("\x1f", *parts), 256)
+    return F.format_string("evt_%08d_%s", (F.lit(0) if number is None else number).cast("long"), F.substring(digest, 1, 24))
 
 
 def missing_to_null(text: Column) -> Column:
@@ -75,9 +80,9 @@ def typed(text: Column, kind: str) -> Column:
     return F.coalesce(text.try_cast("bigint"), number.try_cast("bigint"))
 
 
-def failure_summary(names: list[str], limit: int = 10) -> str:
-    """The first failed checks as one log string."""
-    return "; ".join(names[:limit])
+def failure_summary(names: list[str]) -> str:
+    """All failed checks as one log string."""
+    return "; ".join(names)
 
 
 def quoted(name: str) -> Column:

@@ -28,11 +28,11 @@ MODELS = {"logistic": train.fit_logistic, "forest": train.fit_forest, "boosted":
 def publish(spark: SparkSession, capture: str, limit: int | None = None, seed: int = 42, **sink) -> None:
     """Send a raw capture as events in a seeded order, all of it or the first rows of that order."""
     raw = readers.read_capture(spark, capture)
-    # A capture has no id: rows are numbered by their place in its files.
-    numbered = raw.withColumn("__row", F.monotonically_increasing_id())
-    rows = writers.prepare_replay(numbered)
-    rows = sampling.shuffled_head(rows, limit, "__row", seed) if limit else sampling.shuffled(rows, "__row", seed)
-    writers.publish(writers.as_events(rows, F.col("__row")), **sink)
+    # A capture has no id: it is made of the row and its number among equal rows.
+    rows = writers.numbered(writers.prepare_replay(raw))
+    events = writers.as_events(rows, number=F.col("__number"))
+    events = sampling.shuffled_head(events, limit, "key", seed) if limit else sampling.shuffled(events, "key", seed)
+    writers.publish(events, **sink)
 
 
 def run_ingestion(
@@ -64,8 +64,7 @@ def run_training(spark: SparkSession, lake: str, kind: str = "forest", version:
 def run_scoring(spark: SparkSession, lake: str, interval: str | None = None, fmt: str = "parquet") -> None:
     """Score parsed flows that have not been scored yet and raise alerts."""
     model = train.Classifier.load(spark, f"{lake}/model")
-    flows = gold.silver_stream(spark, f"{lake}/silver", fmt)
-    ingest.finish([gold.start_scoring(flows, model, lake, interval, fmt)])
+    ingest.finish([gold.start_scoring(spark, f"{lake}/silver", model, lake, interval, fmt)])
 
 
 def export_performance(spark: SparkSession, lake: str) -> None:
@@ -77,17 +76,16 @@ def export_performance(spark: SparkSession, lake: str) -> None:
     )
 
 
-def export_importance(spark: SparkSession, lake: str, rows: int = 3000) -> None:
-    """Ranked contributions on a sample of the test set."""
+def export_importance(spark: SparkSession, lake: str) -> None:
+    """Ranked contributions over the test set."""
     model = train.Classifier.load(spark, f"{lake}/model")
-    sample = sampling.sample_rows(writers.load_split(spark, f"{lake}/splits", "test"), rows, "event_id")
-    writers.refresh_table(explain.global_importance(sample, model), "gold_shap_global")
+    writers.refresh_table(explain.global_importance(writers.load_split(spark, f"{lake}/splits", "test"), model), "gold_shap_global")
 
 
 def export_drift(spark: SparkSession, lake: str) -> None:
-    """Validation rows against the reference sample of the training rows."""
+    """Validation rows against all training rows."""
     model = train.Classifier.load(spark, f"{lake}/model")
-    reference = drift.reference_sample(writers.load_split(spark, f"{lake}/splits", "train"), "attack_type", "event_id")
+    reference = writers.load_split(spark, f"{lake}/splits", "train")
     current = writers.load_split(spark, f"{lake}/splits", "val")
     writers.refresh_table(drift.drift_table(reference, current, model.features), "gold_drift")
 

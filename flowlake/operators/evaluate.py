@@ -165,28 +165,33 @@ def binary_report(scored: DataFrame, truth: str, predicted: str, score: str) ->
 
 
 def smoke_verdicts(sent: DataFrame, predictions: DataFrame, truth: str = "attack_type") -> DataFrame:
-    """Did scoring return every row with its id, and do the answers vary and fit?
+    """Did scoring return every id once and no other, and do the answers vary and fit?
 
-    Benign rows are left out of the accuracy; how many were taken for UDPFlood
-    is only reported.
+    Both sides are brought to one row per id before the join. ``repeated`` counts the
+    predictions beyond one per id, ``unknown`` the predicted ids that were not sent.
+    Benign rows are left out of the accuracy; how many were taken for UDPFlood is only
+    reported.
     """
-    joined = sent.select("event_id", F.col(truth).alias("truth")).join(
-        predictions.select("event_id", F.col("predicted_class").alias("guess")), "event_id", "left"
+    asked = sent.groupBy("event_id").agg(F.min(truth).alias("truth"), F.lit(True).alias("asked"))
+    answers = predictions.groupBy("event_id").agg(F.min("predicted_class").alias("guess"), F.count(F.lit(1)).alias("answers"))
+    sides = asked.join(answers, "event_id", "full").groupBy("truth", "guess", "asked").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("answers") - 1).alias("beyond")
     )
-    sides = joined.groupBy("truth", "guess").agg(F.count(F.lit(1)).alias("n"))
-    returned = F.col("guess").isNotNull()
+    asked_for, answered = F.col("asked").isNotNull(), F.col("guess").isNotNull()
     attack = F.col("truth") != "Benign"
     n_if = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
     one = sides.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("sent"), n_if(returned).alias("returned"),
+        n_if(asked_for).alias("sent"), n_if(asked_for & answered).alias("returned"),
+        F.coalesce(F.sum("beyond"), F.lit(0)).alias("repeated"), n_if(~asked_for).alias("unknown"),
         F.count_distinct("guess").alias("classes"),
         n_if(attack).alias("attacks"), n_if(attack & (F.col("truth") == F.col("guess"))).alias("attack_hits"),
         n_if((F.col("truth") == "Benign") & (F.col("guess") == "UDPFlood")).alias("benign_as_udpflood"),
     )
     accuracy = F.when(F.col("attacks") > 0, F.col("attack_hits") / F.col("attacks")).otherwise(F.lit(1.0))
+    complete = (F.col("sent") == F.col("returned")) & (F.col("repeated") == 0) & (F.col("unknown") == 0)
     return one.select(
-        "sent", "returned", (F.col("sent") == F.col("returned")).alias("all_returned"),
+        "sent", "returned", "repeated", "unknown", complete.alias("all_returned"),
         "classes", (F.col("classes") > 1).alias("varied"),
         accuracy.alias("attack_accuracy"), (accuracy >= 0.80).alias("accurate"), "benign_as_udpflood",
-        ((F.col("sent") == F.col("returned")) & (F.col("classes") > 1) & (accuracy >= 0.80)).alias("passed"),
+        (complete & (F.col("classes") > 1) & (accuracy >= 0.80)).alias("passed"),
     )

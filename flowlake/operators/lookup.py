@@ -46,10 +46,11 @@ def join_predictions(predictions: DataFrame, flows: DataFrame, now: Column | Non
     """Put each flow's own time on predictions that were made elsewhere.
 
     Predictions without a flow, or with a flow that has no time, take the
-    scoring time.
+    scoring time. An id that several flows have takes their latest time, so no
+    prediction is multiplied.
     """
     now = F.current_timestamp() if now is None else now
-    times = flows.select("event_id", F.col("ingestion_timestamp").alias("flow_timestamp"))
+    times = flows.groupBy("event_id").agg(F.max("ingestion_timestamp").alias("flow_timestamp"))
     return predictions.join(times, "event_id", "left").withColumn(
         "flow_timestamp", F.coalesce("flow_timestamp", now)
     )

@@ -41,6 +41,14 @@ def null_rates(df: DataFrame, group: str, columns: list[str]) -> DataFrame:
     return df.groupBy(group).agg(*[F.avg(quoted(c).isNull().cast("int")).alias(c) for c in columns])
 
 
+def _as_text(df: DataFrame, name: str) -> Column:
+    """A value as text; equal numbers have equal texts, so -0.0 is 0.0."""
+    value = quoted(name)
+    if df.select(value).schema[0].dataType.typeName() in ("double", "float"):
+        value = F.when(value == 0, F.lit(0.0).cast(df.select(value).schema[0].dataType)).otherwise(value)
+    return value.cast("string")
+
+
 def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """Exact distinct non-null values per column.
 
@@ -48,7 +56,7 @@ def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     frequent value is shuffled once per task and not once per row.
     """
     pairs = F.explode(
-        F.array(*[F.struct(F.lit(n).alias("column_name"), quoted(n).cast("string").alias("v")) for n in columns])
+        F.array(*[F.struct(F.lit(n).alias("column_name"), _as_text(df, n).alias("v")) for n in columns])
     )
     distinct = df.select(pairs.alias("p")).select("p.*").distinct()
     return distinct.groupBy("column_name").agg(F.count("v").alias("distinct_values"))

@@ -8,9 +8,9 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowlake.contract import ATTACK_TYPES
-from flowlake.plans.event_flows import event_flows, flows_sql
+from flowlake.registry.event_flows import event_flows, flows_sql
 from flowlake.plans.marts import staging_flows
-from flowlake.session import scratch_path, spread
+from flowlake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,7 +35,7 @@ class Tables:
 
     @cached_property
     def events(self) -> DataFrame:
-        return spread(self.spark.read.parquet(f"{self.folder}/events.parquet"))
+        return self.spark.read.parquet(f"{self.folder}/events.parquet")
 
     @cached_property
     def flows(self) -> DataFrame:

@@ -430,13 +430,28 @@ def _(t):
     on_flows(SCORED_SQL + """, one AS (SELECT count(*) AS sent, count(predicted_class) AS returned, count(DISTINCT predicted_class) AS classes,
         avg(CASE WHEN attack_type = predicted_class THEN 1 ELSE 0 END) FILTER (attack_type <> 'Benign') AS acc,
         count(*) FILTER (attack_type = 'Benign' AND predicted_class = 'UDPFlood') AS benign_as_udpflood FROM scored)
-      SELECT sent, returned, sent = returned AS all_returned, classes, classes > 1 AS varied, round(acc, 6) AS attack_accuracy,
+      SELECT sent, returned, CAST(0 AS bigint) AS repeated, CAST(0 AS bigint) AS unknown, sent = returned AS all_returned, classes, classes > 1 AS varied, round(acc, 6) AS attack_accuracy,
         acc >= 0.8 AS accurate, benign_as_udpflood, sent = returned AND classes > 1 AND acc >= 0.8 AS passed FROM one"""),
 )
 def _(t):
     return rounded(evaluate.smoke_verdicts(t.flows, t.scored.select("event_id", "predicted_class")))
 
 
+@query(
+    "m30_repeated_and_missing",
+    on_flows("""SELECT sum(CASE WHEN row_id % 10 <> 3 THEN 1 ELSE 0 END)::bigint AS returned, count(*) AS sent,
+        sum(CASE WHEN row_id % 10 = 1 THEN 1 ELSE 0 END)::bigint AS repeated, CAST(1 AS bigint) AS unknown, false AS all_returned, false AS passed
+      FROM flows"""),
+)
+def _(t):
+    """Some predictions come twice, some not at all, one for an id that was never sent."""
+    scored = t.scored.filter("row_id % 10 <> 3").select("event_id", "predicted_class", "row_id")
+    twice = scored.unionByName(scored.filter("row_id % 10 = 1")).drop("row_id")
+    other = t.spark.sql("SELECT 'evt_other' AS event_id, 'Benign' AS predicted_class")
+    found = evaluate.smoke_verdicts(t.flows, twice.unionByName(other))
+    return found.select("sent", "returned", "repeated", "unknown", "all_returned", "passed")
+
+
 # ---- the multiclass table ----------------------------------------------------
 
 

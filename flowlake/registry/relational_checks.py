@@ -136,10 +136,10 @@ def _(t):
 @query(
     "fn_event_id",
     on_flows("""SELECT row_id, concat('evt_', lpad(CAST(row_id AS varchar), 8, '0'), '_',
-      substr(sha256(concat(CAST(row_id AS varchar), '|', schema_version)), 1, 8)) AS event_key FROM flows"""),
+      substr(sha256(concat(schema_version, chr(31), "Proto")), 1, 24)) AS event_key FROM flows"""),
 )
 def _(t):
-    return t.flows.select("row_id", scalar.event_id(F.col("row_id"), F.col("schema_version")).alias("event_key"))
+    return t.flows.select("row_id", scalar.event_id(F.col("schema_version"), F.col("Proto"), number=F.col("row_id")).alias("event_key"))
 
 
 @query(
@@ -148,7 +148,7 @@ def _(t):
 )
 def _(t):
     per_reply = t.flows.select("event_id", scalar.ratio(F.col("Rate"), F.col("DstPkts")).alias("x"))
-    return rounded(per_reply.select("event_id", scalar.finite(F.col("x")).alias("rate_per_reply")))
+    return rounded(per_reply.select("event_id", scalar.json_safe("x", per_reply.schema["x"].dataType).alias("rate_per_reply")))
 
 
 @query(
@@ -200,6 +200,11 @@ def _(t):
     return profile.distinct_counts(t.flows, CARDINAL)
 
 
+@query("a8_signed_zero", """SELECT 'z' AS column_name, count(DISTINCT CASE WHEN event_id % 3 = 0 THEN -0.0::double ELSE (event_id % 3 - 1)::double END) AS distinct_values FROM events""")
+def _(t):
+    return profile.distinct_counts(t.events.selectExpr("CASE WHEN event_id % 3 = 0 THEN -0.0D ELSE CAST(event_id % 3 - 1 AS double) END AS z"), ["z"])
+
+
 @query(
     "a8_distinct_per_group",
     on_flows('SELECT attack_type, count(DISTINCT "State") AS distinct_values FROM flows GROUP BY 1'),

@@ -9,8 +9,9 @@ from flowlake.registry.core import ALERTS_SQL, SCORED_SQL, add_rule_score, on_fl
 from flowlake.sources import readers, tables, writers
 from flowlake.streaming import gold, ingest
 
+EVENT_ID = "concat('evt_00000000_', substr(sha256(concat(schema_version, chr(31), CAST(row_id AS varchar))), 1, 24))"
 SILVER = on_flows(
-    "SELECT concat('evt_', lpad(CAST(row_id AS varchar), 8, '0'), '_', substr(sha256(concat(CAST(row_id AS varchar), '|', schema_version)), 1, 8)) AS event_id, "
+    f"SELECT {EVENT_ID} AS event_id, "
     + "ingestion_timestamp, schema_version, "
     + ", ".join(f'"{c}"' for c in (*contract.FEATURE_NAMES, *contract.INDICATORS, *contract.SILVER_LABELS))
     + " FROM flows"
@@ -20,13 +21,24 @@ SILVER = on_flows(
 def _events(t):
     """The flows as JSON events, as a producer would send them."""
     spaced = t.flows.withColumnsRenamed({v: k for k, v in contract.LABEL_RENAMES.items()})
-    return writers.as_events(spaced, F.col("row_id"), F.col("ingestion_timestamp"))
+    return writers.as_events(spaced, F.col("ingestion_timestamp"), content=[F.col("row_id")])
+
+
+def as_records(events):
+    """Events with the columns that a message log adds, for files that stand for one."""
+    return events.select(
+        "key", "value",
+        F.lit("flows-raw").alias("topic"),
+        F.spark_partition_id().alias("partition"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("offset"),
+        F.current_timestamp().alias("timestamp"),
+    )
 
 
 def _published(t):
     """The events in files that look like a message log, several files for several micro-batches."""
     path = t.scratch("topic")
-    writers.as_records(_events(t).repartition(4, "key")).write.json(path)
+    as_records(_events(t).repartition(4, "key")).write.json(path)
     return path
 
 
@@ -52,6 +64,17 @@ def _(t):
     return contract.drop_contract_columns(readers.read_capture(t.spark, path), strict=True)
 
 
+@query("s1_mixed_headers", RAW)
+def _(t):
+    """Two files of one capture with their columns in another order."""
+    path = t.scratch("mixed")
+    whole = _capture(t)
+    whole.filter("`Unnamed: 0` % 2 = 0").write.option("header", True).csv(path)
+    turned = whole.select(*[F.col(f"`{c}`") for c in reversed(whole.columns)])
+    turned.filter("`Unnamed: 0` % 2 = 1").write.mode("append").option("header", True).csv(path)
+    return contract.drop_contract_columns(readers.read_capture(t.spark, path), strict=True)
+
+
 @query("s2_parquet_scan", "SELECT * FROM events")
 def _(t):
     return readers.read_table(t.spark, f"{t.folder}/events.parquet")
@@ -99,8 +122,7 @@ def _(t):
 
 @query(
     "s7_publish_events",
-    on_flows("""SELECT concat('evt_', lpad(CAST(row_id AS varchar), 8, '0'), '_',
-        substr(sha256(concat(CAST(row_id AS varchar), '|', schema_version)), 1, 8)) AS key,
+    on_flows(f"""SELECT {EVENT_ID} AS key,
       "Proto" AS proto, CAST("TotPkts" AS varchar) AS packets, attack_type, schema_version FROM flows"""),
 )
 def _(t):
@@ -111,10 +133,16 @@ def _(t):
     )
 
 
-@query("p2_bronze_projection", on_flows("""SELECT concat('evt_', lpad(CAST(row_id AS varchar), 8, '0'), '_',
-        substr(sha256(concat(CAST(row_id AS varchar), '|', schema_version)), 1, 8)) AS kafka_key, 'flows-raw' AS topic FROM flows"""))
+@query("p2_bronze_projection", """SELECT CAST(event_id AS varchar) AS kafka_key, '{"user":' || user_id || '}' AS raw_json,
+      'flows-' || event_type AS topic, CAST(event_id % 4 AS integer) AS partition, event_id AS "offset", ts AS kafka_timestamp FROM events""")
 def _(t):
-    return ingest.raw_projection(writers.as_records(_events(t))).select("kafka_key", "topic")
+    records = t.events.select(
+        F.col("event_id").cast("string").cast("binary").alias("key"),
+        F.concat(F.lit('{"user":'), F.col("user_id"), F.lit("}")).cast("binary").alias("value"),
+        F.concat(F.lit("flows-"), "event_type").alias("topic"), (F.col("event_id") % 4).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"),
+    )
+    return plain_times(ingest.raw_projection(records))
 
 
 @query("p3_silver_parse", SILVER)
@@ -187,6 +215,11 @@ def _(t):
     )
 
 
+def _score(t, root, checkpoint="progress"):
+    step = gold.scoring_batch_writer(add_rule_score, f"{root}/predictions", f"{root}/alerts")
+    ingest.finish([gold.start_follower(t.spark, f"{root}/silver", step, f"{root}/{checkpoint}", max_batches=1)])
+
+
 def _scored_stream(t):
     """The parsed table followed as a stream and scored by the fixed rule."""
 
@@ -195,14 +228,7 @@ def _scored_stream(t):
         flows = t.flows.drop("row_id", "Seq")
         writers.write_batch(flows.filter("is_tcp = 1"), f"{root}/silver", 0, ["attack_type"])
         writers.write_batch(flows.filter("is_tcp = 0"), f"{root}/silver", 1, ["attack_type"])
-        step = gold.scoring_batch_writer(add_rule_score, f"{root}/predictions", f"{root}/alerts")
-        stream = gold.silver_stream(t.spark, f"{root}/silver", max_files=6)
-        ingest.finish(
-            [
-                stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{root}/progress")
-                .trigger(availableNow=True).start()
-            ]
-        )
+        _score(t, root)
         return root
 
     return t.kept("gold", make)
@@ -240,14 +266,47 @@ def _(t):
     )
 
 
+@query(
+    "t8_replayed_batch",
+    on_flows("SELECT count(*) AS predictions, count(*) AS ids, count(*) AS flows FROM flows"),
+)
+def _(t):
+    """A batch is stored and scored, stored again, as a restart does, and scored again, also from a new checkpoint."""
+    root, flows = t.scratch("replayed"), t.flows.drop("row_id", "Seq")
+    for checkpoint in ("progress", "progress", "progress-2"):
+        writers.write_batch(flows, f"{root}/silver", 0, ["attack_type"])
+        _score(t, root, checkpoint)
+    stored = gold.read_predictions(t.spark, f"{root}/predictions").agg(
+        F.count(F.lit(1)).alias("predictions"), F.count_distinct("event_id").alias("ids")
+    )
+    return stored.crossJoin(ingest.read_silver(t.spark, f"{root}/silver").agg(F.count(F.lit(1)).alias("flows")))
+
+
+@query(
+    "t8_new_checkpoint",
+    on_flows("SELECT count(*) AS flows, count(*) AS ids, CAST(2 AS bigint) AS streams FROM flows"),
+)
+def _(t):
+    """Two streams with checkpoints of their own store their batches 0 in one table."""
+    root = t.scratch("streams")
+    for part in (0, 1):
+        topic = f"{root}/topic{part}"
+        as_records(_events(t).filter(F.pmod(F.xxhash64("key"), F.lit(2)) == part)).write.json(topic)
+        records = readers.event_stream(t.spark, "json", topic)
+        ingest.finish([ingest.start_silver_sink(records, f"{root}/silver", f"{root}/log", f"{root}/progress{part}", None)])
+    stored = t.spark.read.parquet(f"{root}/silver")
+    return stored.agg(
+        F.count(F.lit(1)).alias("flows"), F.count_distinct("event_id").alias("ids"), F.count_distinct("stream_id").alias("streams")
+    )
+
+
 @query("t5_stream_scoring")
 def _(t):
     from flowlake.registry.model_checks import _forest
 
     root = t.scratch("model-gold")
     silver = _scored_stream(t)
-    query_ = gold.start_scoring(gold.silver_stream(t.spark, f"{silver}/silver"), _forest(t), root)
-    ingest.finish([query_])
+    ingest.finish([gold.start_scoring(t.spark, f"{silver}/silver", _forest(t), root)])
     return gold.read_predictions(t.spark, f"{root}/predictions")
 
 

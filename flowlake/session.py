@@ -40,7 +40,6 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
 
 
 
-
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write a frame that several branches read, and read it back.
 
@@ -50,12 +49,3 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     path = scratch_path(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a table that comes in fewer splits than there are cores.
-
-    Meant for plain scans: a large table has many splits and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

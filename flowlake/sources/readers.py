@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -27,11 +28,33 @@ RECORD_SCHEMA = T.StructType(
 def read_capture(spark: SparkSession, path: str) -> DataFrame:
     """A raw capture CSV with contract types, whatever the order of its columns.
 
-    Only the header line is looked at to learn the columns; there is no pass to
-    infer types. Text that does not parse becomes null, integers may be written
-    with a decimal point.
+    Files are grouped by their header line, each group is read by its own header, and the
+    groups are joined by name; a column that a group lacks is null there. There is no pass
+    to infer types. Text that does not parse becomes null, integers may be written with a
+    decimal point.
     """
-    text = spark.read.option("header", True).csv(path)
+    groups = capture_groups(spark, path)
+    if len(groups) > 1:
+        parts = [_typed_capture(spark.read.option("header", True).csv(files)) for files in groups]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return _typed_capture(spark.read.option("header", True).csv(path))
+
+
+def capture_groups(spark: SparkSession, path: str) -> list[list[str]]:
+    """The capture's files by header line; empty files are in none.
+
+    A task returns the first line of its file. The file names are the driver's business in
+    any scan; the lines are as few as there are files.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
+    first = lines.filter("at = 0").groupBy("file").agg(F.first("value").alias("header"))
+    groups: dict[str, list[str]] = {}
+    for row in first.collect():
+        groups.setdefault(row["header"], []).append(row["file"])
+    return [sorted(files) for _, files in sorted(groups.items())]
+
+
+def _typed_capture(text: DataFrame) -> DataFrame:
     kinds = {f.name: f.kind for f in contract.FEATURES}
     kinds |= {name: "category" for name in contract.LABELS}
     # The leftover index of an export has an empty header.
@@ -66,31 +89,32 @@ def event_stream(
     path: str | None = None,
     servers: str | None = None,
     topic: str = "flows-raw",
-    max_offsets: int = 5000,
-    max_files: int = 1,
+    max_offsets: int | None = None,
+    max_files: int | None = None,
 ) -> DataFrame:
-    """Keyed events as a stream, with the columns of a message log.
+    """Keyed events as a stream, with the columns of a message log; no rate limit unless one is given.
 
     Kafka needs its connector on the cluster. ``json`` and ``parquet`` follow a
     folder of files with the same columns.
     """
     if fmt == "kafka":
-        return (
+        reader = (
             spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", servers)
             .option("subscribe", topic)
             .option("startingOffsets", "earliest")
-            .option("maxOffsetsPerTrigger", max_offsets)
-            .load()
         )
+        return (reader if max_offsets is None else reader.option("maxOffsetsPerTrigger", max_offsets)).load()
     return table_stream(spark, path, fmt, RECORD_SCHEMA, max_files)
 
 
 def table_stream(
-    spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None, max_files: int = 20
+    spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None, max_files: int | None = None
 ) -> DataFrame:
-    """Follow a table as a stream, a bounded number of files per micro-batch."""
-    reader = spark.readStream.format(fmt).option("maxFilesPerTrigger", max_files)
+    """Follow a table as a stream, with a number of files per micro-batch if one is given."""
+    reader = spark.readStream.format(fmt)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import json
+import warnings
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from flowlake import contract
 from flowlake.functions.scalar import event_id, finite, quoted
@@ -15,15 +18,38 @@ def prepare_replay(raw: DataFrame) -> DataFrame:
     return add_indicators(contract.drop_contract_columns(raw))
 
 
-def as_events(flows: DataFrame, number: Column, stamp: Column | None = None) -> DataFrame:
-    """Wrap rows into keyed JSON events; NaN becomes null and nulls are written out."""
+def numbered(rows: DataFrame, name: str = "__number") -> DataFrame:
+    """Number equal rows from 0, whatever the layout of the input.
+
+    Each part of the input numbers its own; the counts of the earlier parts are added. So
+    a row that is repeated everywhere is no single group.
+    """
+    texts = [F.coalesce(quoted(c).cast("string"), F.lit("\x00")) for c in rows.columns]
+    keyed = rows.withColumns({"__row": F.sha2(F.concat_ws("\x1f", *texts), 256), "__part": F.spark_partition_id()})
+    counts = keyed.groupBy("__row", "__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy("__row").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).filter("__before > 0")
+    own = Window.partitionBy("__row", "__part").orderBy("__row")
+    found = keyed.withColumn("__own", F.row_number().over(own) - 1)
+    found = found.join(counts.select("__row", "__part", "__before"), ["__row", "__part"], "left")
+    return found.withColumn(name, F.col("__own") + F.coalesce("__before", F.lit(0))).select(*[quoted(c) for c in rows.columns], name)
+
+
+def as_events(
+    flows: DataFrame, stamp: Column | None = None, number: Column | None = None, content: list[Column] | None = None,
+) -> DataFrame:
+    """Wrap rows into keyed JSON events; NaN becomes null and nulls are written out.
+
+    The id is a digest of the row (or of ``content``) with its ``number`` among equal rows;
+    without a number equal rows share an id.
+    """
     stamp = F.current_timestamp() if stamp is None else stamp
     columns = []
     for field in contract.flow_schema():
         value = quoted(field.name).cast(field.dataType)
         columns.append((finite(value) if field.dataType.typeName() == "double" else value).alias(field.name))
     marked = flows.select(
-        event_id(number, F.lit(contract.SCHEMA_VERSION)).alias("event_id"),
+        event_id(F.lit(contract.SCHEMA_VERSION), *(columns if content is None else content), number=number).alias("event_id"),
         F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("ingestion_timestamp"),
         F.lit(contract.SCHEMA_VERSION).alias("schema_version"),
         F.struct(*columns).alias("flow"),
@@ -36,47 +62,71 @@ def as_events(flows: DataFrame, number: Column, stamp: Column | None = None) ->
 
 def publish(events: DataFrame, fmt: str = "kafka", path: str | None = None, servers: str | None = None,
             topic: str = "flows-raw") -> None:
-    """Send keyed events to a topic, or to files that look like one."""
+    """Send keyed events to a topic, or to a folder of files with the keys and values."""
     if fmt == "kafka":
         (
             events.write.format("kafka").option("kafka.bootstrap.servers", servers)
             .option("topic", topic).option("kafka.acks", "all").save()
         )
         return
-    as_records(events, topic).write.mode("append").format(fmt).save(path)
+    events.write.mode("append").format(fmt).save(path)
 
 
-def as_records(events: DataFrame, topic: str = "flows-raw") -> DataFrame:
-    """Events with the columns that a message log adds."""
-    return events.select(
-        "key", "value",
-        F.lit(topic).alias("topic"),
-        F.spark_partition_id().alias("partition"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("offset"),
-        F.current_timestamp().alias("timestamp"),
-    )
+def stream_id(df: DataFrame) -> str:
+    """The id of the running stream, which its checkpoint keeps; ``batch`` outside of streams."""
+    return df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
+def batch_folder(path: str, stream: str, batch_id: int) -> str:
+    return f"{path}/stream_id={stream}/batch_id={batch_id}"
+
+
+def manifest_folder(path: str) -> str:
+    """Readers of the table skip it, as they skip all names with an underscore."""
+    return f"{path}/_manifests"
+
+
+def _manifest(spark: SparkSession, path: str, stream: str, batch_id: int):
+    """The manifest file of a batch, and the file system that it is on."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(f"{manifest_folder(path)}/{stream}-{batch_id:020d}.json")
+    return file, file.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def is_committed(spark: SparkSession, path: str, stream: str, batch_id: int) -> bool:
+    file, store = _manifest(spark, path, stream, batch_id)
+    return store.exists(file)
 
 
 def write_batch(
     df: DataFrame, path: str, batch_id: int, partition_by: list[str] | None = None, fmt: str = "parquet",
-    app: str = "flowlake",
+    app: str = "flowlake", stream: str | None = None,
 ) -> None:
     """Append one micro-batch so that writing it again leaves no duplicates.
 
-    File formats get one folder per batch, which a replay replaces. Delta skips
-    a transaction it has already seen. Rows are spread over the partition
+    A batch is known by its stream and its number, so a new checkpoint, which starts
+    again at 0, adds to what other streams have stored. File formats get one folder per
+    batch and, once it is complete, one small manifest with a fixed name. A batch that
+    has its manifest is not written again; one that was left unfinished is replaced.
+    Delta skips a transaction it has already seen. Rows are spread over the partition
     columns evenly, and adaptive execution splits a hot value over several files.
     """
     partition_by = partition_by or []
+    stream = stream or stream_id(df)
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     if fmt == "delta":
         (
             df.write.format(fmt).mode("append").partitionBy(*partition_by)
-            .option("txnAppId", app).option("txnVersion", batch_id).save(path)
+            .option("txnAppId", f"{app}-{stream}").option("txnVersion", batch_id).save(path)
         )
         return
-    df.write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(f"{path}/batch_id={batch_id}")
+    file, store = _manifest(df.sparkSession, path, stream, batch_id)
+    if store.exists(file):
+        return
+    df.write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(batch_folder(path, stream, batch_id))
+    out = store.create(file, True)
+    out.write(bytearray(json.dumps({"stream_id": stream, "batch_id": batch_id}) + "\n", "utf-8"))
+    out.close()
 
 
 def load_warehouse(
@@ -85,7 +135,8 @@ def load_warehouse(
 ) -> bool:
     """Load a table, appending or after emptying it; nothing is done without rows.
 
-    Columns go by name into an existing table. With ``jdbc`` options the same
+    Columns go by name into an existing table: one that the table lacks is an error,
+    one that only the table has becomes null with a warning. With ``jdbc`` options the same
     load goes to a database.
     """
     if df is None or df.isEmpty():
@@ -106,6 +157,12 @@ def load_warehouse(
         return True
     names = {name.lower(): name for name in df.columns}
     target = spark.table(table).columns
+    unknown = sorted(names.keys() - {c.lower() for c in target})
+    if unknown:
+        raise ValueError(f"{table} has no columns {', '.join(unknown)}")
+    missing = [c for c in target if c.lower() not in names]
+    if missing:
+        warnings.warn(f"{table}: no values for {', '.join(missing)}", stacklevel=2)
     aligned = df.select(
         [quoted(names[c.lower()]).alias(c) if c.lower() in names else F.lit(None).alias(c) for c in target]
     )

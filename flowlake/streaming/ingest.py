@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flowlake import contract
 from flowlake.operators.quality import LOG_SCHEMA, Expectation, Suite, batch_record, silver_suite
-from flowlake.sources.writers import write_batch
+from flowlake.sources.writers import stream_id, write_batch
 
 
 def raw_projection(records: DataFrame) -> DataFrame:
@@ -56,11 +56,12 @@ def checked_batch_writer(
         try:
             if batch.isEmpty():
                 return
-            write_batch(batch, silver_path, batch_id, ["attack_type"], fmt, "silver")
+            stream = stream_id(batch)
+            write_batch(batch, silver_path, batch_id, ["attack_type"], fmt, "silver", stream)
             record = batch_record(checks.validate(batch).collect(), batch_id)
             log = spark.createDataFrame([record], LOG_SCHEMA)
             log = log if fmt == "delta" else log.drop("batch_id")
-            write_batch(log, log_path, batch_id, fmt=fmt, app="quality_log")
+            write_batch(log, log_path, batch_id, fmt=fmt, app="quality_log", stream=stream)
         finally:
             batch.unpersist()
 
@@ -126,7 +127,7 @@ def read_silver(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
 
     reader = spark.read.format(fmt)
     if fmt != "delta":
-        schema = contract.silver_schema().add("batch_id", T.LongType())
+        schema = contract.silver_schema().add("stream_id", T.StringType()).add("batch_id", T.LongType())
         reader = reader.schema(schema)
     return reader.load(path).select(*[F.col(f"`{c}`") for c in contract.SILVER_COLUMNS])
 

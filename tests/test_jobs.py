@@ -36,16 +36,32 @@ def test_capture_to_marts(spark, tables, tmp_path):
 
     jobs.export_performance(spark, lake)
     assert spark.table("gold_model_performance").selectExpr("sum(support)").first()[0] == spark.read.parquet(f"{lake}/splits").filter("split = 'test'").count()
-    jobs.export_importance(spark, lake, rows=50)
+    jobs.export_importance(spark, lake)
     assert spark.table("gold_shap_global").count() == len(model.features) * (len(model.classes) + 1)
     jobs.export_drift(spark, lake)
     assert kpi.drift_verdict(spark.table("gold_drift")).first()["features"] == len(model.features)
 
 
-def test_replay_of_a_limit_is_stable(spark, tables, tmp_path):
-    capture = f"{tmp_path}/capture"
-    _capture(tables).coalesce(1).write.option("header", True).csv(capture)
-    for name in ("one", "two"):
-        jobs.publish(spark, capture, limit=40, fmt="json", path=f"{tmp_path}/{name}")
-    one, two = (spark.read.json(f"{tmp_path}/{name}").select("key") for name in ("one", "two"))
-    assert one.count() == 40 and one.exceptAll(two).count() == 0
+def keys_of(spark, capture, path, **options):
+    jobs.publish(spark, capture, fmt="json", path=path, **options)
+    return spark.read.json(path).select("key")
+
+
+def test_ids_do_not_depend_on_the_layout(spark, tables, tmp_path):
+    rows = _capture(tables)
+    rows = rows.unionByName(rows.filter("`Unnamed: 0` % 7 = 0"))  # some rows come twice
+    for name, parts in (("one", 1), ("many", 7)):
+        rows.repartition(parts).write.option("header", True).csv(f"{tmp_path}/{name}")
+    one, many = (keys_of(spark, f"{tmp_path}/{n}", f"{tmp_path}/{n}-events") for n in ("one", "many"))
+    assert one.count() == rows.count() == one.distinct().count()
+    assert one.exceptAll(many).count() == 0 == many.exceptAll(one).count()
+    limited = [keys_of(spark, f"{tmp_path}/{n}", f"{tmp_path}/{n}-40", limit=40) for n in ("one", "many")]
+    assert limited[0].count() == 40 and limited[0].exceptAll(limited[1]).count() == 0
+
+
+def test_two_captures_share_no_ids(spark, tables, tmp_path):
+    rows = _capture(tables)
+    for part in (0, 1):
+        rows.filter(f"`Unnamed: 0` % 2 = {part}").write.option("header", True).csv(f"{tmp_path}/{part}")
+    first, second = (keys_of(spark, f"{tmp_path}/{p}", f"{tmp_path}/{p}-events") for p in (0, 1))
+    assert first.intersect(second).count() == 0

@@ -51,11 +51,11 @@ def test_parse_edge_events(spark):
 
 def test_round_trip_of_events(spark, flows):
     spaced = flows.withColumnsRenamed({v: k for k, v in contract.LABEL_RENAMES.items()}).withColumn("n", F.substring("event_id", 5, 8).cast("long"))
-    events = writers.as_events(spaced, F.col("n"), F.col("ingestion_timestamp"))
+    events = writers.as_events(spaced, F.col("ingestion_timestamp"), F.col("n"))
     parsed = ingest.parse_events(events)
     keys = ["Dur", "dTtl", "TotBytes", "Proto", "attack_type", "ingestion_timestamp", "is_tcp"]
     assert parsed.select(keys).exceptAll(flows.select(keys)).count() == 0 and parsed.count() == flows.count()
-    again = writers.as_events(spaced, F.col("n"), F.col("ingestion_timestamp"))
+    again = writers.as_events(spaced, F.col("ingestion_timestamp"), F.col("n"))
     assert events.select("key").exceptAll(again.select("key")).count() == 0
     text = events.first()["value"]
     assert set(json.loads(text)["flow"]) == {f.name for f in contract.flow_schema()}  # nulls are written
@@ -64,7 +64,7 @@ def test_round_trip_of_events(spark, flows):
 def test_nan_is_published_as_null(spark, flows):
     odd = flows.limit(1).withColumn("Dur", F.lit(float("nan"))).withColumn("Rate", F.lit(float("inf")))
     spaced = odd.withColumnsRenamed({v: k for k, v in contract.LABEL_RENAMES.items()})
-    flow = json.loads(writers.as_events(spaced, F.lit(1)).first()["value"])["flow"]
+    flow = json.loads(writers.as_events(spaced).first()["value"])["flow"]
     assert flow["Dur"] is None and flow["Rate"] is None
 
 
@@ -88,7 +88,7 @@ def test_both_sinks_and_the_log(spark, lake):
     # The bad batch is in the table all the same.
     assert silver.filter("Dur < 0").count() == 3
     summary = log[0]["failed_expectation_summary"]
-    assert log[0]["n_failed_expectations"] > 10 and summary.count(";") == 9
+    assert log[0]["n_failed_expectations"] > 10 and summary.count(";") == log[0]["n_failed_expectations"] - 1
     assert log[0]["n_failed_expectations"] == validate(
         silver.filter("Dur < 0 OR Dur IS NULL"), silver_suite()
     ).filter("NOT success").count()
@@ -125,14 +125,13 @@ def test_scoring_stream_stores_matching_tables(spark, flows, tmp_path):
     root = str(tmp_path)
     writers.write_batch(flows, f"{root}/silver", 0, ["attack_type"])
     step = gold.scoring_batch_writer(add_rule_score, f"{root}/predictions", f"{root}/alerts")
-    run = lambda: ingest.finish(
-        [
-            gold.silver_stream(spark, f"{root}/silver", max_files=4).writeStream.foreachBatch(step)
-            .option("checkpointLocation", f"{root}/progress").trigger(availableNow=True).start()
-        ]
-    )
+    run = lambda name="progress": ingest.finish([gold.start_follower(spark, f"{root}/silver", step, f"{root}/{name}")])
+    run()
     run()
+    # The batch again, as after a restart, and a scoring that starts afresh.
+    writers.write_batch(flows, f"{root}/silver", 0, ["attack_type"])
     run()
+    run("progress-2")
     predictions, alerts = gold.read_predictions(spark, f"{root}/predictions"), gold.read_alerts(spark, f"{root}/alerts")
     assert predictions.count() == flows.count() == predictions.select("event_id").distinct().count()
     malicious = predictions.filter("predicted_class <> 'Benign'")
