@@ -10,51 +10,57 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+@dataclass(frozen=True)
+class Feature:
+    name: str
+    kind: str
+    nullable: bool = False
+
+
 # --------------------------------------------------------------------------
 # Names, kinds and nullability must equal the published contract.
-# One feature per line: name, kind, and whether a value is required.
-# --------------------------------------------------------------------------
-FEATURE_TEXT = """
-Dur         float     required
-Proto       category  required
-Cause       category  required
-State       category  required
-sTos        float     nullable
-dTos        float     nullable
-sDSb        category  nullable
-dDSb        category  nullable
-sTtl        float     nullable
-dTtl        float     nullable
-sHops       float     nullable
-dHops       float     nullable
-TotPkts     int       required
-SrcPkts     int       required
-DstPkts     int       required
-TotBytes    int       required
-SrcBytes    int       required
-DstBytes    int       required
-sMeanPktSz  float     required
-dMeanPktSz  float     required
-Load        float     required
-SrcLoad     float     required
-DstLoad     float     required
-Loss        int       required
-SrcLoss     int       required
-DstLoss     int       required
-pLoss       float     required
-SrcGap      float     nullable
-DstGap      float     nullable
-Rate        float     required
-SrcRate     float     required
-DstRate     float     required
-SrcWin      float     nullable
-DstWin      float     nullable
-SrcTCPBase  float     nullable
-DstTCPBase  float     nullable
-TcpRtt      float     required
-SynAck      float     required
-AckDat      float     required
-"""
+# One feature per line: name, kind, and whether a value may be absent.
+FEATURES = (
+    Feature("Dur", "float"),
+    Feature("Proto", "category"),
+    Feature("Cause", "category"),
+    Feature("State", "category"),
+    Feature("sTos", "float", nullable=True),
+    Feature("dTos", "float", nullable=True),
+    Feature("sDSb", "category", nullable=True),
+    Feature("dDSb", "category", nullable=True),
+    Feature("sTtl", "float", nullable=True),
+    Feature("dTtl", "float", nullable=True),
+    Feature("sHops", "float", nullable=True),
+    Feature("dHops", "float", nullable=True),
+    Feature("TotPkts", "int"),
+    Feature("SrcPkts", "int"),
+    Feature("DstPkts", "int"),
+    Feature("TotBytes", "int"),
+    Feature("SrcBytes", "int"),
+    Feature("DstBytes", "int"),
+    Feature("sMeanPktSz", "float"),
+    Feature("dMeanPktSz", "float"),
+    Feature("Load", "float"),
+    Feature("SrcLoad", "float"),
+    Feature("DstLoad", "float"),
+    Feature("Loss", "int"),
+    Feature("SrcLoss", "int"),
+    Feature("DstLoss", "int"),
+    Feature("pLoss", "float"),
+    Feature("SrcGap", "float", nullable=True),
+    Feature("DstGap", "float", nullable=True),
+    Feature("Rate", "float"),
+    Feature("SrcRate", "float"),
+    Feature("DstRate", "float"),
+    Feature("SrcWin", "float", nullable=True),
+    Feature("DstWin", "float", nullable=True),
+    Feature("SrcTCPBase", "float", nullable=True),
+    Feature("DstTCPBase", "float", nullable=True),
+    Feature("TcpRtt", "float"),
+    Feature("SynAck", "float"),
+    Feature("AckDat", "float"),
+)
 SCHEMA_VERSION = "1.0.1"
 NULL_SENTINEL = -1.0
 DROPPED = ("Unnamed: 0", "Seq", "RunTime", "Mean", "Sum", "Min", "Max", "sVid", "dVid", "Offset")
@@ -89,17 +95,6 @@ MISSING_TOKENS = (
 # --------------------------------------------------------------------------
 
 
-@dataclass(frozen=True)
-class Feature:
-    name: str
-    kind: str
-    nullable: bool
-
-
-FEATURES = tuple(
-    Feature(name, kind, rule == "nullable")
-    for name, kind, rule in (line.split() for line in FEATURE_TEXT.strip().splitlines())
-)
 FEATURE_NAMES = tuple(f.name for f in FEATURES)
 NUMERIC = tuple(f.name for f in FEATURES if f.kind != "category")
 CATEGORICAL = tuple(f.name for f in FEATURES if f.kind == "category")
@@ -108,31 +103,61 @@ SILVER_LABELS = tuple(LABEL_RENAMES.get(name, name) for name in LABELS)
 SILVER_COLUMNS = ENVELOPE + FEATURE_NAMES + INDICATORS + SILVER_LABELS
 NON_FEATURES = ENVELOPE + SILVER_LABELS + LABELS + ("loaded_at", "batch_id")
 
-SPARK_TYPES = {"float": T.DoubleType(), "int": T.LongType(), "category": T.StringType()}
 
+@dataclass(frozen=True)
+class StoredColumn:
+    """A column of the parsed table, and where an event has it."""
+
+    name: str
+    kind: str
+    path: tuple[str, ...]
+    nullable: bool = False
+
+
+#: Every column of the parsed table in order; all schemas below are views of this list.
+COLUMNS = (
+    *(StoredColumn(name, "time" if name == "ingestion_timestamp" else "category", (name,)) for name in ENVELOPE),
+    *(StoredColumn(f.name, f.kind, ("flow", f.name), f.nullable) for f in FEATURES),
+    *(StoredColumn(name, "flag", ("flow", name)) for name in INDICATORS),
+    *(StoredColumn(LABEL_RENAMES.get(name, name), "category", ("flow", name)) for name in LABELS),
+)
+TYPES = {"float": T.DoubleType(), "int": T.LongType(), "category": T.StringType(), "flag": T.IntegerType(), "time": T.TimestampType()}
+#: JSON has no times: they travel as text.
+JSON_TYPES = TYPES | {"time": T.StringType()}
 
-def flow_schema() -> T.StructType:
-    """The nested ``flow`` object of an event."""
-    fields = [T.StructField(f.name, SPARK_TYPES[f.kind], f.nullable) for f in FEATURES]
-    fields += [T.StructField(name, T.StringType(), False) for name in LABELS]
-    fields += [T.StructField(name, T.IntegerType(), False) for name in INDICATORS]
-    return T.StructType(fields)
+
+def _nested(columns: list[StoredColumn], depth: int = 0) -> T.StructType:
+    """The object that holds the columns' paths from a depth on, in order of first mention."""
+    out = T.StructType()
+    for key in dict.fromkeys(c.path[depth] for c in columns):
+        below = [c for c in columns if c.path[depth] == key]
+        leaf = len(below[0].path) == depth + 1
+        out.add(key, JSON_TYPES[below[0].kind] if leaf else _nested(below, depth + 1), leaf and below[0].nullable)
+    return out
 
 
 def event_schema() -> T.StructType:
     """One JSON event as it travels on the stream."""
-    fields = [T.StructField(name, T.StringType(), False) for name in ENVELOPE]
-    return T.StructType([*fields, T.StructField("flow", flow_schema(), False)])
+    return _nested(list(COLUMNS))
+
+
+def flow_schema() -> T.StructType:
+    """The nested ``flow`` object of an event."""
+    return event_schema()["flow"].dataType
 
 
 def silver_schema() -> T.StructType:
     """The flat, typed table of parsed flows."""
-    kinds = {"event_id": T.StringType(), "ingestion_timestamp": T.TimestampType()}
-    kinds |= {f.name: SPARK_TYPES[f.kind] for f in FEATURES}
-    kinds |= {name: T.IntegerType() for name in INDICATORS}
-    return T.StructType(
-        [T.StructField(name, kinds.get(name, T.StringType()), True) for name in SILVER_COLUMNS]
-    )
+    return T.StructType([T.StructField(c.name, TYPES[c.kind]) for c in COLUMNS])
+
+
+def from_event(event: str) -> list[Column]:
+    """The parsed table's columns from a column of events; an unreadable time is null."""
+    out = []
+    for column in COLUMNS:
+        value = F.col(".".join([event, *(f"`{key}`" for key in column.path)]))
+        out.append((F.try_to_timestamp(value) if column.kind == "time" else value).alias(column.name))
+    return out
 
 
 def raw_columns() -> tuple[str, ...]:
@@ -142,11 +167,7 @@ def raw_columns() -> tuple[str, ...]:
 
 def table_ddl(table: str = "silver_flows", fmt: str = "parquet") -> str:
     """CREATE TABLE text for the parsed flows."""
-    required = set(ENVELOPE) | set(REQUIRED) | set(INDICATORS) | set(SILVER_LABELS)
-    lines = [
-        f"  `{f.name}` {f.dataType.simpleString().upper()}" + (" NOT NULL" if f.name in required else "")
-        for f in silver_schema()
-    ]
+    lines = [f"  `{c.name}` {TYPES[c.kind].simpleString().upper()}" + ("" if c.nullable else " NOT NULL") for c in COLUMNS]
     lines.append("  `loaded_at` TIMESTAMP")
     return f"CREATE TABLE IF NOT EXISTS {table} (\n" + ",\n".join(lines) + f"\n) USING {fmt}"
 

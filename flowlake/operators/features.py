@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from flowlake import contract
 from flowlake.functions.scalar import indicator_reply, indicator_tcp, log_volume, quoted, ratio
 
+# Names and formulas (``engineered_columns``) must equal the published features.
 ENGINEERED = (
     "bytes_per_packet", "src_dst_pkt_ratio", "src_dst_byte_ratio",
     "log_rate", "log_totbytes", "log_totpkts",

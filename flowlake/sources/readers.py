@@ -121,7 +121,7 @@ def table_stream(
 
 
 def cache_key(engineer: bool, *parts: str) -> str:
-    text = "|".join([contract.FEATURE_TEXT, contract.SCHEMA_VERSION, str(engineer), *parts])
+    text = "|".join([repr(contract.FEATURES), contract.SCHEMA_VERSION, str(engineer), *parts])
     return hashlib.sha256(text.encode()).hexdigest()[:16]
 
 
