@@ -5,6 +5,7 @@ from flowlake.registry import (  # noqa: F401
     kpi_checks,
     mart_checks,
     model_checks,
+    model_facts,
     quality_checks,
     relational_checks,
     stream_checks,

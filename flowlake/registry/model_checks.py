@@ -20,6 +20,7 @@ HEAD = [*contract.NUMERIC, *contract.INDICATORS]
 # Boosted models train one tree after the other. These queries show the whole
 # path with fewer rounds than the library's default.
 ROUNDS = 10
+PAIR = ("Benign", "UDPFlood")
 
 
 # ---- features ----------------------------------------------------------------
@@ -188,6 +189,22 @@ def _malicious(t):
     return t.kept("malicious", lambda: train.fit_malicious(_part(t, "train"), _encoder(t).columns, rounds=ROUNDS))
 
 
+def _boosted(t):
+    return t.kept("boosted", lambda: train.fit_boosted(_weighted(t), _encoder(t).columns, "attack_type", rounds=ROUNDS))
+
+
+def _manual(t):
+    def make():
+        weighted = train.with_manual_weight(_part(t, "train"), "attack_type")
+        return train.fit_boosted(weighted, _encoder(t).columns, "attack_type", rounds=ROUNDS)
+
+    return t.kept("manual", make)
+
+
+def _specialist(t):
+    return t.kept("specialist", lambda: train.fit_specialist(_part(t, "train"), _encoder(t).columns, pair=PAIR, rounds=ROUNDS))
+
+
 def _report(t, model, label="attack_type", part="val"):
     return evaluate.class_report(score.score_matrix(_part(t, part), model), label, "predicted_class")
 
@@ -210,8 +227,7 @@ def _(t):
 
 @query("m12_boosted_classes")
 def _(t):
-    model = train.fit_boosted(_weighted(t), _encoder(t).columns, "attack_type", rounds=ROUNDS)
-    return _report(t, model)
+    return _report(t, _boosted(t))
 
 
 @query("m13_boosted_malicious")
@@ -228,12 +244,10 @@ def _(t):
 
 @query("m14_specialist_probe")
 def _(t):
-    pair = ("Benign", "UDPFlood")
-    model = train.fit_specialist(_part(t, "train"), _encoder(t).columns, pair=pair, rounds=ROUNDS)
-    scored = score.score_matrix(train.class_subset(_part(t, "val"), "attack_type", pair), model).withColumns(
+    scored = score.score_matrix(train.class_subset(_part(t, "val"), "attack_type", PAIR), _specialist(t)).withColumns(
         {
-            "truth": (F.col("attack_type") == pair[1]).cast("int"),
-            "guess": (F.col("predicted_class") == pair[1]).cast("int"),
+            "truth": (F.col("attack_type") == PAIR[1]).cast("int"),
+            "guess": (F.col("predicted_class") == PAIR[1]).cast("int"),
             "p": F.get("probabilities", F.lit(1)),
         }
     )
@@ -242,8 +256,7 @@ def _(t):
 
 @query("m15_boosted_manual_weights")
 def _(t):
-    weighted = train.with_manual_weight(_part(t, "train"), "attack_type")
-    return _report(t, train.fit_boosted(weighted, _encoder(t).columns, "attack_type", rounds=ROUNDS))
+    return _report(t, _manual(t))
 
 
 @query("m16_batch_scoring")
