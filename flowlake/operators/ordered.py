@@ -22,10 +22,27 @@ BUCKET = "__range"
 MAX_GROUPS = 5_000
 
 
-def _bucket_root(df: DataFrame) -> int:
-    """Square root of the number of ranges; it follows the session's shuffle width."""
+#: Rows of a range beyond which a table without groups gets more ranges, and sampled keys per range.
+ROWS_PER_RANGE = 4_000_000
+SAMPLED_KEYS = 100
+
+
+def _bucket_root(df: DataFrame, rows: int | None = None) -> int:
+    """Square root of the number of ranges; it follows the session's shuffle width.
+
+    Without groups it follows the rows as well. With groups there are boundaries for each
+    group, so their number is bounded.
+    """
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(64, max(4, math.ceil(math.sqrt(width))))
+    if rows is None:
+        return min(64, max(4, math.ceil(math.sqrt(width))))
+    return max(4, math.ceil(math.sqrt(max(width, rows / ROWS_PER_RANGE))))
+
+
+def _sampled(df: DataFrame, key: str, rows: int, count: int) -> DataFrame:
+    """Enough keys to place the boundaries, so that their sketch is small whatever the table's size."""
+    enough = SAMPLED_KEYS * count
+    return df.select(key) if rows <= enough else df.select(key).sample(enough / rows, seed=7)
 
 
 def _same(groups: list[str], group_bound: int | None) -> Column:
@@ -46,14 +63,16 @@ def with_ranges(
     that none is null, such as one per column of a table; otherwise the groups
     are counted before their boundaries are broadcast.
 
-    Boundaries come from an approximate-quantile sketch, so they only decide
+    Boundaries come from an approximate-quantile sketch, without groups on a sample
+    of keys with a bounded size, so they only decide
     how even the ranges are and never what the result is. They are computed once
     and fixed before they are used: a sketch that is computed again may differ a
     little, and all branches of a plan must agree on the ranges. A row finds its
     range in two short steps over the boundaries.
     """
     groups = list(groups or [])
-    root = _bucket_root(df)
+    rows = None if groups else df.count()
+    root = _bucket_root(df, rows)
     count = root * root
     sketch = F.percentile_approx(
         key, [i / count for i in range(1, count)], F.lit(max(1000, 20 * count))
@@ -69,7 +88,7 @@ def with_ranges(
         named = named.withColumnsRenamed({g: f"__{g}" for g in groups})
         joined = df.join(named, _same(groups, group_bound), "left").drop(*[f"__{g}" for g in groups])
     else:
-        found = df.agg(sketch.alias("b")).first()["b"]
+        found = _sampled(df, key, rows, count).agg(sketch.alias("b")).first()["b"]
         kind = f"array<{df.schema[key].dataType.simpleString()}>"
         joined = df.withColumns(
             {
