@@ -18,7 +18,8 @@ removed for being frequent, since copies of an article are still articles.
 The trees are counts: (host, node, text) rows are added up where they are read and
 shuffled as sums, so a host with a third of all pages is no group in any task. What comes
 back to the pages is, per host, the list of its low nodes, which are paths seen on
-``min_pages`` pages or more; Spark picks the join by its size.
+``min_pages`` pages or more. It is sent to all tasks if there are at most
+``BROADCAST_NODES`` of them, and joined by host otherwise.
 
 Defined cases: null and empty html give the empty text; a null or odd url is the host "";
 unclosed elements end with their parent; text after an unclosed comment or script is not
@@ -38,6 +39,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from flowlake.session import scratch_path
+
 #: Elements that are never main text.
 BOILERPLATE = frozenset(
     "head script style noscript template iframe object svg math canvas nav header footer aside form menu dialog button select "
@@ -74,6 +77,8 @@ MARKUP = re.compile(
 )
 MARKS = re.compile(r"""(?:^|[\s"'])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 NAME = re.compile(r"[A-Za-z]+")
+#: Low nodes of all hosts, 16 bytes each, that are sent to all tasks at most.
+BROADCAST_NODES = 1_000_000
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 
 
@@ -244,7 +249,12 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", threshold: f
     """The rows of ``pages`` with their main ``text`` and its length ``n_chars``."""
     importance = F.when(F.col("is_text"), F.col("content")).otherwise(F.col("presentation"))
     low = importances(pages, url, html).filter((F.col("pages") >= min_pages) & (importance < threshold))
+    path = scratch_path(pages.sparkSession, "low-nodes")
+    low.select("host", "node").write.parquet(path)
+    low = pages.sparkSession.read.schema("host string, node bigint").parquet(path)
+    few = low.count() <= BROADCAST_NODES
     low = low.groupBy("host").agg(F.collect_set("node").alias("__low")).withColumnRenamed("host", "__host")
+    low = F.broadcast(low) if few else low
 
     @F.pandas_udf("string")
     def text_of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:

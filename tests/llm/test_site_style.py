@@ -41,7 +41,9 @@ def site(n, host="h.example"):
     return out
 
 
-def test_repeated_branches_go(spark):
+@pytest.mark.parametrize("most", [0, 1000])
+def test_repeated_branches_go(spark, monkeypatch, most):
+    monkeypatch.setattr(site_style, "BROADCAST_NODES", most)
     rows = site(12) + [(100, "http://other.example/a", "<div><div><p>All rights of this site</p></div></div>")]
     frame = spark.createDataFrame(rows, "page_id int, url string, html string")
     found = {r["page_id"]: r["text"] for r in site_style.extract(frame).collect()}
