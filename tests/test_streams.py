@@ -73,7 +73,7 @@ def lake(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("lake"))
     publish(spark, f"{root}/topic", [event(i) for i in range(6)])
     publish(spark, f"{root}/topic", [event(i, flow={"Dur": -1.0, "Proto": "gre"}) for i in range(6, 9)] + ["junk"])
-    stream = lambda: readers.event_stream(spark, "json", f"{root}/topic")
+    stream = lambda: readers.event_stream(spark, "json", f"{root}/topic", max_files=1)
     ingest.finish(ingest.start_ingestion(stream(), root, None))
     return root, stream
 
