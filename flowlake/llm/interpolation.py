@@ -47,7 +47,8 @@ from flowlake.llm.packing import pack, pack_sorted, unpack, unpack_sorted
 from flowlake.session import scratch_path
 
 BITS = 56
-BLOCK = 32_000_000
+#: Characters of text in one block; what a task holds at once follows it.
+BLOCK = 12_000_000
 #: Cells per doubling of a probability, in which held-out tokens are pooled.
 FINE = 4
 ROUNDS = 60
@@ -97,7 +98,7 @@ class Grams:
 
     @classmethod
     def of(cls, row: dict) -> Grams:
-        lengths, tokens = unpack(row["lengths"]), unpack(row["tokens"])
+        lengths, tokens = unpack(row["lengths"]), unpack(row["tokens"]).astype(np.int32)
         hashes = np.frombuffer(row["words"], np.uint64)
         before = np.empty_like(tokens)
         before[1:] = tokens[:-1]
@@ -107,7 +108,10 @@ class Grams:
         mixed = (hashes[before] * A + hashes[tokens]) * B
         mixed ^= mixed >> np.uint64(31)
         mixed *= A
-        pair_keys, pair_at = np.unique(mixed >> np.uint64(64 - BITS), return_inverse=True)
+        mixed >>= np.uint64(64 - BITS)
+        pair_keys, pair_at = np.unique(mixed, return_inverse=True)
+        del mixed
+        place, pair_at = place.astype(np.int32), pair_at.astype(np.int32)
         return cls(lengths, word_keys.astype(np.int64), pair_keys.astype(np.int64), place[tokens], place[before], pair_at)
 
 
