@@ -157,9 +157,12 @@ def moments(rows: DataFrame, *keys: str) -> DataFrame:
     return cholesky(found.withColumns({f"c_{i}{i}": F.col(f"c_{i}{i}") + FLOORS[i] ** 2 for i in range(4)})).select(*keys, *PARTS)
 
 
-def below(rows: DataFrame, value: str, share: float, *keys: str) -> DataFrame:
-    """(keys, edge): the smallest value up to which at least ``share`` of each key's rows lie."""
-    counts = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+def histogram(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def below(counts: DataFrame, value: str, share: float, *keys: str) -> DataFrame:
+    """(keys, edge): the smallest value up to which at least ``share`` of each key's rows lie; ``n`` counts rows."""
     upto = Window.partitionBy(*keys).orderBy(value)
     counts = counts.withColumns({"upto": F.sum("n").over(upto), "all": F.sum("n").over(Window.partitionBy(*keys))})
     return counts.filter(F.col("upto") >= share * F.col("all")).groupBy(*keys).agg(F.min(value).alias("edge"))
@@ -175,9 +178,11 @@ def starts(rows: DataFrame) -> DataFrame:
     """Two first estimates per cell: robust scales alone, and with the scatter of bounded scores."""
     steps = 100.0
     long = rows.select("cell", F.posexplode(F.array(*[F.least(F.floor(F.col(x) * steps / f), F.lit(100_000)) for x, f in zip(DIMENSIONS, FLOORS)])).alias("i", "level"))
-    median = below(long, "level", 0.5, "cell", "i").withColumnRenamed("edge", "middle")
-    spread = long.join(median, ["cell", "i"]).select("cell", "i", F.abs(F.col("level") - F.col("middle")).alias("off"))
-    mad = below(spread, "off", 0.5, "cell", "i").withColumnRenamed("edge", "mad")
+    levels = stored(histogram(long, "cell", "i", "level"), "levels")
+    median = below(levels, "level", 0.5, "cell", "i").withColumnRenamed("edge", "middle")
+    off = levels.join(median, ["cell", "i"]).withColumn("off", F.abs(F.col("level") - F.col("middle")))
+    off = off.groupBy("cell", "i", "off").agg(F.sum("n").alias("n"))
+    mad = below(off, "off", 0.5, "cell", "i").withColumnRenamed("edge", "mad")
     both = median.join(mad, ["cell", "i"]).groupBy("cell").agg(*[
         F.max(F.when(F.col("i") == i, value)).alias(f"{name}_{i}")
         for i, f in enumerate(FLOORS)
@@ -204,7 +209,7 @@ def estimate(rows: DataFrame) -> DataFrame:
     guess = stored(starts(rows), "mcd")
     for _ in range(STEPS):
         near = distance(rows.join(guess, "cell")).withColumn("bin", F.floor(BINS * F.log2(F.col("d2") + 1e-3)))
-        edge = below(near, "bin", SHARE, "cell", "start")
+        edge = below(histogram(near, "cell", "start", "bin"), "bin", SHARE, "cell", "start")
         chosen = near.select("cell", "start", "bin", *DIMENSIONS).join(edge, ["cell", "start"]).filter(F.col("bin") <= F.col("edge"))
         guess = stored(moments(chosen, "cell", "start"), "mcd")
     best = guess.groupBy("cell").agg(F.min(F.struct("log_det", "start")).alias("best"))
