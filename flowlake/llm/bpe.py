@@ -27,14 +27,16 @@ import struct
 from collections.abc import Iterator
 
 import ahocorasick
-import pandas as pd
+import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 #: The published splitting pattern of the byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PART = 1 << 20
-REMEMBERED = 300_000
+REMEMBERED = 200_000
+SLICE = 256
 WHOLE = float("inf")
 
 
@@ -48,16 +50,40 @@ def byte_letters() -> list[str]:
     return letters
 
 
+def read_tokens(spec: dict) -> tuple[dict[int, str], dict[str, int]]:
+    """Tokens as strings with one character per byte, and the ids of special tokens."""
+    back = {letter: chr(byte) for byte, letter in enumerate(byte_letters())}
+    tokens = {i: "".join(map(back.__getitem__, name)) for name, i in spec["model"]["vocab"].items()}
+    return tokens, {t["content"]: t["id"] for t in spec["added_tokens"]}
+
+
+class Decoder:
+    """The bytes of each id; special tokens stand for their own text."""
+
+    def __init__(self, content: str):
+        tokens, special = read_tokens(json.loads(content))
+        self.bytes_of = [tokens.get(i, "").encode("latin-1") for i in range(max([*tokens, *special.values()], default=-1) + 1)]
+        for text, i in special.items():
+            self.bytes_of[i] = text.encode()
+
+    def decode(self, ids: bytes) -> str:
+        """The text of packed ids; ids outside the vocabulary stand for nothing, and
+        bytes that are no text become replacement characters."""
+        table, numbers = self.bytes_of, memoryview(ids).cast("I").tolist()
+        try:
+            raw = b"".join(map(table.__getitem__, numbers))
+        except IndexError:
+            raw = b"".join(table[i] for i in numbers if i < len(table))
+        return raw.decode("utf-8", "replace")
+
+
 class Vocabulary:
     """Tokens, merge trees and the suffix automaton of one vocabulary file."""
 
     def __init__(self, content: str):
         spec = json.loads(content)
-        back = {letter: chr(byte) for byte, letter in enumerate(byte_letters())}
         ids = spec["model"]["vocab"]
-        #: Tokens as strings with one character per byte.
-        self.token = {i: "".join(map(back.__getitem__, name)) for name, i in ids.items()}
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        tokens, self.special = read_tokens(spec)
         self.halves: dict[int, tuple[int, int]] = {}
         self.rank: dict[int, int] = {}
         self.merge: dict[tuple[int, int], int] = {}
@@ -68,7 +94,7 @@ class Vocabulary:
             if made not in self.rank:
                 self.rank[made], self.halves[made] = rank, pair
         self.matches = ahocorasick.Automaton()
-        for i, token in self.token.items():
+        for i, token in tokens.items():
             self.matches.add_word(token, (i, len(token)))
         self.matches.make_automaton()
         self.borders: dict[tuple[int, int], bool] = {}
@@ -78,11 +104,6 @@ class Vocabulary:
         self.newer = re.compile("[^\x00-ԯ]")
         self.specials = re.compile("|".join(map(re.escape, self.special)) or "(?!)")
         self.kept: dict[str, bytes] = {}
-        # One entry per id, special tokens as their own text.
-        size = max([*self.token, *self.special.values()], default=-1) + 1
-        self.bytes_of = [self.token.get(i, "").encode("latin-1") for i in range(size)]
-        for text, i in self.special.items():
-            self.bytes_of[i] = text.encode()
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether ``left`` and ``right`` stay apart when their bytes are encoded together.
@@ -109,7 +130,7 @@ class Vocabulary:
                 a, a_end = self.halves[a][1], a_born
             else:
                 b, b_end = self.halves[b][0], b_born
-        if len(self.borders) > 4 * REMEMBERED:
+        if len(self.borders) > REMEMBERED:
             self.borders.clear()
         self.borders[left, right] = apart
         return apart
@@ -163,16 +184,6 @@ class Vocabulary:
             out.append(self.encode_plain(part[start:] if start else part))
         return b"".join(out)
 
-    def decode(self, ids: bytes) -> str:
-        """The text of packed ids; ids outside the vocabulary stand for nothing, and
-        bytes that are no text become replacement characters."""
-        table, numbers = self.bytes_of, memoryview(ids).cast("I").tolist()
-        try:
-            raw = b"".join(map(table.__getitem__, numbers))
-        except IndexError:
-            raw = b"".join(table[i] for i in numbers if i < len(table))
-        return raw.decode("utf-8", "replace")
-
 
 def parts(text: str) -> Iterator[str]:
     """A long text in parts that end where a space follows a letter or digit."""
@@ -187,49 +198,59 @@ def parts(text: str) -> Iterator[str]:
     yield text[start:] if start else text
 
 
-@functools.lru_cache(2)
+@functools.lru_cache(1)
 def vocabulary(content: str) -> Vocabulary:
     return Vocabulary(content)
 
 
+@functools.lru_cache(1)
+def decoder(content: str) -> Decoder:
+    return Decoder(content)
+
+
 def read_vocabulary(spark: SparkSession, path: str):
     """The file, read once and sent to the workers; its size is that of the vocabulary."""
     with open(path, encoding="utf-8") as file:
         return spark.sparkContext.broadcast(file.read())
 
 
-def encoded(spark: SparkSession, text: Column, path: str) -> Column:
-    """Packed ids (little-endian unsigned 32-bit) of a text column."""
-    content = read_vocabulary(spark, path)
+def with_column(rows: DataFrame, source: str, name: str, kind: pa.DataType, make) -> DataFrame:
+    """``rows`` with a column that ``make()`` gives from a source column, some rows at a time.
 
-    @F.pandas_udf("binary")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = vocabulary(content.value)
-        for texts in batches:
-            yield pd.Series([known.encode(t) for t in texts.tolist()], dtype=object)
+    The results are sent on after every ``SLICE`` rows, so a worker holds few of them.
+    """
+    rows = rows.drop(name) if name != source and name in rows.columns else rows
+    column = rows.columns.index(source)
+    schema = StructType([*rows.schema.fields, StructField(name, StringType() if kind == pa.string() else BinaryType())])
 
-    return encode(F.coalesce(text.cast("string"), F.lit("")))
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = make()
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE):
+                part = batch.slice(start, SLICE)
+                made = pa.array([function(value.as_py()) for value in part.column(column)], kind)
+                yield pa.RecordBatch.from_arrays([*part.columns, made], names=[*part.schema.names, name])
 
+    return rows.mapInArrow(work, schema)
 
-def decoded(spark: SparkSession, ids: Column, path: str) -> Column:
-    """The text of a column of packed ids."""
-    content = read_vocabulary(spark, path)
 
-    @F.pandas_udf("string")
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = vocabulary(content.value)
-        for packed in batches:
-            yield pd.Series([known.decode(bytes(b)) for b in packed.tolist()], dtype=object)
-
-    return decode(F.coalesce(ids, F.lit(b"")))
+def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` with ``ids`` (packed little-endian unsigned 32-bit) and ``n_tokens``."""
+    content = read_vocabulary(docs.sparkSession, path)
 
+    def make():
+        known = vocabulary(content.value)
+        return lambda value: known.encode(value or "")
 
-def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` with ``ids`` (packed) and ``n_tokens``."""
-    ids = encoded(docs.sparkSession, F.col(f"`{text}`"), path)
-    return docs.withColumn("ids", ids).withColumn("n_tokens", (F.octet_length("ids") / 4).cast("bigint"))
+    return with_column(docs, text, "ids", pa.binary(), make).withColumn("n_tokens", (F.octet_length("ids") / 4).cast("bigint"))
 
 
 def decode_documents(docs: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """The rows of ``docs`` with the text of their ids as ``decoded``."""
-    return docs.withColumn("decoded", decoded(docs.sparkSession, F.col(f"`{ids}`"), path))
+    content = read_vocabulary(docs.sparkSession, path)
+
+    def make():
+        known = decoder(content.value)
+        return lambda value: known.decode(value or b"")
+
+    return with_column(docs, ids, "decoded", pa.string(), make)
