@@ -48,7 +48,7 @@ from flowlake.session import scratch_path
 
 BITS = 56
 #: Characters of text in one block; what a task holds at once follows it.
-BLOCK = 12_000_000
+BLOCK = 8_000_000
 #: Cells per doubling of a probability, in which held-out tokens are pooled.
 FINE = 4
 ROUNDS = 60
@@ -306,8 +306,9 @@ def score_documents(docs: DataFrame, doc_id: str, text: str, train: Column, held
         words, pairs = joined(found, "words"), joined(found, "pairs")
         context, word = words[grams.context_at], words[grams.word_at]
         two, one = estimates(context, pairs[grams.pair_at], word, total)
-        mix = weights[bucket_of(context)]
-        model = np.log10(mix[:, 0] * two + mix[:, 1] * one + mix[:, 2] * floor)
+        bucket = bucket_of(context)
+        model = np.log10(weights[bucket, 0] * two + weights[bucket, 1] * one + weights[bucket, 2] * floor)
+        del two, one, context, bucket
         base = np.log10((word + 0.5) / (total + 0.5 * (known + 1)))
         starts = np.cumsum(grams.lengths) - grams.lengths
         add = lambda x: np.add.reduceat(x, starts)
