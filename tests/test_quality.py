@@ -53,7 +53,7 @@ def test_suite_is_one_scan_and_one_shuffle_of_the_id(spark, flows):
     assert plan.count("Aggregate") == 3  # all simple checks, id counts, id totals
 
 
-def test_record_lists_the_first_ten(spark):
+def test_record_lists_all_failures(spark):
     checks = [Expectation(NOT_NULL, "v") for _ in range(12)]
     record = quality.batch_record(quality.validate(spark.createDataFrame(ROWS, "id string, v double, kind string"), checks).collect(), 7)
     assert record["batch_id"] == 7 and record["row_count"] == 5 and not record["success"]
