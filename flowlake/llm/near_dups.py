@@ -4,10 +4,12 @@ A document is the set of its word shingles, hashed once with 64 bits. Its sketch
 ``k`` smallest hash values. Two sets with a Jaccard index J have each value of their
 *union's* sketch in common with probability J, which gives both steps:
 
-* candidates: inverted lists over the retained values. A list is keyed by ``RUN`` values
-  that follow each other in a sketch. Two sets at the threshold (0.85) miss all common
-  runs with a probability below 1e-10, and never if both sets are retained whole; yet a
-  passage that many documents share, being a small part of each, is hardly ever a run;
+* candidates: inverted lists over the retained values. A list is keyed by a run of values
+  that follow each other in a sketch. If at most the share 1 - J of the union's sketch is
+  not common, some run between the gaps has a sure length (``sure_run``): 5 at 0.85, 4 at
+  0.8, less for sets of under ``SMALL`` values. So sets that are retained whole never miss
+  each other, and sampled ones with a probability below 1e-8 at the threshold; yet a
+  passage that many documents share, being a part of each, is seldom a whole run;
 * filter: the share of the union's sketch that both have estimates J; six standard errors
   below the threshold a pair is dropped, and at once below it if both sets are whole.
 
@@ -15,9 +17,13 @@ What is left is decided on the full shingle sets, made again from the texts.
 
 No list is expanded into all its pairs. Documents with equal sets are one class first.
 Each list gives its smallest class as leader, and members are compared with leaders only.
-After the links found make components, pairs across components that still share a list
-are compared as well. So no link between different texts is lost, and a group of near
-copies costs one comparison per copy and leader.
+What is left are members of one leader in different components, such as heavy edits of one
+text that are not near each other. They are compared too, so no link between different
+texts is lost, but only if they can be linked: the common shingles of two sets are at most
+the shingles that each has in common with any other set of the kind. That number, c, is
+counted in one aggregate, and two sets of n and m shingles have J >= t only if
+min(c) >= t / (1 + t) (n + m). An edit has shingles of its own, and this bound ends most of
+them. Those within it are compared as whole sets inside the join.
 
 Components come from alternating stars on the link table, written out each round.
 
@@ -36,12 +42,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from flowlake.session import scratch_path
 
-RUN = 3
-REMEMBERED = 500_000
+#: Unions of so many values and more are sure of the longer run.
+SMALL = 20
+REMEMBERED = 200_000
 #: Ids sent to all tasks at most; beyond it the tables are shuffled.
 BROADCAST_IDS = 1_000_000
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -105,16 +112,35 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def inverted_lists(classes: DataFrame) -> DataFrame:
-    """(list, class_id, leader) for the lists that hold more than one class."""
-    last = F.size("sketch") - RUN
-    runs = F.transform(
-        F.sequence(F.lit(0), last),
-        lambda i: F.xxhash64(*[F.get("sketch", i + step) for step in range(RUN)]),
+def sure_run(percent: int, least: int) -> int:
+    """The run that two sketches have in common, if at least ``percent`` of ``least`` or more values are."""
+    runs = []
+    for union in range(least, 1000):
+        gaps = union * (100 - percent) // 100
+        if gaps:
+            runs.append(-(-(union - gaps) // (gaps + 1)))
+    return min(runs)
+
+
+def inverted_lists(classes: DataFrame, percent: int) -> DataFrame:
+    """(leader, class_id) for the classes that share a list with their list's smallest class."""
+
+    def keys(run: int) -> Column:
+        last = F.size("sketch") - run
+        key = lambda i: F.xxhash64(F.lit(run), *[F.get("sketch", i + step) for step in range(run)])
+        return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), key)).otherwise(F.array().cast("array<bigint>"))
+
+    short, long = sure_run(percent, 2), sure_run(percent, SMALL)
+    nothing = F.array().cast("array<bigint>")
+    # A small union has two small sets; both kinds are kept where a set may be in either.
+    both = F.concat(
+        F.when(F.col("n_shingles") * percent <= SMALL * 100, keys(short)).otherwise(nothing),
+        F.when(F.col("n_shingles") * 100 >= SMALL * percent, keys(long)).otherwise(nothing),
     )
-    entries = classes.filter(last >= 0).select("class_id", F.explode(F.array_distinct(runs)).alias("list"))
+    entries = classes.select("class_id", F.explode(F.array_distinct(both)).alias("list"))
     leaders = entries.groupBy("list").agg(F.min("class_id").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return stored(entries.join(leaders.drop("n"), "list"), "lists")
+    pairs = entries.join(leaders.drop("n"), "list").filter("class_id <> leader")
+    return stored(pairs.select("leader", "class_id").distinct(), "lists")
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int, k: int) -> DataFrame:
@@ -151,9 +177,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, p
     near = stored(near.filter(plausible("a_sketch", "a_n", "b_sketch", "b_n")).select("a", "b"), "near")
 
     ids = near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    few = ids.count() <= BROADCAST_IDS
-    texts = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    texts = stored(texts, "texts")
+    texts = stored(texts_of(ids, docs), "texts")
     whole = near.join(texts.toDF("a", "a_text"), "a").join(texts.toDF("b", "b_text"), "b")
     return stored(whole.filter(linked("a_text", "b_text")).select("a", "b"), "links")
 
@@ -181,18 +205,59 @@ def edges_state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def crossing(lists: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs that share a list and lie in different components."""
-    placed = lists.join(groups.withColumnRenamed("node", "class_id"), "class_id", "left")
-    placed = placed.select("list", "class_id", F.coalesce("component", "class_id").alias("component"))
-    mixed = placed.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    open_lists = placed.join(mixed.select("list"), "list", "left_semi")
-    a = open_lists.select("list", F.col("class_id").alias("a"), F.col("component").alias("a_component"))
-    b = open_lists.select("list", F.col("class_id").alias("b"), F.col("component").alias("b_component"))
-    return a.join(b, "list").filter("a < b and a_component <> b_component").select("a", "b").distinct()
+def full_sets(ids: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(class_id, shingles): the whole sets of the given classes."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_set(text.as_py(), size).view(np.int64) for text in batch.column(1)]
+            offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
+            values = np.concatenate(found) if found else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, values)], names=["class_id", "shingles"])
 
+    return texts_of(ids, docs).select("doc_id", "text").mapInArrow(make, "class_id bigint, shingles array<bigint>")
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80, k: int = 64) -> DataFrame:
+
+def own_shingles(sets: DataFrame) -> DataFrame:
+    """(class_id, own): shingles that no other of the given classes has."""
+    rows = sets.select("class_id", F.explode("shingles").alias("shingle"))
+    once = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("class_id").alias("class_id")).filter("n = 1")
+    return once.groupBy("class_id").agg(F.count(F.lit(1)).alias("own"))
+
+
+def texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    few = ids.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+
+
+def crossing(lists: DataFrame, groups: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) between members of one leader that lie in different components.
+
+    The join compares the whole sets of those that can be linked, so only links leave it.
+    """
+    placed = lists.join(groups.withColumnRenamed("node", "class_id"), "class_id", "left")
+    placed = placed.select("leader", "class_id", F.coalesce("component", "class_id").alias("component"))
+    mixed = placed.groupBy("leader").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    placed = stored(placed.join(mixed.select("leader"), "leader", "left_semi"), "placed")
+    ids = stored(placed.select(F.col("class_id").alias("doc_id")).distinct(), "placed-ids")
+    sets = stored(full_sets(ids, docs, size), "full-sets")
+    counted = classes.select("class_id", "n_shingles").join(own_shingles(sets), "class_id", "left")
+    common = counted.select("class_id", F.col("n_shingles").alias("n"), (F.col("n_shingles") - F.coalesce("own", F.lit(0))).alias("c"))
+    able = placed.join(common, "class_id").filter(100 * F.col("c") >= percent * F.col("n"))
+    # The largest partner that a set's common shingles allow, and the smallest there is.
+    able = able.withColumn("most", F.floor(F.col("c") * (100 + percent) / percent) - F.col("n"))
+    smallest = able.groupBy("leader").agg(F.min("n").alias("least"))
+    able = stored(able.join(smallest, "leader").filter("most >= least").drop("least"), "able")
+    able = able.join(sets, "class_id")
+    columns = ("class_id", "component", "n", "most", "shingles")
+    side = lambda x: able.select("leader", *[F.col(c).alias(f"{x}_{c}" if c != "class_id" else x) for c in columns])
+    fit = "a < b and a_component <> b_component and a_n <= b_most and b_n <= a_most"
+    fit += f" and 100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n)"
+    fit += f" and {100 + percent} * size(array_intersect(a_shingles, b_shingles)) >= {percent} * (a_n + b_n)"
+    return side("a").join(side("b"), "leader").filter(fit).select("a", "b").distinct()
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80, k: int = 96) -> DataFrame:
     """One row per document: set size, class, component and whether it is kept."""
     plain = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     sets = stored(sketch_sets(plain, "doc_id", "text", size, k), "sets")
@@ -206,17 +271,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # Equal ids are one node.
     same = full.groupBy("doc_id").agg(F.min("signature").alias("low"), F.max("signature").alias("high")).filter("low <> high")
 
-    lists = inverted_lists(classes)
-    to_leaders = lists.filter("class_id <> leader").select(F.col("leader").alias("a"), F.col("class_id").alias("b")).distinct()
+    lists = inverted_lists(classes, percent)
+    to_leaders = lists.select(F.col("leader").alias("a"), F.col("class_id").alias("b"))
     links = [verified(to_leaders, classes, plain, size, percent, k)]
     repeated = members.join(same.select("doc_id"), "doc_id", "left_semi").filter("class_id is not null")
     links.append(stored(repeated.groupBy("doc_id").agg(F.collect_set("class_id").alias("c")).select(
         F.explode("c").alias("a"), F.array_min("c").alias("b")).filter("a <> b"), "same"))
     groups = components(reduce(DataFrame.unionAll, links))
-    rest = stored(crossing(lists, groups).join(to_leaders, ["a", "b"], "left_anti"), "rest")
+    rest = stored(crossing(lists, groups, classes, plain, size, percent), "rest")
     if rest.take(1):
-        links.append(verified(rest, classes, plain, size, percent, k))
-        groups = components(reduce(DataFrame.unionAll, links))
+        groups = components(reduce(DataFrame.unionAll, [*links, rest]))
 
     found = members.join(groups.withColumnRenamed("node", "class_id"), "class_id", "left")
     component = F.when(F.col("class_id").isNull(), F.col("doc_id")).otherwise(F.coalesce("component", "class_id"))

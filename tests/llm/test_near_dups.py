@@ -69,10 +69,31 @@ def test_against_brute_force(spark, docs, size, percent):
     assert sum(not row[3] for row in found) > 20
 
 
+def test_sure_runs():
+    assert [near_dups.sure_run(p, least) for p, least in ((85, 2), (85, 20), (80, 2), (80, 20))] == [3, 5, 2, 4]
+    rng = random.Random(1)
+    for percent, least in ((85, 2), (85, 20), (80, 2), (80, 20)):
+        for _ in range(4000):
+            union = rng.randrange(least, 120)
+            gaps = set(rng.sample(range(union), union * (100 - percent) // 100))
+            if gaps:
+                longest = max(map(len, "".join("x" if i in gaps else "." for i in range(union)).split("x")))
+                assert longest >= near_dups.sure_run(percent, least)
+
+
+def test_heavy_edits_of_one_text(spark):
+    rng = random.Random(21)
+    base = [f"w{rng.randrange(900)}" for _ in range(160)]
+    edits = [(i, " ".join(edited(rng, base, rng.random() * 0.12))) for i in range(150)]
+    edits += [(200 + i, edits[100 + i][1] + " tail of its own") for i in range(10)]
+    frame = spark.createDataFrame(edits, "doc_id bigint, text string")
+    assert got(near_dups.near_duplicates(frame, size=3, percent=85)) == brute(edits, 3, 85)
+
+
 def test_small_sketch_and_shuffled_texts(spark, docs, monkeypatch):
     monkeypatch.setattr(near_dups, "BROADCAST_IDS", 0)
     frame = spark.createDataFrame(docs, "doc_id bigint, text string")
-    assert got(near_dups.near_duplicates(frame, size=3, percent=85, k=48)) == brute(docs, 3, 85)
+    assert got(near_dups.near_duplicates(frame, size=3, percent=85, k=64)) == brute(docs, 3, 85)
 
 
 def test_odd_rows(spark):
