@@ -71,6 +71,32 @@ def test_copies_of_an_article_stay(spark):
     assert {r["text"] for r in site_style.extract(frame).collect()} == {"T\ncopy"}
 
 
+def found(spark, pages):
+    frame = spark.createDataFrame([(i, "http://h/", page) for i, page in enumerate(pages)], "page_id int, url string, html string")
+    return [r["text"] for r in site_style.extract(frame).orderBy("page_id").collect()]
+
+
+def test_repeated_blocks_inside_an_article_go(spark):
+    body = lambda i: "".join(f"<p>story {i} part {j}</p>" for j in range(i % 4 + 1))
+    got = found(spark, [f"<main><article><h1>T {i}</h1><p>All rights reserved</p>{body(i)}</article></main>" for i in range(12)])
+    assert got == ["\n".join([f"T {i}", *(f"story {i} part {j}" for j in range(i % 4 + 1))]) for i in range(12)]
+
+
+@pytest.mark.parametrize("most", [0, 1000])
+def test_text_beside_teasers_stays_and_copies_count_once(spark, monkeypatch, most):
+    monkeypatch.setattr(site_style, "BROADCAST_NODES", most)
+    page = lambda i: f"<article><a>teaser {i}</a></article><div class=body><p>body {i}</p><p>more {i}</p></div><div class=end>Call us</div>"
+    copies = [f"<div class=x><p>line {i}</p></div><article><h1>T</h1><p>copy</p></article>" for i in range(20)]
+    got = found(spark, [page(i) for i in range(8)] + copies)
+    assert got[:8] == [f"teaser {i}\nbody {i}\nmore {i}" for i in range(8)]
+    assert all(text.endswith("T\ncopy") for text in got[8:])
+
+
+def test_without_article_texts_of_one_path_are_judged_alone(spark):
+    got = found(spark, [f"<div><p>own {i}</p><p>and {i}</p><p>Imprint</p></div>" for i in range(10)])
+    assert got == [f"own {i}\nand {i}" for i in range(10)]
+
+
 def test_odd_rows(spark):
     schema = "page_id int, url string, html string, host string, text int, node string"
     frame = spark.createDataFrame([(1, None, None, "h", 1, "n"), (None, "no url", "", "h", 1, "n"), (3, "http://U:p@H.example:80/x", "<p>x", None, None, None)] * 2, schema)
