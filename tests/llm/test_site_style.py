@@ -114,3 +114,21 @@ def test_query(spark, folder):
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>|<br>", article)]
         assert row["text"] == "\n".join(filter(None, blocks))
         assert row["n_chars"] == len(row["text"])
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<article><h2 id='related-work'>Related work</h2><h2 id='market-share'>Share</h2><section id='search'><p>s</p></section></article>", "Related work\nShare\ns"),
+    ("<div class='content has-sidebar'><article><p>a</p></article></div><div class='no-sidebar'>b</div>", "a\nb"),
+    ("<div class='page sidebar'><main><p>a</p></main></div>", "a"),
+    ("<div class='page sidebar'><article><p>a</p></article></div>", "a"),
+    ("<article><p><label>l</label> <math><mi>x</mi></math> <audio>u</audio><video>v</video></p></article>", "l x uv"),
+    ("<p>a <span class='ad'>buy</span> b</p><h2 id='search'>Search</h2>", "a b\nSearch"),
+])
+def test_names_take_no_text(page, want):
+    assert text(page) == want
+
+
+def test_a_name_is_refuted_by_the_tree(spark):
+    kinds = ["<p>{0}</p><ul><li>x {0}</ul>", "<h2>{0}</h2><p>y {0}</p>", "<p>{0}</p><h2>z {0}</h2><p>q {0}</p>", "<blockquote>{0}</blockquote>", "<table><tr><td>{0}</table>", "<pre>{0}</pre>"]
+    got = found(spark, [f"<div class='share'>{kind.format(f'text {i}')}</div><div class='ad'><p>buy {i}</p></div><p>end {i}</p>" for i, kind in enumerate(kinds)])
+    assert all(f"text {i}" in one and f"end {i}" in one and "buy" not in one for i, one in enumerate(got))
