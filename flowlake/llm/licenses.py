@@ -2,11 +2,15 @@
 
 The templates are short public notices. From the documents comes the inverse document
 frequency (IDF) of every template word, counted over all of them. The index has, for each
-template, the postings (template, place) of its words with the highest IDF, its *anchors*.
+template, the postings (template, place) of its words with the highest IDF, its *anchors*:
+so many that the others together weigh less than ``share`` of the template, so no place that
+reaches ``share`` misses all anchors. Words that no document has need no posting.
 A file looks up the anchors among its words; each hit lays a template over the file at one
 relative position. There the rest of the template is compared word by word: the share of
 its IDF weight that stands in place must reach ``share``, and its mandatory phrase must
-stand in that stretch.
+stand in that stretch. Where no such position is near, words count that stand up to
+``shift`` words (a fifth of the template) before or after their place, so that inserted and
+missing words do not part a notice into two halves that both fall short.
 
 Apart from the IDF count (one row per template word leaves a task) there is no shuffle:
 the index is bounded by the templates and becomes literals, and a file is scanned where it
@@ -95,14 +99,35 @@ def with_words(docs: DataFrame, text: str) -> DataFrame:
     return rows.withColumn("__words", F.when(F.col("__plain") == "", F.array().cast("array<string>")).otherwise(F.split("__plain", " ")))
 
 
-def inverse_frequencies(docs: DataFrame, text: str, templates: list[tuple[str, str, str]]) -> dict[str, float]:
-    """IDF of each template word over all documents; one row per word comes back."""
+def frequencies(docs: DataFrame, text: str, templates: list[tuple[str, str, str]]) -> tuple[dict[str, int], int]:
+    """Documents with each template word (one row per word comes back), and all documents."""
     known = sorted({w for _, notice, _ in templates for w in notice.split()})
     rows = with_words(docs.select(text), text)
-    total = docs.count()
     counts = rows.select(F.explode(F.array_intersect("__words", strings(known))).alias("word")).groupBy("word").count()
     found = {r["word"]: r["count"] for r in counts.collect()}
-    return {w: math.log((total + 1) / (found.get(w, 0) + 1)) + 1e-6 for w in known}
+    return {w: found.get(w, 0) for w in known}, docs.count()
+
+
+def weighed(found: dict[str, int], total: int) -> dict[str, float]:
+    return {w: math.log((total + 1) / (n + 1)) + 1e-6 for w, n in found.items()}
+
+
+def inverse_frequencies(docs: DataFrame, text: str, templates: list[tuple[str, str, str]]) -> dict[str, float]:
+    """IDF of each template word over all documents."""
+    return weighed(*frequencies(docs, text, templates))
+
+
+def anchors_of(notice: list[str], found: dict[str, int], idf: dict[str, float], share: float) -> list[str]:
+    """The rarest words of a notice, until the weight of the rest cannot reach ``share``."""
+    need = share * sum(idf[w] for w in notice) * (1 - 1e-9)
+    rest = sum(idf[w] for w in notice if found[w])
+    anchors = []
+    for word in sorted({w for w in notice if found[w]}, key=lambda w: (-idf[w], w)):
+        if rest < need:
+            break
+        anchors.append(word)
+        rest -= idf[word] * notice.count(word)
+    return anchors
 
 
 def strings(values: list[str]) -> Column:
@@ -124,24 +149,25 @@ def phrase_starts(words: Column, phrases: list[list[str]]) -> Column:
 
 def scan(
     docs: DataFrame, text: str = "text", phrases: dict[str, str] | None = None, templates: list[tuple[str, str, str]] | None = None,
-    anchors: int = 3, share: float = 0.7,
+    share: float = 0.7,
 ) -> DataFrame:
     """The rows of ``docs`` with ``n_words``, ``n_base``, ``first_word``, ``last_word``, ``base_labels``,
     ``labels`` (arrays, sorted), ``score`` and ``places``: the (label, first word, share) of each template found."""
     phrases, templates = PHRASES if phrases is None else phrases, TEMPLATES if templates is None else templates
-    idf = inverse_frequencies(docs, text, templates)
+    found = frequencies(docs, text, templates)
+    idf = weighed(*found)
     notices = [notice.split() for _, notice, _ in templates]
     weights = [[idf[w] for w in notice] for notice in notices]
 
     # The index: anchor word -> (template, place).
     postings: dict[str, list[tuple[int, int]]] = {}
     for t, notice in enumerate(notices):
-        rare = sorted(set(notice), key=lambda w: (-idf[w], w))[:anchors]
+        rare = set(anchors_of(notice, found[0], idf, share))
         for place, word in enumerate(notice):
             if word in rare:
                 postings.setdefault(word, []).append((t, place))
     posting = lambda t, place: F.struct(F.lit(t).alias("t"), F.lit(place).alias("place"))
-    index = F.create_map(*[x for word, found in sorted(postings.items()) for x in (F.lit(word), F.array(*[posting(*p) for p in found]))]) if postings else None
+    index = F.create_map(*[x for word, at in sorted(postings.items()) for x in (F.lit(word), F.array(*[posting(*p) for p in at]))]) if postings else None
 
     rows = with_words(docs, text)
     words, size = F.col("__words"), F.size("__words")
@@ -169,26 +195,52 @@ def scan(
     entry = lambda t: F.struct(
         F.lit(templates[t][0]).alias("label"), strings(notices[t]).alias("words"),
         F.array(*map(F.lit, weights[t])).alias("weights"), F.lit(f" {templates[t][2]} ").alias("must"), F.lit(sum(weights[t])).alias("all"),
+        F.lit(max(1, len(notices[t]) // 5)).alias("shift"),
     )
     place = "array<struct<label: string, first_word: int, share: double>>"
     if templates:
         table = F.array(*[entry(t) for t in range(len(templates))])
 
-        def compare(l: Column) -> Column:
+        def weight(l: Column, stands) -> Column:
             notice = F.get(table, l["t"])
-            there = F.aggregate(
-                F.transform(notice["words"], lambda w, i: F.when(F.get(words, l["at"] + i) == w, F.get(notice["weights"], i)).otherwise(F.lit(0.0))),
-                F.lit(0.0), lambda total, w: total + w,
-            )
-            first = F.greatest(l["at"], F.lit(0))
-            stretch = F.slice(words, first + 1, F.greatest(l["at"] + F.size(notice["words"]) - first, F.lit(0)))
+            hits = F.transform(notice["words"], lambda w, i: F.when(stands(w, l["at"] + i, notice["shift"]), F.get(notice["weights"], i)).otherwise(F.lit(0.0)))
+            return F.aggregate(hits, F.lit(0.0), lambda total, w: total + w)
+
+        def part(start: Column, end: Column) -> Column:
+            first = F.greatest(start, F.lit(0))
+            return F.slice(words, first + 1, F.greatest(end - first, F.lit(0)))
+
+        def judge(l: Column, there: Column, shift: Column) -> Column:
+            notice = F.get(table, l["t"])
+            stretch = part(l["at"] - shift, l["at"] + F.size(notice["words"]) + shift)
             inside = F.concat(F.lit(" "), F.array_join(stretch, " "), F.lit(" "))
-            return F.when(
-                (there >= share * notice["all"]) & inside.contains(notice["must"]),
-                F.struct(notice["label"].alias("label"), first.alias("first_word"), F.least(F.lit(1.0), F.round(there / notice["all"], 9)).alias("share")),
+            return (there >= share * notice["all"]) & inside.contains(notice["must"])
+
+        def with_weight(l: Column, there: Column) -> Column:
+            return F.struct(l["t"].alias("t"), l["at"].alias("at"), there.alias("there"))
+
+        def near(x: Column, y: Column) -> Column:
+            return (x["t"] == y["t"]) & (F.abs(x["at"] - y["at"]) <= F.get(table, x["t"])["shift"])
+
+        def ahead(x: Column, y: Column) -> Column:
+            return near(x, y) & ((y["there"] > x["there"]) | (y["there"] == x["there"]) & (y["at"] < x["at"]))
+
+        def placed(l: Column) -> Column:
+            notice = F.get(table, l["t"])
+            return F.struct(
+                notice["label"].alias("label"), F.greatest(l["at"], F.lit(0)).alias("first_word"),
+                F.least(F.lit(1.0), F.round(l["there"] / notice["all"], 9)).alias("share"),
             )
 
-        rows = rows.withColumn("places", F.array_sort(F.array_distinct(F.array_compact(F.transform("__laid", compare)))).cast(place))
+        in_place = lambda w, i, shift: F.get(words, i) == w
+        around = lambda w, i, shift: F.array_contains(part(i - shift, i + shift + 1), w)
+        rows = rows.withColumn("__alone", F.transform("__laid", lambda l: with_weight(l, weight(l, in_place))))
+        rows = rows.withColumn("__alone", F.filter("__alone", lambda l: judge(l, l["there"], F.lit(0))))
+        rows = rows.withColumn("__joined", F.filter("__laid", lambda x: ~F.exists("__alone", lambda y: near(x, y))))
+        rows = rows.withColumn("__joined", F.transform("__joined", lambda l: with_weight(l, weight(l, around))))
+        rows = rows.withColumn("__joined", F.filter("__joined", lambda l: judge(l, l["there"], F.get(table, l["t"])["shift"])))
+        joined = F.filter("__joined", lambda x: ~F.exists("__joined", lambda y: ahead(x, y)))
+        rows = rows.withColumn("places", F.array_sort(F.array_distinct(F.transform(F.concat("__alone", joined), placed))).cast(place)).drop("__alone", "__joined")
     else:
         rows = rows.withColumn("places", F.array().cast(place))
     labels = F.array_sort(F.array_union("__base", F.transform("places", lambda p: p["label"])))

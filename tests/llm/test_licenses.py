@@ -72,6 +72,34 @@ def test_against_brute_force(spark, texts):
     assert sum(bool(r["places"]) for r in rows.values()) > 40
 
 
+def test_a_notice_without_its_rarest_words_is_found(spark):
+    notice = next(n for label, n, _ in licenses.TEMPLATES if label == "mit" and len(n.split()) > 20)
+    altered = notice.replace("sublicense", "x").replace("merge", "x").replace("associated", "x")
+    frame = spark.createDataFrame([(altered,), (notice,), (altered,), ("other words",)] + [("and or the to of",)] * 20, "text string")
+    assert [r["labels"] for r in licenses.scan(frame).collect()][:4] == [["mit"], ["mit"], ["mit"], []]
+    # The same where no document has these words.
+    assert [r["labels"] for r in licenses.scan(frame.filter("text not like '%sublicense%'")).collect()][:2] == [["mit"]] * 2
+
+
+def test_anchors_leave_too_little_for_a_place():
+    for notice in (n.split() for _, n, _ in licenses.TEMPLATES):
+        found = {w: i % 4 for i, w in enumerate(sorted(set(notice)))}
+        idf = licenses.weighed(found, 9)
+        anchors = licenses.anchors_of(notice, found, idf, 0.7)
+        assert all(found[w] for w in anchors)
+        assert sum(idf[w] for w in notice if found[w] and w not in anchors) < 0.7 * sum(idf[w] for w in notice)
+
+
+def test_an_inserted_or_missing_word_does_not_part_a_notice(spark):
+    notice = licenses.TEMPLATES[6][1].split()
+    half = len(notice) // 2
+    texts = [notice[:half] + ["new"] + notice[half:], notice[:half] + notice[half + 1:], notice[:half]]
+    frame = spark.createDataFrame([(" ".join(t),) for t in texts] + [("a b c d",)] * 20, "text string")
+    rows = licenses.scan(frame).collect()
+    assert [r["labels"] for r in rows[:3]] == [["mit"], ["mit"], []]
+    assert [len(r["places"]) for r in rows[:3]] == [1, 1, 0]
+
+
 def test_odd_rows(spark):
     schema = "doc_id int, text string, labels int, places string, w string"
     frame = spark.createDataFrame([(None, None, 1, "x", "y"), (2, "Licensed under CC BY-NC 4.0.", 1, "x", "y"), (2, "Licensed under CC BY-NC 4.0.", 1, "x", "y")], schema)
