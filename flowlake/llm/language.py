@@ -10,8 +10,8 @@ Words are runs of letters, lower-cased, read with a mark for the word's start; r
 more than ``LONGEST`` letters are read in parts of that length. Words count once per
 occurrence and are worked out once per worker as long as its memory of words lasts.
 
-The labelled rows that are read for training are bounded by ``rows_per_language``,
-picked by a hash of the text; the lexicon of their words is counted by Spark and the
+Training reads distinct texts, ``rows_per_language`` of each language or all it has, picked by
+a hash of the text, so copies neither use up the bound nor break it; the lexicon of their words is counted by Spark and the
 expectation step runs on it in parallel. The model (languages x pieces) is bounded by
 the vocabulary and by ``MOST_LANGUAGES``.
 
@@ -32,7 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from flowlake.session import scratch_path
 
@@ -43,6 +43,8 @@ LONG_TEXT = 1 << 20
 REMEMBERED = 1 << 19
 PRIOR = 0.01
 MOST_LANGUAGES = 500
+#: Chosen texts, 16 bytes each, that are sent to all tasks at most.
+BROADCAST_TEXTS = 1_000_000
 UNKNOWN = "und"
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -207,12 +209,31 @@ def remembered(content: bytes) -> WordScores:
     return WordScores(loaded(content))
 
 
+def distinct_texts(rows: DataFrame, counts: dict[str, int], bound: int) -> DataFrame:
+    """(lang, text) of each language's ``counts`` distinct texts, or of ``bound`` of them by hash. Copies count once."""
+    spark = rows.sparkSession
+    rows = rows.withColumn("text_no", F.xxhash64("text"))
+    if any(n > bound for n in counts.values()):
+        # Somewhat more than the bound by share; of these few, exactly the bound by rank.
+        some = bound + 8 * bound**0.5 + 20
+        share = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, some / n))])
+        few = rows.filter(F.pmod("text_no", F.lit(1_000_000_000)) < F.element_at(share, F.col("lang")) * 1_000_000_000)
+        rank = F.row_number().over(Window.partitionBy("lang").orderBy("text_no"))
+        path = scratch_path(spark, "texts")
+        few.select("lang", "text_no").distinct().withColumn("rank", rank).filter(F.col("rank") <= bound).drop("rank").write.parquet(path)
+        chosen = spark.read.schema("lang string, text_no bigint").parquet(path)
+        chosen = F.broadcast(chosen) if chosen.count() <= BROADCAST_TEXTS else chosen
+        rows = rows.join(chosen, ["lang", "text_no"], "left_semi")
+    return rows.groupBy("lang", "text_no").agg(F.first("text").alias("text")).select("lang", "text")
+
+
 def fit(labelled: DataFrame, text: str, label: str, pieces_path: str, rows_per_language: int = 5000, rounds: int = 3) -> PieceModel:
     """Piece probabilities per language by ``rounds`` of expectation-maximisation."""
     spark = labelled.sparkSession
     rows = labelled.select(F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{label}`").cast("string").alias("lang"))
     rows = rows.filter("text is not null and lang is not null")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()}
+    texts = rows.select("lang", F.xxhash64("text").alias("text_no")).distinct()
+    counts = {r["lang"]: r["n"] for r in texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()}
     if len(counts) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     languages = sorted(counts)
@@ -220,9 +241,7 @@ def fit(labelled: DataFrame, text: str, label: str, pieces_path: str, rows_per_l
     if not languages:
         return model
 
-    # A language with few rows keeps all of them, a large one about the bound.
-    share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, rows_per_language / counts[lang]))])
-    picked = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.element_at(share, F.col("lang")) * 1_000_000)
+    picked = distinct_texts(rows, counts, rows_per_language)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

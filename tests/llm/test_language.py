@@ -89,3 +89,16 @@ def test_odd_rows(spark):
     empty = language.fit(rows.limit(0), "text", "lang", PIECES)
     assert {(r["lang_pred"], r["score"]) for r in language.identify(rows, empty).collect()} == {("und", 0.0)}
     assert language.identify(rows.limit(0), model).count() == 0
+
+
+def test_copies_neither_use_up_nor_break_the_bound(spark):
+    texts = {f"l{i}": [f"{w}{w} {w}" for w in (f"w{chr(97 + i)}{chr(97 + j)}" for j in range(1 + 20 * (i % 2)))] for i in range(8)}
+    rows = [(t, lang) for lang, some in texts.items() for k, t in enumerate(some) for _ in range(40 if k == 0 else 1)]
+    frame = spark.createDataFrame(rows, "text string, lang string")
+    counts = {lang: len(some) for lang, some in texts.items()}
+    for bound in (10, 100):
+        got = [(r["lang"], r["text"]) for r in language.distinct_texts(frame, counts, bound).collect()]
+        assert len(got) == len(set(got))
+        assert Counter(lang for lang, _ in got) == {lang: min(bound, n) for lang, n in counts.items()}
+    model = language.fit(frame, "text", "lang", PIECES, rows_per_language=10)
+    assert all(model.chance[:-1, i].max() > 10 * model.chance[:-1, i].min() for i in range(8))
