@@ -6,6 +6,8 @@ columns of documents; the last returns the token ids' and texts' digests.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowlake.llm import bpe, decontamination, language, near_dups, outliers
@@ -20,7 +22,7 @@ ORACLE_SQL = None
 
 
 def without(docs: DataFrame, rejected: DataFrame, purpose: str) -> DataFrame:
-    """The documents whose id is not among the rejected ones. Documents without an id stay."""
+    """The rows whose id is not among the rejected ones. Rows without an id stay."""
     spark = docs.sparkSession
     path = scratch_path(spark, purpose)
     rejected.select(F.col("doc_id").cast("bigint").alias("doc_id")).filter("doc_id is not null").distinct().write.parquet(path)
@@ -29,6 +31,26 @@ def without(docs: DataFrame, rejected: DataFrame, purpose: str) -> DataFrame:
     return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_anti").select(docs.columns)
 
 
+def stored(frame: DataFrame, purpose: str) -> DataFrame:
+    path = scratch_path(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def judged_by_row(docs: DataFrame, rejected: Callable[[DataFrame, DataFrame], DataFrame], purpose: str) -> DataFrame:
+    """The documents without the rows that are rejected.
+
+    A number per row takes the place of ``doc_id`` while a stage judges, so rows without an id
+    and rows that share one are told apart. ``rejected`` gets these rows and, per number, the
+    id of the document (``own_id``) and a digest of id and text."""
+    digest = F.sha2(F.to_json(F.struct("doc_id", "text"), {"ignoreNullFields": "false"}).cast("binary"), 256)
+    rows = stored(docs.withColumns({"__row": F.monotonically_increasing_id(), "__digest": digest}), f"{purpose}-rows")
+    numbered = rows.drop("doc_id", "__digest").withColumnRenamed("__row", "doc_id")
+    owners = rows.select(F.col("__row").alias("doc_id"), F.col("doc_id").alias("own_id"), F.col("__digest").alias("digest"))
+    left = without(rows.withColumnRenamed("doc_id", "__id").withColumnRenamed("__row", "doc_id"), rejected(numbered, owners), purpose)
+    return left.select(*[F.col("__id").alias(c) if c == "doc_id" else c for c in docs.columns])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without letters go, and those that no language explains better than the others."""
     found = language.identify(docs.withColumn("__docs", F.struct(*docs.columns)), language.fit(docs, "text", "lang", PIECES))
@@ -37,18 +59,29 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts that fail the base rules or are outliers for their language and source go."""
-    return without(docs, outliers.judge(docs).filter("not kept"), "outliers")
+    return judged_by_row(docs, lambda rows, _: outliers.judge(rows).filter("not kept"), "outliers")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies stays."""
-    return without(docs, near_dups.near_duplicates(docs, size=3, percent=85).filter("not kept"), "copies")
+    """One row of each component of near copies, and of rows of the same id and text, stays: that of the lowest id."""
+
+    def copies(rows: DataFrame, owners: DataFrame) -> DataFrame:
+        found = near_dups.near_duplicates(rows, size=3, percent=85).select("doc_id", "n_shingles", "component_id")
+        found = found.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")))
+        found = stored(found.join(owners, "doc_id"), "copies-found")
+        group = ("component_id", F.when(F.col("component_id").isNull(), F.col("digest")))
+        first = F.min(F.struct(F.col("own_id").isNull().alias("none"), "own_id", "doc_id"))
+        kept = found.groupBy(*group).agg(first.alias("first")).select("first.doc_id")
+        return found.join(kept, "doc_id", "left_anti")
+
+    return judged_by_row(docs, copies, "copies")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a benchmark passage go."""
+    """Documents with a benchmark passage go, whether its item has an id or not."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return without(docs, decontamination.contamination(docs, items).filter("n_hit > 0"), "contaminated")
+    items = stored(items.select(F.monotonically_increasing_id().alias("item_id"), "text"), "items")
+    return judged_by_row(docs, lambda rows, _: decontamination.contamination(rows, items).filter("n_hit > 0"), "contaminated")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -54,3 +54,20 @@ def test_odd_rows(spark, folder):
     assert corpus_pipeline.language_id(spark, docs, folder).count() == 0
     model = language.fit(docs, "text", "lang", PIECES)
     assert model.languages == ["en"]
+
+
+def test_rows_are_judged_one_by_one(spark, folder, tmp_path):
+    passage = "one two three four five six seven eight nine ten eleven twelve"
+    spark.createDataFrame([(None, passage), (1, "not in any document")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    frame = lambda rows: spark.createDataFrame([(i, text, "en", "s", len(text)) for i, text in rows], schema)
+    got = lambda found: sorted(((r["doc_id"], r["text"]) for r in found.collect()), key=str)
+    other, copy = "a clean text of its own", "this is a text that stands here more than once"
+    # A hit without an id, under a shared id and under none.
+    docs = frame([(5, f"x {passage} y"), (5, other), (None, passage), (None, other)])
+    assert got(corpus_pipeline.decontaminate(spark, docs, str(tmp_path))) == [(5, other), (None, other)]
+    docs = frame([(7, copy), (7, copy), (None, copy), (9, copy), (7, other), (3, ""), (3, ""), (None, ""), (4, "")])
+    assert got(corpus_pipeline.near_duplicates(spark, docs, folder)) == sorted([(7, copy), (7, other), (3, ""), (None, ""), (4, "")], key=str)
+    bad, good = "!!! ??? ###", "This is a plain sentence of a few common words that nobody would object to, and it goes on for a while. " * 5
+    docs = frame([(1, bad), (None, bad), (1, good)])
+    assert bad not in {r["text"] for r in corpus_pipeline.quality_rules(spark, docs, folder).collect()}
