@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowlake.llm import bpe, chat, decontamination, interpolation, language, licenses, near_dups, outliers, site_style, token_counts
+from flowlake.llm import (
+    bpe, chat, decontamination, divergence, interpolation, language, licenses, merkle, near_dups, outliers, site_style, token_counts,
+    url_filters,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -131,3 +134,158 @@ def op10_site_style_tree(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""
     found = site_style.extract(table(spark, folder, "pages"))
     return found.select("page_id", "url", "text", "n_chars")
+
+
+#: Site rules of the URL query (fixed values of its contract), and words in names of sites whose URLs are listed.
+RULES = [
+    url_filters.Rule("block", "net"), url_filters.Rule("allow", "example.net", "/en/"),
+    url_filters.Rule("block", "example.com", "/de/"), url_filters.Rule("allow", "org", "/fr/"),
+]
+LISTED_SITES = "(^|[.-])(adult|casino|pills|spam)([.-]|\\z)"
+
+
+@query
+def op11_blocked_bloom(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's URL judged by the rules, else by the list: the URLs of sites with a word of ``LISTED_SITES`` in their name."""
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    host, _ = url_filters.host_and_path(F.col("url"))
+    listed = pages.filter(host.rlike(LISTED_SITES)).select("url")
+    found = url_filters.judge(pages, listed, RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict", "canonical_url", "listed")
+
+
+def replaced(value: str, steps: list[tuple[str, str]]) -> str:
+    for pattern, to in steps:
+        value = f"regexp_replace({value}, '{pattern}', '{to}', 'g')"
+    return value
+
+
+SQL["op11_blocked_bloom"] = f"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+parts AS (
+  SELECT page_id, rest, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), '{url_filters.UPPER}', '{url_filters.LOWER}'), '') AS host,
+    coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+  FROM cut),
+forms AS (
+  SELECT page_id, host, path, {replaced("host", url_filters.HOST_STEPS)} AS site, {replaced("path", url_filters.PATH_STEPS)} AS place,
+    list_sort(list_filter(string_split(coalesce(regexp_extract(rest, '^[^?#]*\\?([^#]*)', 1), ''), '&'),
+      lambda p: p <> '' AND NOT regexp_matches(p, '{url_filters.TRACKING}'))) AS given
+  FROM parts),
+canon AS (
+  SELECT page_id, host, path,
+    CASE WHEN site <> '' THEN site || place || CASE WHEN len(given) > 0 THEN '?' || array_to_string(given, '&') ELSE '' END END AS canonical_url
+  FROM forms),
+listed AS (SELECT DISTINCT canonical_url FROM canon WHERE regexp_matches(host, '{LISTED_SITES}')),
+rules(verdict, rule, rhost, rpath) AS (
+  VALUES {", ".join(f"('{r.verdict}', '{r.name}', '{r.host}', '{r.path}')" for r in RULES)}),
+ruled AS (
+  SELECT c.*, (SELECT struct_pack(rule := r.rule, verdict := r.verdict) FROM rules r
+    WHERE (c.host = r.rhost OR ends_with(c.host, '.' || r.rhost)) AND starts_with(c.path, r.rpath)
+    ORDER BY length(r.rule) DESC, r.verdict DESC, r.rule LIMIT 1) AS found
+  FROM canon c)
+SELECT r.page_id, r.host, r.path, r.found.rule AS rule,
+  coalesce(r.found.verdict, CASE WHEN l.canonical_url IS NULL THEN 'allow' ELSE 'block' END) AS verdict,
+  r.canonical_url, l.canonical_url IS NOT NULL AS listed
+FROM ruled r LEFT JOIN listed l ON r.canonical_url = l.canonical_url
+"""
+
+
+@query
+def op12_run_length_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Differences of every two sources of a language, and each source's most overused terms."""
+    return divergence.audit(table(spark, folder, "documents").select("lang", "source", "text"))
+
+
+SQL["op12_run_length_audit"] = """
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+single AS (SELECT d, lang, source, unnest(words) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS n FROM single GROUP BY lang, term HAVING count(DISTINCT d) >= 30),
+langs AS (SELECT lang, count(term) AS v, coalesce(sum(n), 0) AS n FROM (SELECT DISTINCT lang FROM docs) LEFT JOIN kept USING (lang) GROUP BY lang),
+counted AS (SELECT lang, source, term, count(*) AS n FROM single JOIN kept USING (lang, term) GROUP BY lang, source, term),
+groups AS (
+  SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN counted c USING (lang, source) GROUP BY g.lang, g.source),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (g.n + 5 * l.v) AS p,
+    1 + (1000000000::HUGEINT * (k.n + 5)) // (l.n + 5 * l.v) AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(coalesce(v.value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS other, sum(abs(x.p - y.p)) AS value
+    FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) v
+  ON v.lang = a.lang AND v.source = a.source AND v.other = b.source),
+terms AS (SELECT lang, source, term AS item, CAST(p - q AS BIGINT) AS value FROM shares WHERE n > 0 AND p > q),
+found AS (SELECT *, 'pair' AS part FROM pairs UNION ALL SELECT *, 'term' AS part FROM terms),
+placed AS (
+  SELECT lang, source, part, item, value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM found)
+SELECT * FROM placed WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@query
+def op13_slot_pivot(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest of all documents; where 2 divides the id's crc32, the text is presented without its line feeds."""
+    docs = table(spark, folder, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    leaf = lambda text: merkle.digest(*[merkle.field(c) for c in (F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)])
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False)) & F.col("text").contains("\n")
+    shown = F.when(tampered, leaf(F.replace("text", F.lit("\n"), F.lit(""))))
+    return merkle.manifest(docs, "source", "doc_id", leaf(F.col("text")), shown)
+
+
+#: One step of the shift register of crc32, and eight of them.
+_SHIFT = "CASE WHEN {c} & 1 = 1 THEN xor({c} >> 1, 3988292384) ELSE {c} >> 1 END"
+
+SQL["op13_slot_pivot"] = f"""
+WITH RECURSIVE register AS (
+  SELECT i AS entry, CAST(i AS BIGINT) AS c, 0 AS k FROM range(256) t(i)
+  UNION ALL SELECT entry, {_SHIFT.format(c="c")}, k + 1 FROM register WHERE k < 8),
+steps AS (SELECT list(c ORDER BY entry) AS after FROM register WHERE k = 8),
+docs AS (
+  SELECT doc_id, source, replace(text, chr(10), '') AS cut, text,
+    coalesce(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+      lambda a, b: xor(a >> 8, after[CAST(1 + (xor(a, b) & 255) AS BIGINT)])) & 1 = 1, false) AS tampered,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head
+  FROM documents, steps),
+leaves AS (
+  SELECT doc_id, source, leaf, CASE WHEN tampered AND text IS NOT NULL THEN sha256(head || strlen(cut) || ':' || cut) ELSE leaf END AS shown,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n
+  FROM (SELECT *, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf FROM docs)),
+lower AS (
+  SELECT source, 0 AS level, pos, leaf AS hash, n FROM leaves
+  UNION ALL SELECT source, level + 1, pos // 3, sha256(string_agg(hash, '' ORDER BY pos)), any_value((n + 2) // 3)
+  FROM lower WHERE n > 1 GROUP BY source, level, pos // 3),
+subroots AS (
+  SELECT source, level, hash, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM lower WHERE n = 1),
+upper AS (
+  SELECT 0 AS level, pos, hash, n FROM subroots
+  UNION ALL SELECT level + 1, pos // 3, sha256(string_agg(hash, '' ORDER BY pos)), any_value((n + 2) // 3)
+  FROM upper WHERE n > 1 GROUP BY level, pos // 3),
+nodes AS (
+  SELECT 'l' AS part, source, level, pos, hash, n FROM lower UNION ALL SELECT 'u', NULL, level, pos, hash, n FROM upper),
+beside AS (
+  SELECT a.part, a.source, a.level, a.pos, coalesce(string_agg(b.hash, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS before,
+    coalesce(string_agg(b.hash, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS behind
+  FROM nodes a JOIN nodes b ON a.part = b.part AND a.source IS NOT DISTINCT FROM b.source AND a.level = b.level AND a.pos // 3 = b.pos // 3
+  WHERE a.n > 1 GROUP BY a.part, a.source, a.level, a.pos),
+climb AS (
+  SELECT l.doc_id, l.source, l.leaf, s.hash AS subroot, s.pos AS top, l.pos AS start, 'l' AS part, 0 AS level, l.pos, l.n, l.shown AS folded, '' AS proof
+  FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source
+  UNION ALL
+  SELECT c.doc_id, c.source, c.leaf, c.subroot, c.top, c.start,
+    CASE WHEN c.n = 1 THEN 'u' ELSE c.part END, CASE WHEN c.n = 1 THEN 0 ELSE c.level + 1 END,
+    CASE WHEN c.n = 1 THEN c.top ELSE c.pos // 3 END, CASE WHEN c.n = 1 THEN (SELECT max(n) FROM subroots) ELSE (c.n + 2) // 3 END,
+    CASE WHEN c.n = 1 THEN c.folded ELSE sha256(b.before || c.folded || b.behind) END,
+    CASE WHEN c.n = 1 THEN c.proof ELSE c.proof || b.before || b.behind END
+  FROM climb c LEFT JOIN beside b
+    ON c.part = b.part AND (c.part = 'u' OR c.source IS NOT DISTINCT FROM b.source) AND c.level = b.level AND c.pos = b.pos
+  WHERE c.n > 1 OR c.part = 'l')
+SELECT c.doc_id, c.leaf, c.subroot, u.hash AS root, sha256(c.proof) AS proof_sha256, c.folded AS folded_root, c.folded = u.hash AS verified
+FROM climb c CROSS JOIN (SELECT hash FROM upper WHERE n = 1) u WHERE c.part = 'u' AND c.n = 1
+"""
