@@ -20,23 +20,22 @@ piece crosses such a place. Columns named like the results are replaced.
 
 from __future__ import annotations
 
-import functools
 import json
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import BinaryType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, DataType, StringType
+
+from flowlake.llm import worker
 
 #: The published splitting pattern of the byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PART = 1 << 20
-REMEMBERED = 200_000
-SLICE = 256
 WHOLE = float("inf")
 
 
@@ -97,13 +96,13 @@ class Vocabulary:
         for i, token in tokens.items():
             self.matches.add_word(token, (i, len(token)))
         self.matches.make_automaton()
-        self.borders: dict[tuple[int, int], bool] = {}
+        self.borders = worker.Memory()
         self.pattern = regex.compile(PATTERN)
         # The pattern library and the vocabulary's own library know different Unicode
         # versions; they agree on everything before this block.
         self.newer = re.compile("[^\x00-ԯ]")
         self.specials = re.compile("|".join(map(re.escape, self.special)) or "(?!)")
-        self.kept: dict[str, bytes] = {}
+        self.kept = worker.Memory()
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether ``left`` and ``right`` stay apart when their bytes are encoded together.
@@ -130,9 +129,10 @@ class Vocabulary:
                 a, a_end = self.halves[a][1], a_born
             else:
                 b, b_end = self.halves[b][0], b_born
-        if len(self.borders) > REMEMBERED:
+        if self.borders.full:
             self.borders.clear()
         self.borders[left, right] = apart
+        self.borders.grow((left, right), left, right)
         return apart
 
     def encode_piece(self, piece: str) -> bytes:
@@ -166,11 +166,12 @@ class Vocabulary:
         kept = self.kept
         distinct = set(pieces)
         new = [p for p in distinct if p not in kept]
-        if len(kept) + len(new) > REMEMBERED:
+        if new and kept.full:
             kept.clear()
             new = distinct
         for piece in new:
-            kept[piece] = self.encode_piece(piece)
+            kept[piece] = ids = self.encode_piece(piece)
+            kept.grow(piece, ids)
         return b"".join(map(kept.__getitem__, pieces))
 
     def encode(self, text: str) -> bytes:
@@ -198,40 +199,22 @@ def parts(text: str) -> Iterator[str]:
     yield text[start:] if start else text
 
 
-@functools.lru_cache(1)
-def vocabulary(content: str) -> Vocabulary:
-    return Vocabulary(content)
-
-
-@functools.lru_cache(1)
-def decoder(content: str) -> Decoder:
-    return Decoder(content)
-
-
 def read_vocabulary(spark: SparkSession, path: str):
     """The file, read once and sent to the workers; its size is that of the vocabulary."""
     with open(path, encoding="utf-8") as file:
         return spark.sparkContext.broadcast(file.read())
 
 
-def with_column(rows: DataFrame, source: str, name: str, kind: pa.DataType, make) -> DataFrame:
-    """``rows`` with a column that ``make()`` gives from a source column, some rows at a time.
-
-    The results are sent on after every ``SLICE`` rows, so a worker holds few of them.
-    """
+def with_column(rows: DataFrame, source: str, name: str, kind: DataType, make: Callable[[], Callable]) -> DataFrame:
+    """``rows`` with a column that ``make()`` gives from a source column."""
     rows = rows.drop(name) if name != source and name in rows.columns else rows
-    column = rows.columns.index(source)
-    schema = StructType([*rows.schema.fields, StructField(name, StringType() if kind == pa.string() else BinaryType())])
+    column, arrow = rows.columns.index(source), pa.string() if kind == StringType() else pa.binary()
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made():
         function = make()
-        for batch in batches:
-            for start in range(0, batch.num_rows, SLICE):
-                part = batch.slice(start, SLICE)
-                made = pa.array([function(value.as_py()) for value in part.column(column)], kind)
-                yield pa.RecordBatch.from_arrays([*part.columns, made], names=[*part.schema.names, name])
+        return lambda part: [pa.array([function(value.as_py()) for value in part.column(column)], arrow)]
 
-    return rows.mapInArrow(work, schema)
+    return worker.with_columns(rows, [(name, kind)], made)
 
 
 def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
@@ -239,10 +222,10 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFram
     content = read_vocabulary(docs.sparkSession, path)
 
     def make():
-        known = vocabulary(content.value)
+        known = worker.kept("bpe", Vocabulary, content.value)
         return lambda value: known.encode(value or "")
 
-    return with_column(docs, text, "ids", pa.binary(), make).withColumn("n_tokens", (F.octet_length("ids") / 4).cast("bigint"))
+    return with_column(docs, text, "ids", BinaryType(), make).withColumn("n_tokens", (F.octet_length("ids") / 4).cast("bigint"))
 
 
 def decode_documents(docs: DataFrame, path: str, ids: str = "ids") -> DataFrame:
@@ -250,7 +233,7 @@ def decode_documents(docs: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     content = read_vocabulary(docs.sparkSession, path)
 
     def make():
-        known = decoder(content.value)
+        known = worker.kept("bpe", Decoder, content.value)
         return lambda value: known.decode(value or b"")
 
-    return with_column(docs, ids, "decoded", pa.string(), make)
+    return with_column(docs, ids, "decoded", StringType(), make)

@@ -34,6 +34,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
+from flowlake.llm import worker
 from flowlake.session import materialize
 
 SCALE = 1_000_000_000
@@ -69,6 +70,7 @@ def words(text: bytes) -> Iterator[list[bytes]]:
 
 def partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences and documents per language, source and term, as far as one task sees them."""
+    worker.begin("divergence")
     held: dict[tuple[bytes, bytes], tuple[Counter, Counter]] = {}
 
     def sent() -> Iterator[pa.RecordBatch]:

@@ -6,8 +6,9 @@ algorithm; a text is scored word by word, and the score is the posterior under e
 priors. The piece probabilities come from expectation-maximisation: the expected count
 of a piece over all segmentations of all training words, by forward and backward sums.
 
-Words are runs of letters, lower-cased, read with a mark for the word's start; runs of
-more than ``LONGEST`` letters are read in parts of that length. Words count once per
+Words are runs of letters, lower-cased, read with a mark for the word's start. Runs of up to
+``LONGEST`` letters are worked on many at a time, longer ones one by one, with the last sums
+carried on, so that every segmentation counts whatever the length. Words count once per
 occurrence and are worked out once per worker as long as its memory of words lasts.
 
 Training reads distinct texts, ``rows_per_language`` of each language or all it has, picked by
@@ -26,21 +27,24 @@ from __future__ import annotations
 import functools
 import io
 import re
-from collections import Counter, defaultdict
+from collections import Counter, defaultdict, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, Window
+from pyspark.sql.types import DoubleType, StringType
 
+from flowlake.llm import worker
 from flowlake.session import scratch_path
 
 START = "▁"
 WORD = re.compile(r"[^\W\d_]+")
 LONGEST = 32
 LONG_TEXT = 1 << 20
-REMEMBERED = 1 << 19
+LETTERS_AT_ONCE = 1 << 14
 PRIOR = 0.01
 MOST_LANGUAGES = 500
 #: Chosen texts, 16 bytes each, that are sent to all tasks at most.
@@ -57,12 +61,6 @@ def words_of(text: str) -> Counter:
     return Counter(WORD.findall(lowered))
 
 
-def units(word: str) -> list[str]:
-    """What is segmented: the marked word, in parts if it is very long."""
-    marked = START + word
-    return [marked] if len(marked) <= LONGEST else [marked[i:i + LONGEST] for i in range(0, len(marked), LONGEST)]
-
-
 def public_pieces(path: str) -> list[str]:
     """The lower-case pieces of a public vocabulary of word pieces, without control and byte pieces."""
     from sentencepiece import SentencePieceProcessor
@@ -128,11 +126,64 @@ class PieceModel:
                 if found.any() or end == start + 1:
                     yield start, end, rows
 
+    @functools.cached_property
+    def logs(self) -> np.ndarray:
+        with np.errstate(divide="ignore"):
+            return np.log(self.chance)
+
+    def rows_of_spans(self, letters: np.ndarray) -> np.ndarray:
+        """The row of the piece of each length - 1 (down) and start (across) of one text; that without probability where none is."""
+        n, known = len(letters), len(self.hashes)
+        rows, hashed = np.full((self.longest, n), known + 1), np.zeros(n, np.uint64)
+        for length in range(1, min(n, self.longest) + 1):
+            hashed = (hashed[:n - length + 1] + letters[length - 1:]) * STEP
+            at = np.searchsorted(self.hashes, hashed)
+            at[at == known] = 0
+            found = self.hashes[at] == hashed if known else np.zeros(len(hashed), bool)
+            rows[length - 1, :n - length + 1] = np.where(found, at, known if length == 1 else known + 1)
+        return rows
+
+    def forward(self, text: str, logs: np.ndarray) -> Iterator[np.ndarray]:
+        """Log-probability of all segmentations of each beginning of a long text, from its first letter on.
+
+        Only the last ``longest`` sums are kept, in logarithms, so length neither costs memory nor underflows."""
+        letters = codes([text])[0]
+        recent = np.zeros((1, logs.shape[1]))
+        for first in range(0, len(letters), LETTERS_AT_ONCE):
+            begin, behind = max(0, first - self.longest + 1), min(len(letters), first + LETTERS_AT_ONCE)
+            rows = self.rows_of_spans(letters[begin:behind])
+            for end in range(first + 1, behind + 1):
+                lengths = np.arange(1, len(recent) + 1)
+                ways = recent + logs[rows[lengths - 1, end - lengths - begin]]
+                value = np.logaddexp.reduce(ways, axis=0)
+                recent = np.concatenate([value[None], recent[:self.longest - 1]])
+                yield value
+
+    def expected_in_long(self, text: str, weight: float, language: int) -> np.ndarray:
+        """Expected uses of the pieces in one long text, some letters at a time from its end."""
+        logs, letters, n = self.logs[:, language], codes([text])[0], len(text)
+        forward = np.zeros(n + 1)
+        forward[1:] = np.fromiter((v[0] for v in self.forward(text, logs[:, None])), float, n)
+        total, backward = np.zeros(len(logs)), np.zeros(1)  # backward sums from the present letter on
+        for behind in range(n, 0, -LETTERS_AT_ONCE):
+            first = max(0, behind - LETTERS_AT_ONCE)
+            rows = self.rows_of_spans(letters[first:min(n, behind + self.longest - 1)])
+            for start in range(behind - 1, first - 1, -1):
+                here = rows[:len(backward), start - first]
+                ways = logs[here] + backward
+                np.add.at(total, here, weight * np.exp(forward[start] + ways - forward[n]))
+                backward = np.concatenate([[np.logaddexp.reduce(ways)], backward[:self.longest - 1]])
+        return total
+
     def log_chances(self, texts: list[str]) -> np.ndarray:
         """Log-probability of each text in each language, over all segmentations."""
         out = np.zeros((len(texts), len(self.languages)))
         most = max(64, (1 << 21) // (LONGEST * max(1, len(self.languages))))
         for block in by_length(texts, most):
+            if len(texts[block[0]]) > LONGEST:
+                for i in block:
+                    out[i] = deque(self.forward(texts[i], self.logs), 1)[0]
+                continue
             letters = codes([texts[i] for i in block])
             sums = np.zeros((letters.shape[1] + 1, len(block), len(self.languages)))
             sums[0] = 1.0
@@ -145,6 +196,10 @@ class PieceModel:
         """Expected number of uses of each piece over all segmentations of the texts."""
         chance, total = self.chance[:, language], np.zeros(len(self.chance))
         for block in by_length(texts):
+            if len(texts[block[0]]) > LONGEST:
+                for i in block:
+                    total += self.expected_in_long(texts[i], weights[i], language)
+                continue
             letters = codes([texts[i] for i in block])
             n = letters.shape[1]
             spans = list(self.lattice(letters))
@@ -170,43 +225,30 @@ class PieceModel:
         return cls(saved["languages"].tolist(), saved["hashes"], saved["chance"], int(saved["longest"]))
 
 
-@functools.lru_cache(2)
-def loaded(content: bytes) -> PieceModel:
-    return PieceModel.load(content)
-
-
-class WordScores(dict):
+class WordScores(worker.Memory):
     """Log-probabilities of words, worked out when first met; forgets all when full."""
 
-    def __init__(self, model: PieceModel):
+    def __init__(self, content: bytes):
         super().__init__()
-        self.model = model
-        self.room = max(1 << 12, REMEMBERED // max(1, len(model.languages)))
-        self.rows = np.zeros((self.room, len(model.languages)))
+        self.model = PieceModel.load(content)
+        self.values = np.zeros((0, len(self.model.languages)))
 
     def learn(self, words: set[str]) -> None:
         new = sorted(w for w in words if w not in self)
-        if len(self) + len(new) > len(self.rows):
+        if new and self.full:
             self.clear()
-            new = sorted(words)
-            if len(new) > len(self.rows):
-                self.rows = np.zeros((len(new), len(self.model.languages)))
-        cut = [units(w) for w in new]
-        flat = self.model.log_chances([u for us in cut for u in us])
-        if len(new):
-            starts = np.cumsum([0, *map(len, cut)])[:-1]
-            self.rows[len(self):len(self) + len(new)] = np.add.reduceat(flat, starts, axis=0)
-        for word in new:
-            self[word] = len(self)
+            self.values, new = self.values[:0], sorted(words)
+        if not new:
+            return
+        found = self.model.log_chances([START + w for w in new])
+        for at, word in enumerate(new, len(self)):
+            self[word] = at
+            self.grow(word, found[0])
+        self.values = np.concatenate([self.values, found])
 
     def score(self, words: Counter) -> np.ndarray:
         at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        return np.fromiter(words.values(), np.float64, len(words)) @ self.rows[at]
-
-
-@functools.lru_cache(1)
-def remembered(content: bytes) -> WordScores:
-    return WordScores(loaded(content))
+        return np.fromiter(words.values(), np.float64, len(words)) @ self.values[at]
 
 
 def distinct_texts(rows: DataFrame, counts: dict[str, int], bound: int) -> DataFrame:
@@ -260,11 +302,11 @@ def fit(labelled: DataFrame, text: str, label: str, pieces_path: str, rows_per_l
         sent = spark.sparkContext.broadcast(model.dump())
 
         def expect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            current = loaded(sent.value)
+            current = worker.kept("language", PieceModel.load, sent.value)
             for batch in batches:
                 for lang, part in batch.groupby("lang"):
-                    cut = [(u, n) for word, n in zip(part["word"], part["n"]) for u in units(word)]
-                    got = current.expected([u for u, _ in cut], np.array([n for _, n in cut], float), current.languages.index(lang))
+                    marked = [START + word for word in part["word"]]
+                    got = current.expected(marked, part["n"].to_numpy(float), current.languages.index(lang))
                     at = np.flatnonzero(got)
                     yield pd.DataFrame({"lang": lang, "piece": at, "uses": got[at]})
 
@@ -283,33 +325,30 @@ def posterior(scores: np.ndarray) -> tuple[int, float]:
     return best, float(1.0 / np.exp(scores - scores[best]).sum())
 
 
-def identified(text: Column, model: PieceModel, spark) -> Column:
-    """A struct (lang_pred, score) for a text column."""
-    sent = spark.sparkContext.broadcast(model.dump())
-
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known = remembered(sent.value)
-        for texts in batches:
-            out = []
-            values = texts.tolist()
-            for start in range(0, len(values), 256):
-                counted = [words_of(t) if t is not None else Counter() for t in values[start:start + 256]]
-                known.learn(set().union(*counted))
-                for words in counted:
-                    if not words or not known.model.languages:
-                        out.append((UNKNOWN, 0.0))
-                        continue
-                    best, score = posterior(known.score(words))
-                    out.append((known.model.languages[best], score))
-            yield pd.DataFrame(out, columns=["lang_pred", "score"])
-
+def identify(docs: DataFrame, model: PieceModel, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The rows of ``docs`` with the language and its posterior probability, in columns of these names."""
+    sent = docs.sparkSession.sparkContext.broadcast(model.dump())
+    docs = docs.drop(*[n for n in names if n in docs.columns and n != text])
+    if text in names:
+        raise ValueError(f"{text} cannot be replaced")
+    column = docs.columns.index(text)
     # Letters as Unicode has them: numbers that only look like words to the word pattern do not count.
-    value = text.cast("string")
-    return predict(F.when(value.rlike(r"\p{L}"), value))
+    docs = docs.withColumn("__letter", F.coalesce(F.col(f"`{text}`").cast("string").rlike(r"\p{L}"), F.lit(False)))
+
+    def make():
+        known = worker.kept("language", WordScores, sent.value)
+
+        def predict(part: pa.RecordBatch) -> list[pa.Array]:
+            texts, letter = part.column(column), part.column(part.num_columns - 1)
+            counted = [words_of(str(t.as_py())) if has.as_py() else Counter() for t, has in zip(texts, letter)]
+            known.learn(set().union(*counted))
+            out = [(UNKNOWN, 0.0)] * len(counted)
+            for i, words in enumerate(counted):
+                if words and known.model.languages:
+                    best, score = posterior(known.score(words))
+                    out[i] = known.model.languages[best], score
+            return [pa.array([lang for lang, _ in out], pa.string()), pa.array([score for _, score in out], pa.float64())]
 
+        return predict
 
-def identify(docs: DataFrame, model: PieceModel, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` with ``lang_pred`` and ``score``."""
-    found = docs.withColumn("__found", identified(F.col(f"`{text}`"), model, docs.sparkSession))
-    return found.withColumns({"lang_pred": F.col("__found.lang_pred"), "score": F.col("__found.score")}).drop("__found")
+    return worker.with_columns(docs, list(zip(names, (StringType(), DoubleType()))), make, drop=("__letter",))

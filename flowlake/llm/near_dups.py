@@ -44,11 +44,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from flowlake.llm import worker
 from flowlake.session import scratch_path
 
 #: Unions of so many values and more are sure of the longer run.
 SMALL = 20
-REMEMBERED = 200_000
 #: Ids sent to all tasks at most; beyond it the tables are shuffled.
 BROADCAST_IDS = 1_000_000
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -56,24 +56,23 @@ MULTIPLIERS = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x
 SETS = "doc_id bigint, n_shingles bigint, signature binary, sketch array<bigint>"
 
 
-class WordHashes(dict):
+class WordHashes(worker.Memory):
     def __missing__(self, word: bytes) -> int:
         self[word] = value = xxhash.xxh3_64_intdigest(word)
+        self.grow(word, value)
         return value
 
 
-HASHES = WordHashes()
-
-
 def shingle_set(text: str | None, size: int) -> np.ndarray:
     """The sorted, distinct hash values of a text's word shingles."""
     words = text.encode("utf-8", "surrogatepass").translate(LOWER).split() if text else []
-    if len(HASHES) > REMEMBERED:
-        HASHES.clear()
+    hashes = worker.kept("near duplicates", WordHashes)
+    if hashes.full:
+        hashes.clear()
     if len(words) < size:
         joined = b"\x00".join([b"short", *words])
         return np.array([xxhash.xxh3_64_intdigest(joined)] if words else [], np.uint64)
-    values = np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
+    values = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     n = len(words) - size + 1
     hashed = np.zeros(n, np.uint64)
     for i in range(size):

@@ -22,7 +22,6 @@ give their rows again; other columns are not read.
 from __future__ import annotations
 
 import base64
-import functools
 import re
 from collections.abc import Iterator
 
@@ -31,6 +30,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, functions as F
 
+from flowlake.llm import worker
 from flowlake.llm.bpe import PATTERN, parts
 
 RULES = ("start", "majority", "share")
@@ -59,9 +59,8 @@ class Encoder:
         return char[starts], char[ends - 1] + 1
 
 
-@functools.lru_cache(1)
 def encoder(content: str) -> Encoder:
-    return Encoder(content)
+    return worker.kept("token counts", Encoder, content)
 
 
 def intervals(text: str, border: re.Pattern) -> np.ndarray:

@@ -60,7 +60,8 @@ def test_long_text_in_parts(own, library, monkeypatch):
 
 
 def test_forgetting_changes_nothing(own, library, monkeypatch):
-    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    monkeypatch.setattr(own.kept, "most", 300)
+    monkeypatch.setattr(own.borders, "most", 300)
     text = "some words that do not all fit into the memory of the worker " * 3
     assert numbers(own.encode(text)) == expected(library, text)
 

@@ -1,5 +1,6 @@
-import itertools
+import math
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -56,16 +57,42 @@ def test_expected_uses():
     assert model.expected(texts, weights, 1) == pytest.approx(want)
 
 
-def test_forgetting_and_long_words(monkeypatch):
+def by_hand(model, text, lang):
+    """Log-probability by exact fractions, so that nothing underflows."""
+    known = {p: Fraction(float(model.chance[row(model, p), lang])) for p in TOY}
+    other = Fraction(float(model.chance[len(model.hashes), lang]))
+    sums = [Fraction(1)]
+    for end in range(1, len(text) + 1):
+        ways = [(sums[k], text[k:end]) for k in range(max(0, end - 3), end)]
+        sums.append(sum(before * known.get(piece, other if len(piece) == 1 else 0) for before, piece in ways))
+    return math.log(sums[-1].numerator) - math.log(sums[-1].denominator)
+
+
+@pytest.mark.parametrize("at_once", [5, 1 << 14])
+def test_long_words_over_all_segmentations(monkeypatch, at_once):
+    """Words beyond the block's length, also where a double would underflow and where the cut falls into pieces."""
+    monkeypatch.setattr(language, "LETTERS_AT_ONCE", at_once)
+    model, rng = toy_model(), np.random.default_rng(2)
+    for length in (33, 40, 700):
+        text = language.START + "".join(rng.choice(list("abz"), length))
+        got = model.log_chances([text, "\u2581ab"])
+        assert got[0] == pytest.approx([by_hand(model, text, lang) for lang in (0, 1)], rel=1e-10)
+    short = language.START + "abazabab"
+    assert next(reversed(list(model.forward(short, model.logs)))) == pytest.approx(model.log_chances([short])[0])
+    want = model.expected([short, "zab"], np.array([3.0, 2.0]), 1)
+    monkeypatch.setattr(language, "LONGEST", 1)
+    assert model.expected([short, "zab"], np.array([3.0, 2.0]), 1) == pytest.approx(want)
+
+
+def test_forgetting():
     model = toy_model()
-    monkeypatch.setattr(language, "REMEMBERED", 1)
-    scores = language.WordScores(model)
-    scores.rows = np.zeros((2, 2))
-    for word in ("ab", "ba", "abab", "a" * 100):
-        scores.learn({word})
-        want = sum(model.log_chances([u])[0] for u in language.units(word))
-        assert scores.score(Counter({word: 3})) == pytest.approx(3 * want)
-    assert "".join(language.units("b" * 100)) == language.START + "b" * 100
+    scores = language.WordScores(model.dump())
+    scores.most = 300
+    for words in ({"ab"}, {"ba", "abab"}, {"a" * 100, "ab"}, {"zz"}, {"ab", "b"}):
+        scores.learn(words)
+        for word in words:
+            assert scores.score(Counter({word: 3})) == pytest.approx(3 * model.log_chances([language.START + word])[0])
+        assert len(scores) == len(scores.values) <= 4
 
 
 def test_held_out_accuracy(spark, folder):
