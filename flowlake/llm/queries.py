@@ -92,7 +92,7 @@ def op6_positional_index(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = decontamination.contamination(docs, table(spark, folder, "benchmark"))
     return found.select(
-        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        "doc_id", "n_words", "n_hit", "n_items",
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )

@@ -50,10 +50,33 @@ def test_proximity(spark):
     docs = spark.createDataFrame([(1, "alpha x beta gamma"), (2, "alpha beta gamma"), (3, "gamma x x x beta alpha"), (4, "beta alpha gamma")], "doc_id bigint, text string")
     items = spark.createDataFrame([(7, "alpha beta gamma")], "item_id bigint, text string")
     index = decontamination.store_index(docs, "doc_id", "text")
-    near = {s: {r["doc_id"] for r in decontamination.search(index, items, "item_id", "text", 3, s).collect() if r["matches"]} for s in (0, 1)}
+    near = {s: {r["doc_id"] for r in decontamination.search(index, items, "item_id", "text", 3, s).collect() if r["hits"]} for s in (0, 1)}
     assert near == {0: {2}, 1: {1, 2, 4}}
 
 
+def test_ids_of_any_kind(spark):
+    """Items without an id hit and count; ids that are texts stay texts."""
+    passage = "one two three four five six seven eight nine ten eleven"
+    docs = spark.createDataFrame([("d1", f"x {passage} y"), (None, passage), ("d2", "clean")], "doc_id string, text string")
+    items = spark.createDataFrame([(None, passage), (None, passage), (None, passage + " more"), ("b", passage), ("a", "X " + passage), ("b", "clean")], "item_id string, text string")
+    rows = {(r["doc_id"], r["n_hit"], tuple(r["items"]), r["n_items"], tuple(map(tuple, r["hits"]))) for r in decontamination.contamination(docs, items).collect()}
+    assert rows == {("d1", 12, ("a", "b"), 4, ((0, 11),)), (None, 11, ("a", "b"), 4, ((0, 10),)), ("d2", 1, ("b",), 1, ((0, 0),))}
+    only = spark.createDataFrame([(None, passage)], "item_id bigint, text string")
+    assert sorted((r["n_hit"], r["n_items"], r["items"]) for r in decontamination.contamination(docs, only).collect()) == [(0, 0, []), (11, 1, []), (11, 1, [])]
+
+
+def test_equal_items_do_not_multiply(spark):
+    """Windows and stretches follow the contents, not the number of items that have them."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    few, many = ([(i, passage) for i in range(n)] for n in (1, 300))
+    one, all_ = decontamination.Windows.of(few, 10), decontamination.Windows.of(many, 10)
+    assert len(one.rows) == len(all_.rows) == 31 and len(all_.sets) == 1
+    docs = spark.createDataFrame([(i, f"a {passage} b {passage}") for i in range(20)], "doc_id bigint, text string")
+    items = spark.createDataFrame(many, "item_id bigint, text string")
+    for r in decontamination.contamination(docs, items).collect():
+        assert r["n_hit"] == 80 and len(r["hits"]) == 2 and r["n_items"] == 300 == len(r["items"])
+
+
 def test_empty_tables_and_clashing_names(spark):
     schema = "doc_id int, text string, item_id string, block string, matches int"
     docs = spark.createDataFrame([(1, "a b c", "x", "y", 1), (None, "a b", None, None, None)], schema)
