@@ -53,8 +53,8 @@ def judged_by_row(docs: DataFrame, rejected: Callable[[DataFrame, DataFrame], Da
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without letters go, and those that no language explains better than the others."""
-    found = language.identify(docs.withColumn("__docs", F.struct(*docs.columns)), language.fit(docs, "text", "lang", PIECES))
-    return found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= 0.5)).select("__docs.*")
+    found = language.identify(docs, language.fit(docs, "text", "lang", PIECES), names=("__lang", "__score"))
+    return found.filter((F.col("__lang") != language.UNKNOWN) & (F.col("__score") >= 0.5)).select(*docs.columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
