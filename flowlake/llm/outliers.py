@@ -17,8 +17,13 @@ it is DataFrame expressions:
 * the covariance is kept as a Cholesky factor, so a distance is a forward substitution;
 * a floor on each statistic's scale keeps cells in which a statistic is constant regular.
 
-Cells with fewer than ``min_rows`` rows are judged by their language's estimate, and
-languages with fewer by that of all rows.
+Every cell is judged by its own estimate, shrunk towards its language's, which is shrunk towards
+that of all rows: the estimate is that of a mixture in which the cell has the weight n / (n +
+``shrink``), n its rows. So a cell of a few rows leans on its language and one of many does
+not, without a size at which the verdict jumps. The wider estimates are made like a cell's.
+
+The tables of estimates and of cut-offs have a row or two per cell; they are counted and sent to all tasks, so
+a large cell is never gathered by a join. Vectors are stored once; the levels they count for are made as they are read.
 
 Defined cases: null, empty and blank texts have no words and fail the base rules; rows that
 fail them are in no estimate; a null language or source is a value of its own; repeated
@@ -38,6 +43,9 @@ SYMBOLS = "[#*$%&|<>]+"
 SHARE = 0.75
 STEPS = 4
 BINS = 16
+#: Rows at which a cell and its language weigh alike, and rows of a table of cells up to which it is sent to all tasks.
+SHRINK = 50
+SMALL = 50_000
 DIMENSIONS = ("x1", "x2", "x3", "x4")
 #: Smallest scale of each transformed statistic that is taken to be real.
 FLOORS = (0.35, 0.05, 0.5, 0.15)
@@ -204,55 +212,80 @@ def moments_of_scores(scores: DataFrame) -> DataFrame:
     return found.withColumns({f"r_{i}{i}": F.col(f"r_{i}{i}") + 0.1 for i in range(4)})
 
 
+def sized(frame: DataFrame) -> DataFrame:
+    """The stored frame, marked for broadcast if it has few rows."""
+    return F.broadcast(frame) if frame.limit(SMALL + 1).count() <= SMALL else frame
+
+
 def estimate(rows: DataFrame) -> DataFrame:
     """The estimate of each cell: mean, Cholesky factor and log-determinant."""
     guess = stored(starts(rows), "mcd")
     for _ in range(STEPS):
-        near = distance(rows.join(guess, "cell")).withColumn("bin", F.floor(BINS * F.log2(F.col("d2") + 1e-3)))
-        edge = below(histogram(near, "cell", "start", "bin"), "bin", SHARE, "cell", "start")
-        chosen = near.select("cell", "start", "bin", *DIMENSIONS).join(edge, ["cell", "start"]).filter(F.col("bin") <= F.col("edge"))
+        near = distance(rows.join(sized(guess), "cell")).withColumn("bin", F.floor(BINS * F.log2(F.col("d2") + 1e-3)))
+        edge = stored(below(histogram(near, "cell", "start", "bin"), "bin", SHARE, "cell", "start"), "mcd-edge")
+        chosen = near.select("cell", "start", "bin", *DIMENSIONS).join(sized(edge), ["cell", "start"]).filter(F.col("bin") <= F.col("edge"))
         guess = stored(moments(chosen, "cell", "start"), "mcd")
     best = guess.groupBy("cell").agg(F.min(F.struct("log_det", "start")).alias("best"))
     found = guess.join(best, "cell").filter(F.col("start") == F.col("best.start"))
     return found.select("cell", *PARTS)
 
 
-def with_cells(rows: DataFrame, lang: str, source: str, min_rows: int) -> DataFrame:
-    """``cell``: the name of the estimate that judges a row."""
-    rows = rows.withColumns({
-        "__lang": F.coalesce(F.concat(F.lit("="), F.col(f"`{lang}`").cast("string")), F.lit("-")),
-        "__source": F.coalesce(F.concat(F.lit("="), F.col(f"`{source}`").cast("string")), F.lit("-")),
-    })
-    pairs = rows.filter(~F.col("base_failed")).groupBy("__lang", "__source").agg(F.count(F.lit(1)).alias("__n"))
-    langs = pairs.groupBy("__lang").agg(F.sum("__n").alias("__all"))
-    name = F.when(F.col("__n") >= min_rows, F.to_json(F.array("__lang", "__source")))
-    name = name.when(F.col("__all") >= min_rows, F.to_json(F.array("__lang"))).otherwise("[]")
-    cells = pairs.join(langs, "__lang").select("__lang", "__source", name.alias("cell"), (F.col("__n") >= min_rows).alias("own"))
-    return rows.join(cells, ["__lang", "__source"], "left")
+def covariances(found: DataFrame, prefix: str) -> DataFrame:
+    """Means and covariances of estimates, under names with a prefix."""
+    entry = lambda i, j: sum(F.col(f"l_{i}{k}") * F.col(f"l_{j}{k}") for k in range(j + 1))
+    parts = [F.col(f"m_{i}").alias(f"{prefix}m_{i}") for i in range(4)]
+    parts += [entry(i, j).alias(f"{prefix}c_{i}{j}") for i in range(4) for j in range(i + 1)]
+    return found.select(F.col("cell").alias(f"{prefix}cell"), *parts)
+
+
+def mixture(rows: DataFrame, one: str, other: str, weight: Column) -> DataFrame:
+    """Means and covariances of two estimates together, the first with this weight, in place of the first."""
+    off = lambda i: F.col(f"{one}m_{i}") - F.col(f"{other}m_{i}")
+    blend = lambda name: weight * F.col(one + name) + (1 - weight) * F.col(other + name)
+    mixed = {f"{one}m_{i}": blend(f"m_{i}") for i in range(4)}
+    mixed |= {f"{one}c_{i}{j}": blend(f"c_{i}{j}") + weight * (1 - weight) * off(i) * off(j) for i in range(4) for j in range(i + 1)}
+    return rows.withColumns(mixed)
+
+
+def cell_names(rows: DataFrame, lang: str, source: str) -> DataFrame:
+    """The rows with the names of their cell, of their language and of all; null is a value of its own."""
+    named = [F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("-")) for c in (lang, source)]
+    return rows.withColumns({"__cell": F.to_json(F.array(*named)), "__wide": F.to_json(F.array(named[0])), "__all": F.lit("[]")})
+
+
+def shrunk(vectors: DataFrame, found: DataFrame, shrink: int) -> DataFrame:
+    """(__cell, parts): each cell's estimate, shrunk to its language's, and that to the one of all rows."""
+    sizes = vectors.groupBy("__cell", "__wide").agg(F.count(F.lit(1)).alias("__n"))
+    wide = sizes.groupBy("__wide").agg(F.sum("__n").alias("__wide_n"))
+    sizes = stored(sizes.join(wide, "__wide"), "cell-sizes").withColumn("__all", F.lit("[]"))
+    for level in ("__cell", "__wide", "__all"):
+        sizes = sizes.join(sized(stored(covariances(found, level + "_"), "cell-estimates")), F.col(level) == F.col(f"{level}_cell"))
+    share = lambda n: F.col(n) / (F.col(n) + F.lit(float(shrink)))
+    mixed = mixture(mixture(sizes, "__wide_", "__all_", share("__wide_n")), "__cell_", "__wide_", share("__n"))
+    parts = [F.col(f"__cell_m_{i}").alias(f"m_{i}") for i in range(4)] + [F.col(f"__cell_c_{i}{j}").alias(f"c_{i}{j}") for i in range(4) for j in range(i + 1)]
+    return stored(cholesky(mixed.select("__cell", *parts)).select("__cell", *PARTS), "shrunk")
 
 
-def verdicts(stats: DataFrame, lang: str, source: str, min_rows: int = 200, tail: float = 1e-6) -> DataFrame:
+def verdicts(stats: DataFrame, lang: str, source: str, shrink: int = SHRINK, tail: float = 1e-6) -> DataFrame:
     """``distance2`` and ``kept`` for rows that have the base statistics."""
-    rows = with_cells(transformed(stats), lang, source, min_rows)
-    valid = rows.filter(~F.col("base_failed"))
-    levels = [valid.filter("own").select("cell", *DIMENSIONS)]
-    # The wider estimates hold all rows of the language, and all rows.
-    levels.append(valid.select(F.to_json(F.array("__lang")).alias("cell"), *DIMENSIONS))
-    levels.append(valid.select(F.lit("[]").alias("cell"), *DIMENSIONS))
-    vectors = stored(levels[0].unionByName(levels[1]).unionByName(levels[2]), "vectors")
-    found = distance(rows.join(estimate(vectors), "cell", "left"))
+    names = ("__cell", "__wide", "__all")
+    rows = cell_names(transformed(stats), lang, source)
+    vectors = stored(rows.filter(~F.col("base_failed")).select(*names, *DIMENSIONS), "vectors")
+    levels = vectors.select(F.explode(F.array(*names)).alias("cell"), *DIMENSIONS)
+    cells = shrunk(vectors, stored(estimate(levels), "estimates"), shrink)
+    found = distance(rows.join(sized(cells), "__cell", "left"))
     scaled = F.col("d2") / consistency(SHARE, len(DIMENSIONS))
     found = found.withColumn("distance2", F.when(~F.col("base_failed"), scaled))
     kept = ~F.col("base_failed") & (F.coalesce(F.col("distance2"), F.lit(0.0)) <= chi2_quantile(tail, len(DIMENSIONS)))
-    return found.withColumn("kept", kept).drop("__lang", "__source", "cell", "own", "d2", *DIMENSIONS, *PARTS)
+    return found.withColumn("kept", kept).drop(*names, "d2", *DIMENSIONS, *PARTS)
 
 
 def judge(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source",
-    min_rows: int = 200, tail: float = 1e-6,
+    shrink: int = SHRINK, tail: float = 1e-6,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, the statistics, ``base_failed``, ``distance2`` and ``kept``."""
     names = {"doc_id": doc_id, "text": text, "lang": lang, "source": source}
     rows = docs.select(*[F.col(f"`{given}`").alias(name) for name, given in names.items()])
     stats = stored(base_statistics(rows).drop("text"), "statistics")
-    return verdicts(stats, "lang", "source", min_rows, tail).select("doc_id", *BASE, "base_failed", "distance2", "kept")
+    return verdicts(stats, "lang", "source", shrink, tail).select("doc_id", *BASE, "base_failed", "distance2", "kept")

@@ -65,12 +65,39 @@ def test_contaminated_cell(spark):
     assert sum(r["d2"] <= cut for r in scaled if r["x1"] <= 11) > 795
 
 
+def test_estimates_shrink_smoothly(spark):
+    """The parts of a cell's estimate against numpy; one row more or less moves no verdict by a jump."""
+    rng = np.random.default_rng(5)
+    cells = {("a", "s"): 300, ("a", "t"): 3, ("b", "s"): 1}
+    points = {c: rng.normal(size=(n, 4)) + 3 * k for k, (c, n) in enumerate(cells.items())}
+    rows = [(*c, *map(float, p)) for c, block in points.items() for p in block]
+    vectors = outliers.cell_names(spark.createDataFrame(rows, "lang string, source string, x1 double, x2 double, x3 double, x4 double"), "lang", "source")
+    levels = vectors.select(F.explode(F.array("__cell", "__wide", "__all")).alias("cell"), *outliers.DIMENSIONS)
+    plain = outliers.moments(levels, "cell")
+    found = {r["__cell"]: r for r in outliers.shrunk(vectors, plain, 50).collect()}
+
+    def moments(block):
+        return block.mean(axis=0), np.cov(block.T, bias=True).reshape(4, 4) * (len(block) > 1) + np.diag(np.square(outliers.FLOORS))
+
+    def mixed(one, other, n):
+        w, off = n / (n + 50), one[0] - other[0]
+        return w * one[0] + (1 - w) * other[0], w * one[1] + (1 - w) * other[1] + w * (1 - w) * np.outer(off, off)
+
+    everything = moments(np.vstack(list(points.values())))
+    for (lang, source), n in cells.items():
+        own = np.vstack([b for (x, _), b in points.items() if x == lang])
+        mean, cov = mixed(moments(points[lang, source]) if n > 1 else (points[lang, source][0], np.diag(np.square(outliers.FLOORS))), mixed(moments(own) if len(own) > 1 else (own[0], np.diag(np.square(outliers.FLOORS))), everything, len(own)), n)
+        got = found[f'["={lang}","={source}"]']
+        factor = np.array([[got[f"l_{i}{j}"] if j <= i else 0.0 for j in range(4)] for i in range(4)])
+        assert [got[f"m_{i}"] for i in range(4)] == pytest.approx(mean) and factor @ factor.T == pytest.approx(cov)
+
+
 def test_odd_rows(spark):
     prose = lambda n, seed: " ".join(random.Random(seed).choices([f"w{'x' * (i % 5)}{i}" for i in range(300)], k=n))
     rows = [(i, prose(80, i), "en", "s") for i in range(40)]
     rows += [(40, None, "en", "s"), (41, "", None, None), (42, prose(80, 42), None, None), (43, "#$%& " * 30 + prose(100, 43), "en", "s"), (44, prose(80, 1), "xx", None), (44, prose(80, 1), "xx", None)]
     frame = spark.createDataFrame(rows, "doc_id int, text string, lang string, source string").withColumns({"cell": F.lit(1), "d2": F.lit("x"), "n_words": F.lit(0)})
-    got = sorted((r["doc_id"], r["base_failed"], r["kept"]) for r in outliers.judge(frame, min_rows=20).collect())
+    got = sorted((r["doc_id"], r["base_failed"], r["kept"]) for r in outliers.judge(frame).collect())
     want = [(i, False, True) for i in range(40)] + [(40, True, False), (41, True, False), (42, False, True), (43, False, False), (44, False, True), (44, False, True)]
     assert got == want
     assert outliers.judge(frame.limit(0)).count() == 0
