@@ -1,22 +1,23 @@
 """Why a model decides: additive contributions per row, and their averages.
 
-Linear models are explained with column expressions. Forests need the trees, so
-their paths go to the tasks as a broadcast and each Arrow batch is evaluated
-with array operations.
+Linear models are explained with column expressions. Tree ensembles go to the tasks as
+flat node arrays, whose size is linear in the nodes, and each Arrow batch is walked through them.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from typing import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from flowlake.functions.scalar import quoted
 from flowlake.operators.train import Classifier
-from flowlake.session import scratch_path
+from flowlake.operators.trees import FlatTrees, contributions, own_contributions, saved_trees
+
+#: Rows that are explained together.
+ROWS = 2048
 
 IMPORTANCE_SCHEMA = (
     "model_version string, class string, feature string, mean_abs_shap double, feature_rank bigint"
@@ -40,144 +41,27 @@ def linear_contributions(matrix: DataFrame, classifier: Classifier, out: str = "
     return matrix.withColumn(out, F.array(*classes))
 
 
-# ---- forests -----------------------------------------------------------------
-
+# ---- trees -------------------------------------------------------------------
 
-@dataclass(frozen=True)
-class Leaf:
-    """One leaf: the interval of each feature on its path, their pass shares and the output."""
-
-    features: np.ndarray
-    low: np.ndarray
-    high: np.ndarray
-    share: np.ndarray
-    value: np.ndarray
 
+def model_trees(spark: SparkSession, classifier: Classifier) -> FlatTrees:
+    """The trees of a fitted model, scaled so that their answers add up to its output."""
+    if classifier.kind == "forest":
+        model = classifier.model
+        return saved_trees(spark, model, len(classifier.classes), 1.0 / model.getNumTrees)
+    if hasattr(classifier.model, "trees") and isinstance(classifier.model.trees, FlatTrees):
+        return classifier.model.trees
+    raise ValueError("this model type has no readable trees")
 
-TABLE_BITS = 10  # up to this path size all outcomes of a path are tabulated
-CELLS = 2_000_000  # working size of one step in a task
 
+def _row(features: list[str]) -> Column:
+    return F.array(*[quoted(c).cast("double") for c in features]).alias("__row")
 
-def path_weights(test: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """Contribution of each test on a path to a leaf that pays 1.
 
-    A leaf pays out the product of its tests, where a feature outside the
-    coalition counts with its pass share. The Shapley weights are a Beta
-    integral, so the average over coalitions is the integral over t of
-    prod(test * t + share * (1 - t)), a polynomial that Gauss-Legendre nodes
-    integrate exactly.
-    """
-    nodes, masses = np.polynomial.legendre.leggauss((share.shape[-1] + 1) // 2)
-    weight = np.zeros(np.broadcast_shapes(test.shape, share.shape))
-    for t, mass in zip((nodes + 1) / 2, masses / 2):
-        factor = test * t + share * (1 - t)
-        weight += mass * factor.prod(axis=-1, keepdims=True) / factor
-    return (test - share) * weight
-
-
-class Paths:
-    """Leaves with equally long paths, evaluated together."""
-
-    def __init__(self, leaves: list[Leaf]):
-        self.features = np.array([leaf.features for leaf in leaves])
-        self.low = np.array([leaf.low for leaf in leaves])
-        self.high = np.array([leaf.high for leaf in leaves])
-        self.share = np.array([leaf.share for leaf in leaves])
-        values = np.array([leaf.value for leaf in leaves])
-        self.size = self.features.shape[1]
-        flat = self.features.ravel()
-        owner = np.repeat(np.arange(len(leaves)), self.size)
-        self.columns = [(f, np.flatnonzero(flat == f)) for f in np.unique(flat)]
-        self.values = [values[owner[cells]] for _, cells in self.columns]
-        self.table = None
-        if self.size <= TABLE_BITS:
-            outcomes = (np.arange(1 << self.size)[:, None] >> np.arange(self.size)) & 1
-            self.table = path_weights(outcomes[None].astype(float), self.share[:, None, :])
-
-    def add_to(self, result: np.ndarray, rows: np.ndarray) -> None:
-        step = max(1, CELLS // self.features.size)
-        for start in range(0, len(rows), step):
-            x = rows[start : start + step][:, self.features]
-            test = (x > self.low) & (x <= self.high)
-            if self.table is None:
-                part = path_weights(test.astype(float), self.share)
-            else:
-                outcome = test @ (1 << np.arange(self.size))
-                part = self.table[np.arange(len(self.features)), outcome]
-            part = part.reshape(len(x), -1)
-            for (feature, cells), values in zip(self.columns, self.values):
-                result[start : start + step, :, feature] += part[:, cells] @ values
-
-
-def group_paths(leaves: list[Leaf]) -> list[Paths]:
-    sizes = sorted({len(leaf.features) for leaf in leaves})
-    return [Paths([leaf for leaf in leaves if len(leaf.features) == size]) for size in sizes]
-
-
-def shapley_values(rows: np.ndarray, paths: list[Paths], outputs: int) -> np.ndarray:
-    """Exact path-dependent Shapley values, shaped (row, output, feature)."""
-    result = np.zeros((len(rows), outputs, rows.shape[1]))
-    for group in paths:
-        group.add_to(result, rows)
-    return result
-
-
-def _saved_nodes(spark: SparkSession, model) -> dict[int, dict[int, object]]:
-    """Nodes of a tree ensemble by tree and id, read from its saved form.
-
-    The driver assembled the model, so the nodes are bounded by what it already holds.
-    """
-    path = scratch_path(spark, "trees")
-    model.write().save(path)
-    trees: dict[int, dict[int, object]] = {}
-    for row in spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect():
-        trees.setdefault(row["treeID"], {})[row["id"]] = row
-    return trees
-
-
-def _tree_leaves(nodes: dict[int, object], factor: float, boosted: bool) -> Iterator[Leaf]:
-    def mass(node) -> float:
-        return float(node["impurityStats"][0] if boosted else sum(node["impurityStats"]))
-
-    stack = [(0, {})]
-    while stack:
-        number, limits = stack.pop()
-        node = nodes[number]
-        if node["leftChild"] < 0:
-            if limits:
-                stats = np.array([node["prediction"]] if boosted else node["impurityStats"], dtype=float)
-                value = factor * (stats if boosted else stats / stats.sum())
-                names = sorted(limits)
-                low, high, share = np.array([limits[n] for n in names]).T
-                yield Leaf(np.array(names), low, high, share, value)
-            continue
-        feature, cut = node["split"]["featureIndex"], node["split"]["leftCategoriesOrThreshold"][0]
-        low, high, share = limits.get(feature, (-np.inf, np.inf, 1.0))
-        for child, ends in (
-            (node["leftChild"], (low, min(high, cut))), (node["rightChild"], (max(low, cut), high)),
-        ):
-            passed = share * mass(nodes[child]) / mass(node)
-            stack.append((child, {**limits, feature: (*ends, passed)}))
-
-
-def forest_leaves(spark: SparkSession, classifier: Classifier) -> list[Leaf]:
-    """Leaves of a fitted forest or of boosted models, scaled so that they add up to the output."""
-    if classifier.kind == "forest":
-        trees = _saved_nodes(spark, classifier.model)
-        return [leaf for nodes in trees.values() for leaf in _tree_leaves(nodes, 1.0 / len(trees), False)]
-    if classifier.kind == "boosted_binary":
-        parts = [classifier.model]
-    elif hasattr(classifier.model, "models"):
-        parts = classifier.model.models
-    else:
-        raise ValueError("this model type has no readable trees")
-    leaves = []
-    for position, model in enumerate(parts):
-        place = np.eye(len(parts))[position]
-        for number, nodes in _saved_nodes(spark, model).items():
-            for leaf in _tree_leaves(nodes, model.treeWeights[number], True):
-                leaves.append(Leaf(leaf.features, leaf.low, leaf.high, leaf.share, leaf.value * place))
-    return leaves
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    """The rows of a batch as one matrix."""
+    rows = batch.column(batch.schema.get_field_index("__row"))
+    return rows.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(batch.num_rows, -1)
 
 
 def forest_contributions(
@@ -185,18 +69,22 @@ def forest_contributions(
 ) -> DataFrame:
     """The ``keep`` columns, the row's feature values and one contribution array per class."""
     spark = matrix.sparkSession
-    paths = spark.sparkContext.broadcast(group_paths(forest_leaves(spark, classifier)))
-    outputs = 1 if classifier.kind == "boosted_binary" else len(classifier.classes)
-    row = F.array(*[quoted(c).cast("double") for c in classifier.features]).alias("__row")
-    kinds = {f.name: f.dataType.simpleString() for f in matrix.schema}
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + ["__row array<double>", f"{out} array<array<double>>"])
+    sent = spark.sparkContext.broadcast(model_trees(spark, classifier))
+    rows = matrix.select(*[quoted(c) for c in keep], _row(classifier.features))
+    numbers = T.ArrayType(T.ArrayType(T.DoubleType()))
+    schema = T.StructType([*rows.schema.fields, T.StructField(out, numbers)])
 
-    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = shapley_values(np.stack(batch["__row"].to_numpy()), paths.value, outputs)
-            yield batch.assign(**{out: [list(map(list, row)) for row in values]})
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                found = contributions(_matrix(part), sent.value)
+                n, outputs, width = found.shape
+                inner = pa.ListArray.from_arrays(np.arange(0, n * outputs * width + 1, width, dtype=np.int32) if width else np.zeros(n * outputs + 1, np.int32), found.ravel())
+                lists = pa.ListArray.from_arrays(np.arange(0, n * outputs + 1, outputs, dtype=np.int32), inner)
+                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=schema.names)
 
-    return matrix.select(*[quoted(c) for c in keep], row).mapInPandas(explain, schema)
+    return rows.mapInArrow(explain, schema)
 
 
 # ---- tables ------------------------------------------------------------------
@@ -229,29 +117,28 @@ def global_importance(matrix: DataFrame, classifier: Classifier) -> DataFrame:
         means = _linear_means(matrix, classifier)
         return importance_table(means, classifier.version)
     spark = matrix.sparkSession
-    paths = spark.sparkContext.broadcast(group_paths(forest_leaves(spark, classifier)))
-    boosted = classifier.kind == "boosted_binary"
-    classes = classifier.classes[1:] if boosted else classifier.classes
+    sent = spark.sparkContext.broadcast(model_trees(spark, classifier))
+    classes = classifier.classes[1:] if classifier.kind == "boosted_binary" else classifier.classes
     features = classifier.features
-    row = F.array(*[quoted(c).cast("double") for c in features]).alias("row")
 
-    def totals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, count = np.zeros((len(classes), len(features))), 0
         for batch in batches:
-            values = shapley_values(np.stack(batch["row"].to_numpy()), paths.value, len(classes))
-            sums += np.abs(values).sum(axis=0)
-            count += len(batch)
+            for start in range(0, batch.num_rows, ROWS):
+                found = contributions(_matrix(batch.slice(start, ROWS)), sent.value)
+                sums += np.abs(found).sum(axis=0)
+                count += len(found)
         if count:
-            yield pd.DataFrame(
+            yield pa.RecordBatch.from_pydict(
                 {
                     "class": np.repeat(classes, len(features)),
                     "feature": np.tile(features, len(classes)),
                     "total": sums.ravel(),
-                    "n": count,
+                    "n": np.full(sums.size, count),
                 }
             )
 
-    parts = matrix.select(row).mapInPandas(totals, "class string, feature string, total double, n bigint")
+    parts = matrix.select(_row(features)).mapInArrow(totals, "class string, feature string, total double, n bigint")
     means = parts.groupBy("class", "feature").agg((F.sum("total") / F.sum("n")).alias("mean_abs_shap"))
     return importance_table(means, classifier.version)
 
@@ -305,20 +192,45 @@ def top_features(row: Column, contributions: Column, features: list[str], k: int
 def explain_rows(scored: DataFrame, classifier: Classifier, keep: list[str], k: int = 5) -> DataFrame:
     """Class, probability and the top features of each scored matrix row, for its own class.
 
-    ``scored`` is a matrix with ``predicted_class`` and ``probability``.
+    ``scored`` is a matrix with ``predicted_class`` and ``probability``. For trees only the row's
+    own class is worked out, and only the k features leave the task.
     """
-    names = F.array(*[F.lit(c) for c in classifier.classes])
     columns = [*keep, "predicted_class", "probability"]
-    if classifier.kind == "logistic":
-        contributed = linear_contributions(scored, classifier).withColumn(
-            "__row", F.array(*[quoted(c).cast("double") for c in classifier.features])
-        )
-    else:
-        contributed = forest_contributions(scored, classifier, columns)
+    if classifier.kind != "logistic":
+        return _explained_by_trees(scored, classifier, columns, k)
+    names = F.array(*[F.lit(c) for c in classifier.classes])
+    contributed = linear_contributions(scored, classifier).withColumn("__row", _row(classifier.features))
     own = F.get("contributions", (F.array_position(names, F.col("predicted_class")) - 1).cast("int"))
-    if classifier.kind == "boosted_binary":
-        sign = F.when(F.col("predicted_class") == classifier.classes[1], 1.0).otherwise(-1.0)
-        own = F.transform(F.get("contributions", F.lit(0)), lambda x: x * sign)
     return contributed.select(
         *[quoted(c) for c in columns], top_features(F.col("__row"), own, classifier.features, k).alias("top_features")
     )
+
+
+def _explained_by_trees(scored: DataFrame, classifier: Classifier, columns: list[str], k: int) -> DataFrame:
+    spark = scored.sparkSession
+    sent = spark.sparkContext.broadcast(model_trees(spark, classifier))
+    classes, features, binary = classifier.classes, classifier.features, classifier.kind == "boosted_binary"
+    rows = scored.select(*[quoted(c) for c in columns], _row(features))
+    kind = T.ArrayType(T.StructType([T.StructField("feature", T.StringType()), T.StructField("value", T.DoubleType()), T.StructField("shap_contribution", T.DoubleType())]))
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("top_features", kind)])
+    # Equal sizes go by name.
+    names = np.array(features, dtype=object)
+    by_name = np.argsort(names)
+    k = min(k, len(features))
+
+    def explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                values, place = _matrix(part), len(columns) - 2
+                own = np.array([classes.index(c) for c in part.column(place).to_pylist()], np.int64)
+                found = own_contributions(values, sent.value, np.zeros_like(own) if binary else own)
+                if binary:
+                    found = found * np.where(own == 1, 1.0, -1.0)[:, None]
+                best = by_name[np.argsort(-np.abs(found[:, by_name]), axis=1, kind="stable")[:, :k]]
+                pick = lambda table: np.take_along_axis(table, best, axis=1).ravel()
+                items = pa.StructArray.from_arrays([pa.array(names[best].ravel(), pa.string()), pa.array(pick(values)), pa.array(pick(found))], ["feature", "value", "shap_contribution"])
+                lists = pa.ListArray.from_arrays(np.arange(0, len(best) * k + 1, k, dtype=np.int32), items)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], names=schema.names)
+
+    return rows.mapInArrow(explain, schema)

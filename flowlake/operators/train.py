@@ -9,12 +9,8 @@ from typing import Any, Callable
 from pyspark import StorageLevel
 from pyspark.ml import functions as MF
 from pyspark.ml.classification import (
-    GBTClassificationModel,
-    GBTClassifier,
     LogisticRegression,
     LogisticRegressionModel,
-    OneVsRest,
-    OneVsRestModel,
     RandomForestClassificationModel,
     RandomForestClassifier,
 )
@@ -23,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from flowlake.contract import SCHEMA_VERSION
 from flowlake.functions.scalar import quoted
+from flowlake.operators import boosting
 from flowlake.operators.features import FlowEncoder
 from flowlake.operators.lookup import lookup_join
 from flowlake.operators.sampling import balanced_weights
@@ -46,9 +43,8 @@ SEED = 42
 LOADERS = {
     "logistic": LogisticRegressionModel,
     "forest": RandomForestClassificationModel,
-    "boosted": OneVsRestModel,
-    "boosted_binary": GBTClassificationModel,
 }
+BOOSTED = ("boosted", "boosted_binary")
 
 
 @dataclass(frozen=True)
@@ -68,24 +64,17 @@ class Classifier:
         """Add one probability per class as an array, in the order of ``classes``."""
         before = matrix.columns
         scored = self.model.transform(self._vectors(matrix))
-        if self.kind == "boosted" and "probability" not in scored.columns:
-            # One margin per class; the logistic of each, brought to sum 1.
-            odds = F.transform(
-                MF.vector_to_array("rawPrediction"), lambda m: F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * m))
-            )
-            scored = scored.withColumn("__odds", odds)
-            total = F.aggregate("__odds", F.lit(0.0), lambda a, x: a + x)
-            probabilities = F.transform("__odds", lambda x: x / total)
-        else:
-            probabilities = MF.vector_to_array("probability")
-        return scored.withColumn(out, probabilities).select(*[quoted(c) for c in before], out)
+        return scored.withColumn(out, MF.vector_to_array("probability")).select(*[quoted(c) for c in before], out)
 
     def _vectors(self, matrix: DataFrame) -> DataFrame:
         vectors = matrix.withColumn("features", feature_vector(self.features))
         return scale(self.scaler, vectors)
 
     def save(self, spark: SparkSession, path: str) -> None:
-        self.model.write().overwrite().save(f"{path}/model")
+        if self.kind in BOOSTED:
+            self.model.save(spark, f"{path}/model")
+        else:
+            self.model.write().overwrite().save(f"{path}/model")
         if self.scaler is not None:
             self.scaler.write().overwrite().save(f"{path}/scaler")
         about = {
@@ -103,7 +92,7 @@ class Classifier:
         about = json.loads(spark.read.text(f"{path}/about").first()[0])
         return cls(
             about["kind"],
-            LOADERS[about["kind"]].load(f"{path}/model"),
+            boosting.BoostedModel.load(spark, f"{path}/model") if about["kind"] in BOOSTED else LOADERS[about["kind"]].load(f"{path}/model"),
             about["features"],
             about["classes"],
             about["version"],
@@ -225,30 +214,12 @@ def fit_forest(
 
 def fit_boosted(
     train: DataFrame, features: list[str], label: str, weight: str | None = "weight",
-    rounds: int = BOOSTING["rounds"], depth: int = BOOSTING["depth"], rate: float = BOOSTING["rate"],
-    parallelism: int = 8, **kw,
+    rounds: int = BOOSTING["rounds"], depth: int = BOOSTING["depth"], rate: float = BOOSTING["rate"], **kw,
 ) -> Classifier:
-    """Gradient-boosted trees for several classes.
-
-    Uses the distributed XGBoost estimator where that package is installed, and
-    one boosted binary model per class otherwise.
-    """
+    """Gradient-boosted trees for several classes: one model, softmax loss, a tree per class and round."""
 
     def make(vectors: DataFrame, k: int):
-        try:
-            from xgboost.spark import SparkXGBClassifier
-        except ImportError:
-            SparkXGBClassifier = None
-        if SparkXGBClassifier is not None:
-            return SparkXGBClassifier(
-                features_col="features", label_col="label_index", weight_col=weight, n_estimators=rounds,
-                max_depth=depth, learning_rate=rate, tree_method="hist", random_state=SEED,
-            ).fit(vectors)
-        extra = {"weightCol": weight} if weight else {}
-        one = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=rate, seed=SEED)
-        return OneVsRest(
-            classifier=one, featuresCol="features", labelCol="label_index", parallelism=parallelism, **extra
-        ).fit(vectors)
+        return boosting.fit(vectors, "features", "label_index", max(k, 3), weight, rounds, depth, rate)
 
     return _fit("boosted", train, features, label, make, weight, **kw)
 
@@ -261,11 +232,7 @@ def fit_boosted_binary(
     """Boosted trees for a yes/no target; ``names`` are the negative and positive class."""
 
     def make(vectors: DataFrame, k: int):
-        extra = {"weightCol": weight} if weight else {}
-        return GBTClassifier(
-            featuresCol="features", labelCol="label_index", maxIter=rounds, maxDepth=depth,
-            stepSize=rate, seed=SEED, **extra,
-        ).fit(vectors)
+        return boosting.fit(vectors, "features", "label_index", 2, weight, rounds, depth, rate)
 
     two = train.withColumn("__side", F.when(positive, names[1]).otherwise(names[0]))
     return _fit("boosted_binary", two, features, "__side", make, weight, classes=list(names), **kw)
@@ -300,8 +267,8 @@ def feature_importance(classifier: Classifier, spark: SparkSession, top: int | N
     model = classifier.model
     if classifier.kind == "logistic":
         values = abs(model.coefficientMatrix.toArray()).mean(axis=0)
-    elif classifier.kind == "boosted":
-        values = sum(m.featureImportances.toArray() for m in model.models) / len(model.models)
+    elif classifier.kind in BOOSTED:
+        values = model.importances
     else:
         values = model.featureImportances.toArray()
     rows = [(name, float(value)) for name, value in zip(classifier.features, values)]

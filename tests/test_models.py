@@ -5,8 +5,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from flowlake.operators import evaluate, explain, features, score, train
-from flowlake.operators.explain import Leaf, forest_leaves, group_paths, shapley_values
+from flowlake.operators import boosting, evaluate, explain, features, score, train, trees
+from flowlake.operators.explain import model_trees
 
 NAMES = ["x1", "x2", "x3", "x4"]
 
@@ -65,7 +65,9 @@ def test_boosted_models(data):
 
 
 def test_saved_model_scores_alike(spark, data, logistic, forest, tmp_path):
-    for model in (logistic, forest):
+    many = train.fit_boosted(data, NAMES, "y", weight=None, rounds=2, depth=2)
+    two = train.fit_boosted_binary(data, NAMES, "y", F.col("y") == "c", ("rest", "c"), rounds=2, depth=2)
+    for model in (logistic, forest, many, two):
         path = str(tmp_path / model.kind)
         model.save(spark, path)
         again = train.Classifier.load(spark, path)
@@ -85,46 +87,169 @@ def test_importance_is_ranked(spark, data, forest, logistic):
 # ---- explanation -------------------------------------------------------------
 
 
-def brute_force(row, leaves, outputs, count):
-    """Shapley values from the definition: all coalitions of all features."""
+def paid(flat, node, row, known):
+    """What a subtree pays if only the ``known`` features are seen; the others follow the training weights."""
+    if flat.feature[node] < 0:
+        return flat.dense(np.array([node]))[0]
+    f, left, right = flat.feature[node], flat.left[node], flat.right[node]
+    if f in known:
+        return paid(flat, left if row[f] <= flat.cut[node] else right, row, known)
+    return sum(flat.cover[c] / flat.cover[node] * paid(flat, c, row, known) for c in (left, right))
 
-    def payout(known):
-        total = np.zeros(outputs)
-        for leaf in leaves:
-            weight = 1.0
-            for f, low, high, share in zip(leaf.features, leaf.low, leaf.high, leaf.share):
-                weight *= (low < row[f] <= high) if f in known else share
-            total += weight * leaf.value
-        return total
 
-    result = np.zeros((outputs, count))
+def brute_force(row, flat, count):
+    """Shapley values from the definition: all coalitions of all features."""
+    pay = {known: sum(paid(flat, root, row, known) for root in flat.start[:-1]) for size in range(count + 1) for known in combinations(range(count), size)}
+    result = np.zeros((flat.outputs, count))
     for f in range(count):
         others = [g for g in range(count) if g != f]
         for size in range(count):
             for group in combinations(others, size):
                 weight = factorial(size) * factorial(count - size - 1) / factorial(count)
-                result[:, f] += weight * (payout({*group, f}) - payout(set(group)))
+                result[:, f] += weight * (pay[tuple(sorted((*group, f)))] - pay[group])
     return result
 
 
-def test_tree_values_equal_the_definition(spark, data, forest):
-    leaves = forest_leaves(spark, forest)
+def random_trees(rng, count, features, depth, outputs, chain=False):
+    """Trees of any shape; features come again on a path; several leaves pay several outputs."""
+    parts = []
+    for _ in range(count):
+        feature, cut, left, right, cover, values = [], [], [], [], [], []
+
+        def make(weight, level):
+            node = len(feature)
+            for column in (feature, cut, left, right, cover, values):
+                column.append(-1)
+            cover[node] = weight
+            if level < depth and (chain or rng.random() < 0.8):
+                feature[node], cut[node] = int(rng.integers(features)), float(rng.normal())
+                share = rng.uniform(0.1, 0.9)
+                left[node] = make(weight * share, depth if chain else level + 1)
+                right[node] = make(weight * (1 - share), level + 1)
+            else:
+                values[node] = rng.normal(size=outputs)
+            return node
+
+        make(100.0, 0)
+        leaf = np.array([f < 0 for f in feature])
+        flat = np.concatenate([v for v, is_leaf in zip(values, leaf) if is_leaf])
+        starts = np.concatenate([[0], np.cumsum(leaf * outputs)])
+        parts.append(trees.FlatTrees(
+            outputs, np.array([0, len(feature)]), np.array(feature), np.array(cut, float), np.array(left), np.array(right), np.array(cover),
+            starts, np.tile(np.arange(outputs), int(leaf.sum())), flat,
+        ))
+    return trees.FlatTrees.joined(parts, outputs)
+
+
+@pytest.mark.parametrize("together", [1, 4096])
+def test_tree_values_equal_the_definition(monkeypatch, together):
+    monkeypatch.setattr(trees, "TOGETHER", together)
+    rng = np.random.default_rng(together)
+    for outputs in (1, 3):
+        flat = random_trees(rng, 6, 4, 5, outputs)
+        rows = rng.normal(size=(9, 4))
+        found = trees.contributions(rows, flat)
+        for i, row in enumerate(rows):
+            assert np.allclose(found[i], brute_force(row, flat, 4), atol=1e-12)
+            assert np.allclose(flat.answers(rows)[i], sum(paid(flat, r, row, range(4)) for r in flat.start[:-1]))
+        own = rng.integers(0, outputs, 9)
+        assert np.allclose(trees.own_contributions(rows, flat, own), found[np.arange(9), own], atol=1e-12)
+
+
+def test_deep_chain_adds_up():
+    """Sixty tests on one path, the same features again and again; many rows, walked in parts."""
+    rng = np.random.default_rng(8)
+    flat = random_trees(rng, 2, 12, 60, 2, chain=True)
+    rows = rng.normal(size=(300, 12))
+    base = sum(paid(flat, r, rows[0], ()) for r in flat.start[:-1])
+    assert np.allclose(trees.contributions(rows, flat).sum(axis=2) + base, flat.answers(rows), atol=1e-9)
+
+
+def test_spark_forest_equals_the_definition(spark, data, forest):
+    flat = model_trees(spark, forest)
     rows = np.array([[r[n] for n in NAMES] for r in data.limit(4).collect()])
-    found = shapley_values(rows, group_paths(leaves), 3)
+    found = trees.contributions(rows, flat)
     for i, row in enumerate(rows):
-        assert np.allclose(found[i], brute_force(row, leaves, 3, 4), atol=1e-12)
-
-
-def test_long_paths_use_the_integral(monkeypatch):
-    rng = np.random.default_rng(1)
-    size = 6
-    leaf = Leaf(np.arange(size), np.full(size, -0.5), np.full(size, 0.5), rng.uniform(0.1, 0.9, size), np.array([2.0, -1.0]))
-    rows = rng.normal(size=(20, size))
-    tabulated = shapley_values(rows, group_paths([leaf]), 2)
-    monkeypatch.setattr(explain, "TABLE_BITS", 0)
-    integrated = shapley_values(rows, group_paths([leaf]), 2)
-    assert np.allclose(tabulated, integrated, atol=1e-12)
-    assert np.allclose(integrated[0], brute_force(rows[0], [leaf], 2, size), atol=1e-12)
+        assert np.allclose(found[i], brute_force(row, flat, 4), atol=1e-12)
+    scored = np.array([r["probabilities"] for r in score.score_matrix(data.limit(4), forest).collect()])
+    assert np.allclose(np.sort(flat.answers(rows), axis=0), np.sort(scored, axis=0))
+
+
+# ---- boosting ----------------------------------------------------------------
+
+
+def reference_boosting(x, y, weight, classes, edges, rounds, depth, rate, l2=1.0, least=1.0):
+    """The same algorithm on plain arrays, node by node; margins after each round."""
+    outputs = classes if classes > 2 else 1
+    margins, history = np.zeros((outputs, len(y))), []
+    for _ in range(rounds):
+        if outputs == 1:
+            p = 1 / (1 + np.exp(-margins))
+            grads, hesses = (p - (y == 1)) * weight, p * (1 - p) * weight
+        else:
+            p = np.exp(margins) / np.exp(margins).sum(axis=0)
+            grads, hesses = (p - (np.arange(outputs)[:, None] == y)) * weight, 2 * p * (1 - p) * weight
+        for k in range(outputs):
+            nodes = [(np.arange(len(y)), 0)]
+            while nodes:
+                rows, level = nodes.pop()
+                g, h = grads[k, rows], hesses[k, rows]
+                best = (1e-9, None)
+                for f in range(x.shape[1] if level < depth else 0):
+                    for cut in edges[f]:
+                        side = x[rows, f] <= cut
+                        gl, hl, gr, hr = g[side].sum(), h[side].sum(), g[~side].sum(), h[~side].sum()
+                        gain = gl**2 / (hl + l2) + gr**2 / (hr + l2) - g.sum() ** 2 / (h.sum() + l2)
+                        if hl >= least and hr >= least and gain > best[0] * (1 + 1e-9):
+                            best = (gain, side)
+                if best[1] is None:
+                    margins[k, rows] += -rate * g.sum() / (h.sum() + l2)
+                else:
+                    nodes += [(rows[best[1]], level + 1), (rows[~best[1]], level + 1)]
+        history.append(margins.copy())
+    return history
+
+
+@pytest.mark.parametrize("classes, direct", [(3, 64_000_000), (2, 64_000_000), (3, 0)])
+def test_boosting_against_plain_arrays(spark, data, monkeypatch, classes, direct):
+    """Also where histograms are merged by Spark, in two steps."""
+    monkeypatch.setattr(boosting, "DIRECT", direct)
+    monkeypatch.setattr(boosting, "MERGED", 2)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(boosting, "REFRESH", 2)
+    weighted = data.repartition(3).withColumns({"label": F.when(F.col("y") == "a", 0).when(F.col("y") == "b", 1).otherwise(2 if classes == 3 else 0), "weight": F.lit(1.0) + F.abs("x4"), "features": train.feature_vector(NAMES)})
+    rounds = 2 if direct == 0 else 5
+    model = boosting.fit(weighted, "features", "label", classes, "weight", rounds=rounds, depth=3, bins=16)
+    rows = weighted.collect()
+    x, y, w = np.array([[r[n] for n in NAMES] for r in rows]), np.array([r["label"] for r in rows]), np.array([r["weight"] for r in rows])
+    edges = boosting.bin_edges(weighted, "features", 4, 16)
+    want = reference_boosting(x, y, w, classes, edges, rounds, 3, 0.1)
+    assert np.allclose(model.trees.answers(x).T, want[-1], atol=1e-8)
+    scored = model.transform(weighted).collect()
+    p = np.array([list(r["probability"]) for r in scored])
+    assert np.allclose(p.sum(axis=1), 1) and p.shape[1] == classes
+
+
+def test_loss_falls_every_round(spark, data):
+    weighted = train.with_balanced_weight(data, "y")
+    losses = []
+    for rounds in (1, 2, 4, 8, 16):
+        model = train.fit_boosted(weighted, NAMES, "y", rounds=rounds, depth=3)
+        place = F.array_position(F.array(*[F.lit(c) for c in model.classes]), F.col("y"))
+        own = F.get("probabilities", (place - 1).cast("int"))
+        losses.append(score.score_matrix(weighted, model).agg(F.sum(-F.log(own) * F.col("weight"))).first()[0])
+    assert losses == sorted(losses, reverse=True) and losses[-1] < 0.5 * losses[0]
+
+
+def test_boosting_odd_tables(spark, data):
+    none = data.filter("false").withColumns({"label": F.lit(0), "features": train.feature_vector(NAMES)})
+    assert len(boosting.fit(none, "features", "label", 3, rounds=2).trees.start) == 1
+    same = spark.createDataFrame([(i % 3, 1.0, float("nan")) for i in range(30)], "label int, a double, b double")
+    same = same.withColumn("features", train.feature_vector(["a", "b"]))
+    model = boosting.fit(same, "features", "label", 3, rounds=2)
+    assert np.allclose([list(r["probability"]) for r in model.transform(same).collect()], 1 / 3)
+    with pytest.raises(ValueError, match="bytes"):
+        boosting.fit(same, "features", "label", 3, bins=300)
 
 
 @pytest.mark.parametrize("kind", ["forest", "boosted_binary", "boosted"])
