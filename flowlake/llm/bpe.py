@@ -237,3 +237,22 @@ def decode_documents(docs: DataFrame, path: str, ids: str = "ids") -> DataFrame:
         return lambda value: known.decode(value or b"")
 
     return with_column(docs, ids, "decoded", StringType(), make)
+
+
+def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without the text, with ``ids``, ``n_tokens`` and the text decoded from the ids, in one go."""
+    content = read_vocabulary(docs.sparkSession, path)
+    docs = docs.drop(*[c for c in ("ids", "decoded") if c != text])
+    column = docs.columns.index(text)
+
+    def make():
+        encoder, decoder = worker.kept("bpe", Vocabulary, content.value), worker.kept("bpe", Decoder, content.value)
+
+        def both(part: pa.RecordBatch) -> list[pa.Array]:
+            ids = [encoder.encode(value.as_py() or "") for value in part.column(column)]
+            return [pa.array(ids, pa.binary()), pa.array([decoder.decode(i) for i in ids], pa.string())]
+
+        return both
+
+    found = worker.with_columns(docs, [("ids", BinaryType()), ("decoded", StringType())], make, drop=(text,))
+    return found.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("bigint"))

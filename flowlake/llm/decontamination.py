@@ -98,6 +98,8 @@ def store_index(docs: DataFrame, doc_id: str, text: str, path: str | None = None
     schema = INDEX_SCHEMA.format(docs.schema[doc_id].dataType.simpleString())
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
 
+    worker.small_batches(spark)
+
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker.begin("decontamination")
         task, block, ids, texts, size = TaskContext.get().partitionId(), 0, [], [], 0
@@ -113,6 +115,8 @@ def store_index(docs: DataFrame, doc_id: str, text: str, path: str | None = None
                     block, ids, texts, size = block + 1, [], [], 0
         if ids:
             yield block_rows(task << 32 | block, ids, texts, kind)
+        del ids, texts
+        worker.give_back()
 
     rows.mapInArrow(index, schema).write.parquet(path)
     return spark.read.schema(schema).parquet(path)

@@ -96,10 +96,12 @@ def partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 yield from sent()
                 size = 0
     yield from sent()
+    worker.give_back()
 
 
 def vocabulary(docs: DataFrame, min_docs: int) -> DataFrame:
     """Terms in at least ``min_docs`` documents of their language: (lang, term, n, entries of source and n), stored."""
+    worker.small_batches(docs.sparkSession)
     found = docs.mapInArrow(partial_counts, "lang string, source string, term string, n bigint, docs bigint")
     by_source = found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     entries = F.sort_array(F.collect_list(F.struct("source", "n"))).alias("entries")

@@ -87,6 +87,8 @@ def sketch_sets(docs: DataFrame, doc_id: str, text: str, size: int, k: int) -> D
     """Set size, signature of the whole set, and its ``k`` smallest values, per document."""
     rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
 
+    worker.small_batches(docs.sparkSession)
+
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, signatures, kept = [], [], []
@@ -101,6 +103,7 @@ def sketch_sets(docs: DataFrame, doc_id: str, text: str, size: int, k: int) -> D
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary()), pa.ListArray.from_arrays(offsets, values)],
                 names=["doc_id", "n_shingles", "signature", "sketch"],
             )
+        worker.give_back()
 
     return rows.mapInArrow(sketch, SETS)
 
@@ -213,6 +216,7 @@ def full_sets(ids: DataFrame, docs: DataFrame, size: int) -> DataFrame:
             offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
             values = np.concatenate(found) if found else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, values)], names=["class_id", "shingles"])
+        worker.give_back()
 
     return texts_of(ids, docs).select("doc_id", "text").mapInArrow(make, "class_id bigint, shingles array<bigint>")
 

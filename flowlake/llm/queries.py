@@ -111,7 +111,7 @@ def op7_deleted_interpolation(spark: SparkSession, folder: str) -> DataFrame:
 def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Every document encoded, and decoded from its ids."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    both = bpe.decode_documents(bpe.encode_documents(docs, BYTE_BPE).drop("text"), BYTE_BPE)
+    both = bpe.round_trip(docs, BYTE_BPE)
     return both.select(
         "doc_id", "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),

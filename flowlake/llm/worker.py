@@ -14,12 +14,14 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType, StructField, StructType
 
 #: Bytes of remembered words of one kind, about; rows that are worked on and sent on together.
 MEMORY_BYTES = 24_000_000
 SLICE = 256
+#: Bytes of rows that Spark hands to a worker at once, where the session does not say.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
 #: An entry of a table, besides the key's and value's own bytes.
 ENTRY = 100
 
@@ -36,11 +38,22 @@ def begin(owner: str) -> None:
     had = bool(_Shelf.things)
     _Shelf.owner, _Shelf.things = owner, {}
     if had:
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim is not None:
-            trim(0)
+        give_back()
+
+
+def give_back() -> None:
+    """Memory that is free in this process goes back to the system: at the end of a task, as idle workers stay."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Long texts come in batches of bounded size; a session's own setting stays."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
 
 
 def kept(owner: str, make: Callable, content: Any = None) -> Any:
@@ -79,6 +92,7 @@ def with_columns(rows: DataFrame, fields: list[tuple[str, DataType]], make: Call
     Rows travel once, with all their columns but those to ``drop``, and are sent on after
     every slice. Columns of the same names must not be there.
     """
+    small_batches(rows.sparkSession)
     stay = [i for i, field in enumerate(rows.schema.fields) if field.name not in drop]
     schema = StructType([*(rows.schema.fields[i] for i in stay), *(StructField(name, kind) for name, kind in fields)])
 
@@ -89,5 +103,7 @@ def with_columns(rows: DataFrame, fields: list[tuple[str, DataType]], make: Call
                 part = batch.slice(start, SLICE)
                 columns = [*(part.column(i) for i in stay), *function(part)]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            del batch
+        give_back()
 
     return rows.mapInArrow(work, schema)
