@@ -19,7 +19,7 @@ from flowlake import contract
 from flowlake.operators import drift, evaluate, explain, features, quality, sampling, score, train
 from flowlake.plans import marts
 from flowlake.session import build_session
-from flowlake.sources import readers, tables, writers
+from flowlake.sources import batches, readers, tables, writers
 from flowlake.streaming import gold, ingest
 
 MODELS = {"logistic": train.fit_logistic, "forest": train.fit_forest, "boosted": train.fit_boosted}
@@ -44,14 +44,35 @@ def run_ingestion(
     ingest.finish(ingest.start_ingestion(stream, lake, interval, table_format))
 
 
-def check_table(spark: SparkSession, lake: str) -> DataFrame:
+def check_table(spark: SparkSession, lake: str, fmt: str = "parquet") -> DataFrame:
     """The whole suite on the whole parsed table; ids are unique over all batches here."""
-    return quality.validate(ingest.read_silver(spark, f"{lake}/silver"), quality.silver_suite()).orderBy("position")
+    return quality.validate(ingest.read_silver(spark, f"{lake}/silver", fmt), quality.silver_suite()).orderBy("position")
 
 
-def run_training(spark: SparkSession, lake: str, kind: str = "forest", version: str = "1", engineer: bool = False, **options):
+#: The stored layers: folder, schema and partition columns.
+LAYERS = {
+    "silver": (contract.silver_schema(), ["attack_type"]),
+    "quality_log": (quality.LOG_SCHEMA, []),
+    "predictions": (score.PREDICTIONS_SCHEMA, []),
+    "alerts": (score.ALERTS_SCHEMA, []),
+}
+
+
+def merge_layers(spark: SparkSession, lake: str, fold: bool = False, keep: int | None = None) -> dict[str, bool]:
+    """Merge the batches of every layer into large files; with ``keep`` remove what snapshots before these no longer need."""
+    done = {}
+    for name, (schema, partitions) in LAYERS.items():
+        done[name] = batches.merge_batches(spark, f"{lake}/{name}", schema, partitions, fold=fold)
+        if keep is not None:
+            batches.remove_merged(spark, f"{lake}/{name}", keep)
+    return done
+
+
+def run_training(
+    spark: SparkSession, lake: str, kind: str = "forest", version: str = "1", engineer: bool = False, fmt: str = "parquet", **options
+):
     """Split, encode and train on the parsed table; store the splits and the model."""
-    flows = ingest.read_silver(spark, f"{lake}/silver").filter(F.col("attack_type").isNotNull())
+    flows = ingest.read_silver(spark, f"{lake}/silver", fmt).filter(F.col("attack_type").isNotNull())
     encoder = features.FlowEncoder.fit(flows, engineer)
     matrix = encoder.transform(flows, ["event_id", "attack_type"])
     writers.save_splits(sampling.stratified_split(matrix, "attack_type", "event_id"), f"{lake}/splits")
@@ -90,7 +111,7 @@ def export_drift(spark: SparkSession, lake: str) -> None:
     writers.refresh_table(drift.drift_table(reference, current, model.features), "gold_drift")
 
 
-def load_warehouse(spark: SparkSession, lake: str, truncate: bool = False) -> None:
+def load_warehouse(spark: SparkSession, lake: str, truncate: bool = False, fmt: str = "parquet") -> None:
     """Load the stored layers into their tables; layers that do not exist yet are skipped."""
     tables.create_tables(spark, names=["silver_flows", "quality_log", "gold_model_predictions", "gold_security_alerts"])
     layers = {
@@ -101,8 +122,8 @@ def load_warehouse(spark: SparkSession, lake: str, truncate: bool = False) -> No
     }
     for table, (folder, read) in layers.items():
         path = f"{lake}/{folder}"
-        if readers.read_if_present(spark, path) is not None:
-            writers.load_warehouse(read(spark, path), table, truncate)
+        if readers.read_if_present(spark, path, fmt) is not None:
+            writers.load_warehouse(read(spark, path, fmt), table, truncate)
 
 
 def build_marts(spark: SparkSession) -> DataFrame:
@@ -138,8 +159,12 @@ def main(arguments: list[str] | None = None) -> None:
         one.add_argument("--servers")
         one.add_argument("--topic", default="flows-raw")
     follower.add_argument("--interval")
-    for name in ("check", "train", "score", "performance", "importance", "drift", "load"):
+    for name in ("check", "train", "score", "performance", "importance", "drift", "load", "merge"):
         job(name).add_argument("lake")
+    for name in ("ingest", "check", "train", "score", "load"):
+        jobs.choices[name].add_argument("--table-format", default="parquet")
+    jobs.choices["merge"].add_argument("--fold", action="store_true")
+    jobs.choices["merge"].add_argument("--keep", type=int)
     jobs.choices["train"].add_argument("--kind", choices=MODELS, default="forest")
     jobs.choices["train"].add_argument("--version", default="1")
     jobs.choices["score"].add_argument("--interval")
@@ -155,17 +180,19 @@ def main(arguments: list[str] | None = None) -> None:
         )
     elif chosen.job == "ingest":
         run_ingestion(
-            spark, chosen.lake, chosen.interval, chosen.fmt,
+            spark, chosen.lake, chosen.interval, chosen.fmt, chosen.table_format,
             path=chosen.path, servers=chosen.servers, topic=chosen.topic,
         )
     elif chosen.job == "check":
-        check_table(spark, chosen.lake).filter("NOT success").show(100, False)
+        check_table(spark, chosen.lake, chosen.table_format).filter("NOT success").show(100, False)
     elif chosen.job == "train":
-        run_training(spark, chosen.lake, chosen.kind, chosen.version)
+        run_training(spark, chosen.lake, chosen.kind, chosen.version, fmt=chosen.table_format)
     elif chosen.job == "score":
-        run_scoring(spark, chosen.lake, chosen.interval)
+        run_scoring(spark, chosen.lake, chosen.interval, chosen.table_format)
     elif chosen.job == "load":
-        load_warehouse(spark, chosen.lake, chosen.truncate)
+        load_warehouse(spark, chosen.lake, chosen.truncate, chosen.table_format)
+    elif chosen.job == "merge":
+        merge_layers(spark, chosen.lake, chosen.fold, chosen.keep)
     elif chosen.job == "marts":
         build_marts(spark).filter("NOT passed").show(100, False)
     else:

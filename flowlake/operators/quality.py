@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from flowlake import contract
 from flowlake.functions.scalar import failure_summary, quoted
@@ -168,6 +168,20 @@ def validate(df: DataFrame, checks: list[Expectation]) -> DataFrame:
     return Suite(checks, df.columns).validate(df)
 
 
+def broken_rules(checks: list[Expectation], columns: list[str]) -> Column:
+    """The rules that a row breaks, as an array of names in the order of the suite; empty for a valid row.
+
+    Rules on a column that is not there are broken by every row. Uniqueness and the set of columns are
+    not rules of a row."""
+    names = []
+    for check in checks:
+        if check.kind in (COLUMNS_MATCH, UNIQUE):
+            continue
+        name = F.lit(f"{check.kind}({check.column})")
+        names.append(F.when(F.expr(check.broken()), name) if check.column in columns else name)
+    return F.filter(F.array(*names), lambda n: n.isNotNull()) if names else F.array().cast("array<string>")
+
+
 def batch_record(results: list[Row], batch_id: int, now: datetime | None = None) -> dict:
     """The log row of a validated batch, from its collected results: one row per check."""
     failed = [
@@ -232,15 +246,13 @@ def schema_tests(models: dict[str, DataFrame], tests=SCHEMA_TESTS) -> DataFrame:
             value = quoted(test.column)
             if test.rule == "not_null":
                 aggregates.append(F.count_if(value.isNull()).alias(f"f{i}"))
+            elif test.rule == "accepted_values":
+                aggregates.append(F.count_distinct(F.when(~value.isin(*test.values), value)).alias(f"f{i}"))
             else:
-                # Only one column is read, and only repeated or unlisted values are counted.
-                seen = df.filter(value.isNotNull())
-                if test.rule == "accepted_values":
-                    seen = seen.filter(~value.isin(*test.values))
-                least = 1 if test.rule == "accepted_values" else 2
+                # Only one column is read, and only repeated values are counted.
                 failing = (
-                    seen.groupBy(value.alias("v")).agg(F.count(F.lit(1)).alias("c"))
-                    .agg(F.count_if(F.col("c") >= least).alias("failures"))
+                    df.filter(value.isNotNull()).groupBy(value.alias("v")).agg(F.count(F.lit(1)).alias("c"))
+                    .agg(F.count_if(F.col("c") >= 2).alias("failures"))
                 )
                 parts.append(
                     failing.select(

@@ -2,10 +2,13 @@
 
 from pyspark.sql import functions as F
 
+from flowlake import contract
 from flowlake.operators import quality
 from flowlake.plans import marts
 from flowlake.registry.core import on_flows, query, rounded
 from flowlake.registry.mart_checks import A1, QUALITY, TRAFFIC
+from flowlake.sources import readers
+from flowlake.streaming import ingest
 
 
 def _faulty(t):
@@ -71,6 +74,65 @@ def _suite_sql(source: str, suite) -> str:
 SUITE = quality.silver_suite()
 
 
+def _broken_sql(suite) -> str:
+    """The names of the rules that a row breaks, in the order of the suite."""
+    cases = []
+    for check in suite:
+        column = f'"{check.column}"'
+        if check.kind in (quality.COLUMNS_MATCH, quality.UNIQUE):
+            continue
+        if check.kind == quality.NOT_NULL:
+            bad = f"{column} IS NULL"
+        elif check.kind == quality.IN_SET:
+            bad = f"{column} NOT IN ({', '.join(repr(v) for v in check.values)})"
+        else:
+            bad = f"{column} < {check.minimum}"
+        cases.append(f"CASE WHEN {bad} THEN '{check.kind}({check.column})' END")
+    return f"concat_ws(';', {', '.join(cases)})"
+
+
+@query(
+    "q10_row_quarantine",
+    on_flows(FAULTY_SQL + f"""SELECT event_id, "TotPkts", {_broken_sql(SUITE)} AS broken_rules, {_broken_sql(SUITE)} = '' AS valid FROM faulty"""),
+)
+def _(t):
+    """Valid and invalid rows stored as one batch, written again as after a restart."""
+    root, flows = t.scratch("quarantine"), _faulty(t).drop("row_id", "Seq")
+    step = ingest.quarantine_batch_writer(root)
+    for batch in (0, 1, 0):
+        step(flows.filter(F.pmod(F.xxhash64("Dur"), F.lit(2)) == batch), batch)
+    good = ingest.read_valid(t.spark, root).select("event_id", "TotPkts", F.lit("").alias("broken_rules"), F.lit(True).alias("valid"))
+    bad = ingest.read_quarantine(t.spark, root).select("event_id", "TotPkts", F.concat_ws(";", "broken_rules").alias("broken_rules"), F.lit(False).alias("valid"))
+    return good.unionAll(bad)
+
+
+@query(
+    "q5_ids_over_batches",
+    on_flows(FAULTY_SQL + "SELECT event_id, count(*) > 1 AS repeated FROM faulty WHERE event_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1"
+    " UNION ALL SELECT event_id, true FROM flows WHERE row_id % 10 = 4"),
+)
+def _(t):
+    """A stream with a hot id and ids that come again in a later batch, stopped and started again in between."""
+    from flowlake.registry.stream_checks import as_records
+    from flowlake.sources import writers
+
+    root = t.scratch("ids")
+    faulty = _faulty(t).filter("event_id IS NOT NULL")
+    waves = [faulty, t.flows.filter("row_id % 10 = 4"), t.flows.filter("row_id % 10 = 4")]
+    for wave in waves:
+        spaced = wave.withColumnsRenamed({v: k for k, v in contract.LABEL_RENAMES.items()})
+        events = writers.as_events(spaced, F.col("ingestion_timestamp"), content=[F.col("row_id")])
+        # The event's own id is kept: it is what repeats.
+        value = F.regexp_replace("value", '"event_id":"[^"]*"', F.concat(F.lit('"event_id":"'), F.col("id"), F.lit('"')))
+        keyed = events.withColumnRenamed("key", "made").join(
+            spaced.select("event_id", F.col("row_id"), writers.event_id(F.lit(contract.SCHEMA_VERSION), F.col("row_id")).alias("made")).withColumnRenamed("event_id", "id"), "made"
+        )
+        as_records(keyed.select(F.col("id").alias("key"), value.alias("value"))).write.mode("append").json(f"{root}/topic")
+        records = readers.event_stream(t.spark, "json", f"{root}/topic")
+        ingest.finish([ingest.start_id_watch(records, f"{root}/repeated", f"{root}/progress", None, delay="400 days")])
+    return ingest.read_repeated_ids(t.spark, f"{root}/repeated").select("event_id", F.lit(True).alias("repeated"))
+
+
 @query("q6_suite_on_clean_flows", on_flows(_suite_sql("flows", SUITE)))
 def _(t):
     return rounded(quality.validate(t.flows, SUITE))

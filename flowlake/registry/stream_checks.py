@@ -6,7 +6,7 @@ from flowlake import contract
 from flowlake.operators import sampling
 from flowlake.operators.score import score_with
 from flowlake.registry.core import ALERTS_SQL, SCORED_SQL, add_rule_score, on_flows, plain_times, query, rounded
-from flowlake.sources import readers, tables, writers
+from flowlake.sources import batches, readers, tables, writers
 from flowlake.streaming import gold, ingest
 
 EVENT_ID = "concat('evt_00000000_', substr(sha256(concat(schema_version, chr(31), CAST(row_id AS varchar))), 1, 24))"
@@ -226,8 +226,8 @@ def _scored_stream(t):
     def make():
         root = t.scratch("gold")
         flows = t.flows.drop("row_id", "Seq")
-        writers.write_batch(flows.filter("is_tcp = 1"), f"{root}/silver", 0, ["attack_type"])
-        writers.write_batch(flows.filter("is_tcp = 0"), f"{root}/silver", 1, ["attack_type"])
+        batches.write_batch(flows.filter("is_tcp = 1"), f"{root}/silver", 0, ["attack_type"])
+        batches.write_batch(flows.filter("is_tcp = 0"), f"{root}/silver", 1, ["attack_type"])
         _score(t, root)
         return root
 
@@ -274,7 +274,7 @@ def _(t):
     """A batch is stored and scored, stored again, as a restart does, and scored again, also from a new checkpoint."""
     root, flows = t.scratch("replayed"), t.flows.drop("row_id", "Seq")
     for checkpoint in ("progress", "progress", "progress-2"):
-        writers.write_batch(flows, f"{root}/silver", 0, ["attack_type"])
+        batches.write_batch(flows, f"{root}/silver", 0, ["attack_type"])
         _score(t, root, checkpoint)
     stored = gold.read_predictions(t.spark, f"{root}/predictions").agg(
         F.count(F.lit(1)).alias("predictions"), F.count_distinct("event_id").alias("ids")
@@ -300,6 +300,25 @@ def _(t):
     )
 
 
+@query(
+    "t8_merged_table",
+    on_flows("SELECT attack_type, count(*) AS flows, count(*) AS ids FROM flows GROUP BY 1"),
+)
+def _(t):
+    """Batches come in before, between and after two merges; what was merged is removed from its own folders."""
+    root, flows = t.scratch("merged"), t.flows.drop("row_id", "Seq")
+    part = lambda k: flows.filter(F.pmod(F.xxhash64("event_id"), F.lit(5)) == k)
+    merge = lambda fold=False: batches.merge_batches(t.spark, root, contract.silver_schema(), ["attack_type"], fold=fold)
+    for k in range(5):
+        batches.write_batch(part(k), root, k, ["attack_type"])
+        if k in (1, 3):
+            merge(fold=k == 3)
+    batches.write_batch(part(0), root, 0, ["attack_type"])  # a replay of a merged batch
+    batches.remove_merged(t.spark, root, keep=0)
+    stored = ingest.read_silver(t.spark, root)
+    return stored.groupBy("attack_type").agg(F.count(F.lit(1)).alias("flows"), F.count_distinct("event_id").alias("ids"))
+
+
 @query("t5_stream_scoring")
 def _(t):
     from flowlake.registry.model_checks import _forest

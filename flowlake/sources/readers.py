@@ -12,6 +12,7 @@ from pyspark.sql.utils import AnalysisException
 from flowlake import contract
 from flowlake.functions.scalar import quoted, typed
 from flowlake.operators.sampling import sample_rows
+from flowlake.sources.batches import Store
 
 RECORD_SCHEMA = T.StructType(
     [
@@ -125,16 +126,31 @@ def cache_key(engineer: bool, *parts: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()[:16]
 
 
+def fingerprint(spark: SparkSession, *paths: str) -> str:
+    """A digest of the names, sizes and times of the files in the given folders (or of the given files)."""
+    hadoop, found = spark._jvm.org.apache.hadoop.fs.Path, []
+    for path in paths:
+        root = hadoop(path)
+        files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        listing = files.listFiles(root, True)
+        while listing.hasNext():
+            status = listing.next()
+            if not status.getPath().getName().startswith(("_", ".")):
+                found.append(f"{status.getPath()}|{status.getLen()}|{status.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()
+
+
 def load_or_build(
-    spark: SparkSession, root: str, build: Callable[[], DataFrame], engineer: bool = True, source: str = ""
+    spark: SparkSession, root: str, build: Callable[[], DataFrame], engineer: bool = True, source: str = "", inputs: tuple[str, ...] = ()
 ) -> DataFrame:
     """A prepared table from its cache folder, built on first use.
 
-    The folder is named after the contract and the options, so a changed
-    contract builds a new table. A folder that was left unfinished holds no
-    committed files and is written again.
+    The folder is named after the contract, the options and the files of ``inputs`` (names,
+    sizes, times), so a changed contract or a changed capture builds a new table. It counts as built
+    once the writer's mark of success is there; a folder that was left unfinished is written again.
     """
-    path = f"{root.rstrip('/')}/{'engineered' if engineer else 'plain'}-{cache_key(engineer, source)}"
-    if read_if_present(spark, path) is None:
+    parts = [source, fingerprint(spark, *inputs)] if inputs else [source]
+    path = f"{root.rstrip('/')}/{'engineered' if engineer else 'plain'}-{cache_key(engineer, *parts)}"
+    if not Store(spark, path).exists(f"{path}/_SUCCESS"):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -1,8 +1,7 @@
-"""Sinks: events, batches that may be replayed, warehouse tables and splits."""
+"""Sinks: events, warehouse tables and splits. Batches that may be replayed are in ``batches``."""
 
 from __future__ import annotations
 
-import json
 import warnings
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -72,63 +71,6 @@ def publish(events: DataFrame, fmt: str = "kafka", path: str | None = None, serv
     events.write.mode("append").format(fmt).save(path)
 
 
-def stream_id(df: DataFrame) -> str:
-    """The id of the running stream, which its checkpoint keeps; ``batch`` outside of streams."""
-    return df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
-
-
-def batch_folder(path: str, stream: str, batch_id: int) -> str:
-    return f"{path}/stream_id={stream}/batch_id={batch_id}"
-
-
-def manifest_folder(path: str) -> str:
-    """Readers of the table skip it, as they skip all names with an underscore."""
-    return f"{path}/_manifests"
-
-
-def _manifest(spark: SparkSession, path: str, stream: str, batch_id: int):
-    """The manifest file of a batch, and the file system that it is on."""
-    file = spark._jvm.org.apache.hadoop.fs.Path(f"{manifest_folder(path)}/{stream}-{batch_id:020d}.json")
-    return file, file.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def is_committed(spark: SparkSession, path: str, stream: str, batch_id: int) -> bool:
-    file, store = _manifest(spark, path, stream, batch_id)
-    return store.exists(file)
-
-
-def write_batch(
-    df: DataFrame, path: str, batch_id: int, partition_by: list[str] | None = None, fmt: str = "parquet",
-    app: str = "flowlake", stream: str | None = None,
-) -> None:
-    """Append one micro-batch so that writing it again leaves no duplicates.
-
-    A batch is known by its stream and its number, so a new checkpoint, which starts
-    again at 0, adds to what other streams have stored. File formats get one folder per
-    batch and, once it is complete, one small manifest with a fixed name. A batch that
-    has its manifest is not written again; one that was left unfinished is replaced.
-    Delta skips a transaction it has already seen. Rows are spread over the partition
-    columns evenly, and adaptive execution splits a hot value over several files.
-    """
-    partition_by = partition_by or []
-    stream = stream or stream_id(df)
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    if fmt == "delta":
-        (
-            df.write.format(fmt).mode("append").partitionBy(*partition_by)
-            .option("txnAppId", f"{app}-{stream}").option("txnVersion", batch_id).save(path)
-        )
-        return
-    file, store = _manifest(df.sparkSession, path, stream, batch_id)
-    if store.exists(file):
-        return
-    df.write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(batch_folder(path, stream, batch_id))
-    out = store.create(file, True)
-    out.write(bytearray(json.dumps({"stream_id": stream, "batch_id": batch_id}) + "\n", "utf-8"))
-    out.close()
-
-
 def load_warehouse(
     df: DataFrame | None, table: str, truncate: bool = False, stamp: bool = True, upper: bool = False,
     fmt: str = "parquet", jdbc: dict[str, str] | None = None, path: str | None = None,

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import Callable
 
+import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from flowlake import contract
-from flowlake.operators.quality import LOG_SCHEMA, Expectation, Suite, batch_record, silver_suite
-from flowlake.sources.writers import stream_id, write_batch
+from flowlake.operators.quality import LOG_SCHEMA, Expectation, Suite, batch_record, broken_rules, silver_suite
+from flowlake.sources.batches import read_batches, stream_id, write_batch
 
 
 #: Columns of the raw table, the log's column of each, and its type if it changes.
@@ -71,6 +74,104 @@ def checked_batch_writer(
     return step
 
 
+def quarantine_schema() -> T.StructType:
+    return contract.silver_schema().add("broken_rules", T.ArrayType(T.StringType())).add("valid", T.BooleanType())
+
+
+def quarantine_batch_writer(path: str, suite: list[Expectation] | None = None, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` step that keeps rows which break a rule apart from the others.
+
+    Every row gets the names of the rules it breaks. Valid and invalid rows are two partitions of one
+    batch, written in one pass and committed by one manifest: after a crash or a replay each row is on
+    one side, once."""
+    checks = silver_suite() if suite is None else suite
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        judged = batch.withColumn("broken_rules", broken_rules(checks, batch.columns))
+        write_batch(judged.withColumn("valid", F.size("broken_rules") == 0), path, batch_id, ["valid", "attack_type"], fmt, "quarantine", stream_id(batch))
+
+    return step
+
+
+def start_quarantine_sink(
+    records: DataFrame, path: str, checkpoint: str, interval: str | None = "10 seconds",
+    suite: list[Expectation] | None = None, fmt: str = "parquet",
+) -> StreamingQuery:
+    """Parse every micro-batch and store it with invalid rows set apart."""
+    return (
+        parse_events(records).writeStream.outputMode("append").foreachBatch(quarantine_batch_writer(path, suite, fmt))
+        .option("checkpointLocation", checkpoint).trigger(**_trigger(interval)).start()
+    )
+
+
+def read_valid(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    rows = read_batches(spark, path, quarantine_schema(), fmt).filter("valid")
+    return rows.select(*[F.col(f"`{c}`") for c in contract.SILVER_COLUMNS])
+
+
+def read_quarantine(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The invalid rows with the rules that they break."""
+    rows = read_batches(spark, path, quarantine_schema(), fmt).filter("NOT valid")
+    return rows.select(*[F.col(f"`{c}`") for c in contract.SILVER_COLUMNS], "broken_rules")
+
+
+# ---- ids over all batches ----------------------------------------------------
+
+REPEATED = "event_id string, first_seen timestamp, seen_again timestamp, batch_rows bigint"
+
+
+def _watch_id(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """One id: remembered from its first row, reported when it comes again, forgotten with the watermark."""
+    if state.hasTimedOut:
+        state.remove()
+        return
+    rows, earliest, latest = 0, None, None
+    for batch in batches:
+        rows += len(batch)
+        low, high = batch["seen"].min(), batch["seen"].max()
+        earliest, latest = (low, high) if earliest is None else (min(earliest, low), max(latest, high))
+    first, last, logged = state.get if state.exists else (int(earliest.value), int(latest.value), False)
+    again = state.exists or rows > 1
+    last = max(last, int(latest.value))
+    if again and not logged:
+        yield pd.DataFrame({"event_id": [key[0]], "first_seen": [pd.Timestamp(first)], "seen_again": [latest], "batch_rows": [rows]})
+    state.update((first, last, bool(logged or again)))
+    state.setTimeoutTimestamp(max(last // 1_000_000, state.getCurrentWatermarkMs()) + 1)
+
+
+def repeated_ids(flows: DataFrame, delay: str = "1 day", time: str = "ingestion_timestamp") -> DataFrame:
+    """Ids that come more than once in a stream, in one batch or in several: one row when an id is first seen again.
+
+    A state per id holds its first and last time and whether it was reported; it goes when the watermark, ``delay``
+    behind the latest time, has passed it. Rows without an id or time are not looked at."""
+    seen = flows.select("event_id", F.col(time).cast("timestamp").alias("seen")).filter("event_id IS NOT NULL AND seen IS NOT NULL")
+    return seen.withWatermark("seen", delay).groupBy("event_id").applyInPandasWithState(
+        _watch_id, REPEATED, "first bigint, last bigint, logged boolean", "append", GroupStateTimeout.EventTimeTimeout
+    )
+
+
+def start_id_watch(
+    records: DataFrame, path: str, checkpoint: str, interval: str | None = "10 seconds", delay: str = "1 day", fmt: str = "parquet",
+) -> StreamingQuery:
+    """Log repeated ids as batches; the state is part of the checkpoint, so a restart reports none twice."""
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            write_batch(batch, path, batch_id, fmt=fmt, app="repeated_ids", stream=stream_id(batch))
+
+    return (
+        repeated_ids(parse_events(records), delay).writeStream.outputMode("append").foreachBatch(step)
+        .option("checkpointLocation", checkpoint).trigger(**_trigger(interval)).start()
+    )
+
+
+def read_repeated_ids(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    schema = T._parse_datatype_string(REPEATED)
+    return read_batches(spark, path, schema, fmt).select(*schema.names)
+
+
 def _trigger(interval: str | None) -> dict:
     return {"processingTime": interval} if interval else {"availableNow": True}
 
@@ -125,16 +226,9 @@ def await_any(spark: SparkSession) -> None:
 
 
 def read_silver(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The parsed table in contract column order, without batch folders."""
-    from pyspark.sql import types as T
-
-    reader = spark.read.format(fmt)
-    if fmt != "delta":
-        schema = contract.silver_schema().add("stream_id", T.StringType()).add("batch_id", T.LongType())
-        reader = reader.schema(schema)
-    return reader.load(path).select(*[F.col(f"`{c}`") for c in contract.SILVER_COLUMNS])
+    """The committed rows of the parsed table in contract column order."""
+    return read_batches(spark, path, contract.silver_schema(), fmt).select(*[F.col(f"`{c}`") for c in contract.SILVER_COLUMNS])
 
 
 def read_quality_log(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    names = LOG_SCHEMA.fieldNames()
-    return spark.read.format(fmt).schema(LOG_SCHEMA).load(path).select(*names)
+    return read_batches(spark, path, LOG_SCHEMA, fmt).select(*LOG_SCHEMA.fieldNames())

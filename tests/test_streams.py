@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from flowlake import contract
 from flowlake.operators.quality import Expectation, NOT_NULL, silver_suite, validate
 from flowlake.registry.core import add_rule_score
-from flowlake.sources import readers, writers
+from flowlake.sources import batches, readers, writers
 from flowlake.streaming import gold, ingest
 
 
@@ -116,20 +116,20 @@ def test_replayed_and_empty_batches(spark, flows, tmp_path):
 
 
 def test_table_is_partitioned_by_attack(spark, flows, tmp_path):
-    writers.write_batch(flows, f"{tmp_path}/t", 3, ["attack_type"])
+    batches.write_batch(flows, f"{tmp_path}/t", 3, ["attack_type"])
     plan = ingest.read_silver(spark, f"{tmp_path}/t").filter("attack_type = 'UDPFlood'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(attack_type" in plan
 
 
 def test_scoring_stream_stores_matching_tables(spark, flows, tmp_path):
     root = str(tmp_path)
-    writers.write_batch(flows, f"{root}/silver", 0, ["attack_type"])
+    batches.write_batch(flows, f"{root}/silver", 0, ["attack_type"])
     step = gold.scoring_batch_writer(add_rule_score, f"{root}/predictions", f"{root}/alerts")
     run = lambda name="progress": ingest.finish([gold.start_follower(spark, f"{root}/silver", step, f"{root}/{name}")])
     run()
     run()
     # The batch again, as after a restart, and a scoring that starts afresh.
-    writers.write_batch(flows, f"{root}/silver", 0, ["attack_type"])
+    batches.write_batch(flows, f"{root}/silver", 0, ["attack_type"])
     run()
     run("progress-2")
     predictions, alerts = gold.read_predictions(spark, f"{root}/predictions"), gold.read_alerts(spark, f"{root}/alerts")
