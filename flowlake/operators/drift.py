@@ -1,8 +1,7 @@
 """Distribution drift between a reference and a current table.
 
-All numeric columns are handled together in long form. Equal values are counted
-first, then one ordered scan per value range gives quantile edges and
-the Kolmogorov-Smirnov distance.
+All numeric columns are handled together by counts between sampled edges (``brackets``); only the
+values between the few edges that decide an exact figure are ever sorted.
 """
 
 from __future__ import annotations
@@ -10,19 +9,20 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from flowlake.contract import columns_of_kind, common_columns
 from flowlake.functions.scalar import quoted
-from flowlake.operators.lookup import bounded
-from flowlake.operators.ordered import running_totals
+from flowlake.operators.brackets import bin_counts, examine, interpolated
 from flowlake.operators.sampling import sample_per_class
-from flowlake.session import materialize
 
 # Thresholds of the stored drift table and of the column tests.
 PSI_LIMIT, DATASET_SHARE, PSI_BINS, EPSILON = 0.2, 0.5, 10, 1e-6
 DISTANCE_LIMIT = 0.1
+#: Smallest deviation that a distance is divided by, and sample sizes up to which p-values are exact.
+LEAST_DEVIATION, EXACT_UP_TO = 0.001, 10_000
 REFERENCE_PER_CLASS = 5000
 
 
@@ -60,53 +60,65 @@ def kolmogorov_p(statistic: Column, n: Column, m: Column) -> Column:
     return F.when(lam < 0.2, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
 
 
+def lattice_p(statistic: float, n: int, m: int) -> float:
+    """Exact two-sided p-value: the share of orders of n and m values whose distance is at least the given one.
+
+    An order is a path over a lattice. The share of paths to a point that have been too far off is the
+    mean of the two points before, weighted by the ways there; points that are too far off have 1. Diagonals
+    are worked on as a whole, so this takes (n + m) steps of at most min(n, m) + 1 numbers."""
+    n, m = max(n, m), min(n, m)
+    g = math.gcd(n, m)
+    limit = round(statistic * (n // g) * m)
+    if limit <= 0:
+        return 1.0
+    j = np.arange(m + 1)
+    off = np.zeros(m + 1)
+    for step in range(1, n + m + 1):
+        shifted_off = np.concatenate([[0.0], off[:-1]])
+        off = (off * (step - j) + shifted_off * j) / step
+        i = step - j
+        off[np.abs(i * (m // g) - j * (n // g)) >= limit] = 1.0
+        off[(i < 0) | (i > n)] = 0.0
+    return float(off[m])
+
+
+@F.pandas_udf(T.DoubleType())
+def exact_p(statistic: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+    """Used on one row per column."""
+    return pd.Series([lattice_p(d, int(a), int(b)) if a and b else None for d, a, b in zip(statistic, n, m)], dtype=float)
+
+
 def _psi_terms(r: Column, c: Column, n: Column, m: Column) -> Column:
     ref, cur = r / n + EPSILON, c / m + EPSILON
     return F.sum((cur - ref) * F.log(cur / ref))
 
 
+def _psi(r: np.ndarray, c: np.ndarray, n: int, m: int) -> float:
+    """A bin that is empty on both sides adds nothing to the sum."""
+    ref, cur = r / n + EPSILON, c / m + EPSILON
+    return float(((cur - ref) * np.log(cur / ref)).sum())
+
+
 def numeric_distances(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
-    """PSI and KS statistic per column.
+    """PSI, KS statistic and normalised Wasserstein distance per column.
 
-    Columns without values on one side are left out.
+    Columns without values on one side are left out. PSI bins are exact quantiles of the reference,
+    interpolated as on sorted data. The Wasserstein distance is the area between the two
+    distribution functions in deviations of the reference.
     """
-    values = materialize(counted_values(reference, current, columns), "drift-values")
-    bound = len(columns)
-    cumulative = running_totals(values, "value", {"run_r": "r", "run_c": "c"}, ["feature"], bound)
-    n, m = F.col("run_r_total"), F.col("run_c_total")
-    gap = F.abs(F.col("run_r") / n - F.col("run_c") / m)
-
-    # Edges: exact quantiles of the reference, interpolated as on sorted data.
-    picks, edges = [], []
-    for i in range(PSI_BINS + 1):
-        at = lambda size, i=i: F.lit(i / PSI_BINS) * (size - 1)
-        for side, rank in (("lo", F.floor(at(n))), ("hi", F.ceil(at(n)))):
-            picks.append(F.min(F.when(F.col("run_r") > rank, F.col("value"))).alias(f"{side}{i}"))
-        place = at(F.col("n"))
-        edges.append(F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * (place - F.floor(place)))
-    # One row per column: it goes through the driver once instead of being
-    # computed in both branches below.
-    stats = bounded(
-        cumulative.filter((n > 0) & (m > 0)).groupBy("feature")
-        .agg(F.max(n).alias("n"), F.max(m).alias("m"), F.max(gap).alias("ks_statistic"), *picks)
-        .select("feature", "n", "m", "ks_statistic", F.array_sort(F.array_distinct(F.array(*edges))).alias("edges")),
-        max_rows=bound,
-    )
-
-    # Bins hold their lower edge, the last one also its upper edge. A bin that
-    # is empty on both sides adds nothing to the sum.
-    placed = values.join(
-        F.broadcast(stats.select("feature", "n", "m", "edges").filter(F.size("edges") >= 3)), "feature"
-    ).filter((F.col("value") >= F.get("edges", F.lit(0))) & (F.col("value") <= F.element_at("edges", -1)))
-    bin_number = F.least(
-        F.size(F.filter("edges", lambda e: e <= F.col("value"))), F.size("edges") - 1
-    )
-    psi = (
-        placed.groupBy("feature", bin_number.alias("bin"))
-        .agg(F.sum("r").alias("r"), F.sum("c").alias("c"), F.max("n").alias("n"), F.max("m").alias("m"))
-        .groupBy("feature").agg(_psi_terms(F.col("r"), F.col("c"), F.col("n"), F.col("m")).alias("psi"))
-    )
-    return stats.drop("edges").join(psi, "feature", "left").withColumn("psi", F.coalesce("psi", F.lit(0.0)))
+    probs = [i / PSI_BINS for i in range(PSI_BINS + 1)]
+    found = [(c, k) for c, k in zip(columns, examine(reference, current, columns, probs)) if k.both]
+    rows = []
+    if found:
+        names = [c for c, _ in found]
+        edges = [np.unique(interpolated(k, probs)) for _, k in found]
+        ref, cur = bin_counts(reference, names, edges), bin_counts(current, names, edges)
+        spread = reference.agg(*[F.stddev_pop(F.nanvl(quoted(c).cast("double"), F.lit(None))).alias(f"s{i}") for i, c in enumerate(names)]).first()
+        for i, (name, k) in enumerate(found):
+            psi = _psi(ref[i], cur[i], k.total_n, k.total_m) if len(edges[i]) >= 3 else 0.0
+            rows.append((name, k.total_n, k.total_m, k.gap, k.area / max(float(spread[i]), LEAST_DEVIATION), psi))
+    # One row per column.
+    return reference.sparkSession.createDataFrame(rows, "feature string, n bigint, m bigint, ks_statistic double, wasserstein double, psi double")
 
 
 def drift_table(
@@ -115,16 +127,23 @@ def drift_table(
     columns: list[str] | None = None,
     reference_size: int | None = None,
     current_size: int | None = None,
+    exact_up_to: int = EXACT_UP_TO,
 ) -> DataFrame:
-    """The stored drift table: one row per numeric column with the dataset verdict on each."""
+    """The stored drift table: one row per numeric column with the dataset verdict on each.
+
+    P-values are exact where no side has more than ``exact_up_to`` values, asymptotic beyond."""
     columns = columns or common_columns(reference, current, numeric_only=True)
     measured = numeric_distances(reference, current, columns)
     verdicts = measured.withColumns(
         {
             "drifted": (F.col("psi") > PSI_LIMIT).cast("int"),
-            "ks_p_value": kolmogorov_p(F.col("ks_statistic"), F.col("n"), F.col("m")),
+            "ks_p_value": F.when(F.greatest("n", "m") > exact_up_to, kolmogorov_p(F.col("ks_statistic"), F.col("n"), F.col("m"))),
         }
     )
+    if exact_up_to > 0:
+        small = F.greatest("n", "m") <= exact_up_to
+        exact = exact_p("ks_statistic", F.when(small, F.col("n")).otherwise(0), F.when(small, F.col("m")).otherwise(0))
+        verdicts = verdicts.withColumn("ks_p_value", F.coalesce("ks_p_value", exact))
     share = F.avg("drifted").over(Window.partitionBy())
     size = lambda df: df.agg(F.count(F.lit(1)).alias("s")).scalar()
     return verdicts.select(
@@ -200,8 +219,8 @@ def category_distances(reference: DataFrame, current: DataFrame, columns: list[s
 def column_drift(reference: DataFrame, current: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Per-column drift by type, with the share of drifted columns.
 
-    Numeric columns are judged by PSI, categories and the ``prediction`` column
-    by the distance of their shares.
+    Numeric columns are judged by the Wasserstein distance in deviations of the reference, categories and
+    the ``prediction`` column by the Jensen-Shannon distance of their shares.
     """
     columns = columns or common_columns(reference, current)
     numbers = [c for c in columns_of_kind(reference, "number") if c in columns]
@@ -210,8 +229,8 @@ def column_drift(reference: DataFrame, current: DataFrame, columns: list[str] |
     if numbers:
         parts.append(
             numeric_distances(reference, current, numbers).select(
-                "feature", F.lit("numeric").alias("kind"), "psi", F.col("ks_statistic").alias("distance"),
-                (F.col("psi") > PSI_LIMIT).cast("int").alias("drifted"),
+                "feature", F.lit("numeric").alias("kind"), "psi", F.col("wasserstein").alias("distance"),
+                (F.col("wasserstein") > DISTANCE_LIMIT).cast("int").alias("drifted"),
             )
         )
     if categories:

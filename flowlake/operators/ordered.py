@@ -15,6 +15,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from flowlake.functions.scalar import quoted
 from flowlake.operators.lookup import bounded
 from flowlake.session import materialize
 
@@ -25,6 +26,8 @@ MAX_GROUPS = 5_000
 #: Rows of a range beyond which a table without groups gets more ranges, and sampled keys per range.
 ROWS_PER_RANGE = 4_000_000
 SAMPLED_KEYS = 100
+#: Ranges with a wanted rank that are sent to all tasks at most.
+WANTED = 100_000
 
 
 def _bucket_root(df: DataFrame, rows: int | None = None) -> int:
@@ -178,26 +181,6 @@ def value_table(
     return materialize(counted, "values")
 
 
-def quantiles_from_totals(
-    cumulative: DataFrame, value: str, running: str, probs: list[float], groups: list[str] | None = None
-) -> DataFrame:
-    """Exact linear-interpolated quantiles from a value table with running counts.
-
-    The result has one array ``quantiles`` per group.
-    """
-    groups = list(groups or [])
-    size = F.col(f"{running}_total")
-    picks, results = [F.max(size).alias("__n")], []
-    for i, p in enumerate(probs):
-        position = F.lit(p) * (size - 1)
-        for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
-            picks.append(F.min(F.when(F.col(running) > rank, F.col(value))).alias(f"__{side}{i}"))
-        position = F.lit(p) * (F.col("__n") - 1)
-        low, high = F.col(f"__lo{i}"), F.col(f"__hi{i}")
-        results.append(low + (high - low) * (position - F.floor(position)))
-    return cumulative.groupBy(*groups).agg(*picks).select(*groups, F.array(*results).alias("quantiles"))
-
-
 def exact_quantiles(
     df: DataFrame,
     value: str,
@@ -205,7 +188,39 @@ def exact_quantiles(
     groups: list[str] | None = None,
     group_bound: int | None = None,
 ) -> DataFrame:
-    """Exact quantiles per group as an array; equal to linear interpolation on sorted data."""
-    distinct = value_table(df, value, {"__cnt": F.count(F.lit(1))}, groups)
-    cumulative = running_totals(distinct, value, {"__run": "__cnt"}, groups, group_bound)
-    return quantiles_from_totals(cumulative, value, "__run", probs, groups)
+    """Exact quantiles per group as an array; equal to linear interpolation on sorted data.
+
+    Rows are counted per range where they are read. The counts say which ranges hold a
+    wanted rank; only the values of these are counted one by one and put in order.
+    """
+    groups = list(groups or [])
+    kept = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(*[quoted(g) for g in groups], value)
+    ranged = with_ranges(kept, value, groups, group_bound)
+    group = Window.partitionBy(*groups)
+    counts = ranged.groupBy(*groups, BUCKET).agg(F.count(F.lit(1)).alias("__cnt"))
+    upto = group.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = counts.withColumns({"__upto": F.sum("__cnt").over(upto), "__n": F.sum("__cnt").over(group)})
+    place = lambda p: F.lit(p) * (F.col("__n") - 1)
+    ranks = F.array_distinct(F.array(*[side(place(p)).cast("bigint") for p in probs for side in (F.floor, F.ceil)]))
+    first = F.col("__upto") - F.col("__cnt")
+    wanted = counts.withColumns({"__first": first, "__ranks": F.filter(ranks, lambda r: (r >= first) & (r < F.col("__upto")))}).filter(F.size("__ranks") > 0)
+    # At most two rows per group and probability.
+    wanted = materialize(wanted.select(*[quoted(g) for g in groups], BUCKET, "__first", "__n", "__ranks"), "wanted-ranges")
+    few = wanted.limit(WANTED + 1).count() <= WANTED
+    named = wanted.withColumnsRenamed({g: f"__{g}" for g in groups} | {BUCKET: "__of"})
+    near = ranged.join(F.broadcast(named) if few else named, _same(groups, None) & (F.col(BUCKET) == F.col("__of")))
+    values = near.groupBy(*groups, BUCKET, value).agg(F.count(F.lit(1)).alias("__cnt"), F.first("__first").alias("__first"), F.first("__n").alias("__n"), F.first("__ranks").alias("__ranks"))
+    run = Window.partitionBy(*groups, BUCKET).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    values = values.withColumn("__upto", F.col("__first") + F.sum("__cnt").over(run))
+    here = F.filter("__ranks", lambda r: (r < F.col("__upto")) & (r >= F.col("__upto") - F.col("__cnt")))
+    picks = values.select(*[quoted(g) for g in groups], F.col(value).alias("__value"), "__n", F.explode(here).alias("__rank"))
+    found = picks.groupBy(*groups).agg(F.max("__n").alias("__n"), F.map_from_entries(F.collect_list(F.struct("__rank", "__value"))).alias("__at"))
+    results = []
+    for p in probs:
+        low, high = (F.element_at("__at", side(place(p)).cast("bigint")) for side in (F.floor, F.ceil))
+        results.append(low + (high - low) * (place(p) - F.floor(place(p))))
+    found = found.select(*[quoted(g) for g in groups], F.array(*results).alias("quantiles"))
+    if groups:
+        return found
+    # Without any value there is still one row.
+    return df.sparkSession.range(1).select().join(found, how="left")

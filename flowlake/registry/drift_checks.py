@@ -38,6 +38,11 @@ def _drift_sql(columns: list[str], current: str = "cur") -> str:
   ks AS (SELECT feature, max(gap) AS d FROM cdfs GROUP BY 1),
   tested AS (SELECT feature, coalesce(psi, 0) AS psi, d, n, m, CASE WHEN coalesce(psi, 0) > 0.2 THEN 1 ELSE 0 END AS drifted
     FROM sizes JOIN ks USING (feature) LEFT JOIN psis USING (feature)),
+  steps AS (SELECT feature, value, abs(sum(r) OVER w / n - sum(c) OVER w / m) AS gap, lead(value) OVER (PARTITION BY feature ORDER BY value) AS next
+    FROM counted JOIN sizes USING (feature) WINDOW w AS (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING)),
+  areas AS (SELECT feature, sum(gap * (next - value)) AS area FROM steps GROUP BY 1),
+  spreads AS (SELECT feature, greatest(stddev_pop(value), 0.001) AS s FROM long WHERE is_ref GROUP BY 1),
+  transport AS (SELECT feature, coalesce(area, 0) / s AS w FROM areas JOIN spreads USING (feature)),
   drift AS (SELECT feature, round(psi, 6) AS psi, round(d, 6) AS ks_statistic,
     CASE WHEN sqrt(n * m / (n + m)) * d < 0.2 THEN 1.0::double ELSE least(1, greatest(0, list_sum(list_transform(range(1, 101),
       lambda j: CASE WHEN j % 2 = 1 THEN 2.0 ELSE -2.0 END * exp(-2.0 * j * j * pow(sqrt(n * m / (n + m)) * d, 2)))))) END AS ks_p_value,
@@ -56,7 +61,7 @@ PLAIN = """SELECT feature, psi, ks_statistic, round(ks_p_value, 6) AS ks_p_value
 
 
 def _table(t):
-    return drift.drift_table(t.reference, t.current, COLUMNS)
+    return drift.drift_table(t.reference, t.current, COLUMNS, exact_up_to=0)
 
 
 @query("m27_drift_table", on_flows(DRIFT + PLAIN))
@@ -74,10 +79,15 @@ def _(t):
     return rounded(drift.numeric_distances(t.reference, t.current, COLUMNS).select("feature", "ks_statistic", "n", "m"))
 
 
+@query("m28_wasserstein", on_flows(DRIFT + "SELECT feature, round(w, 6) AS wasserstein FROM transport"))
+def _(t):
+    return rounded(drift.numeric_distances(t.reference, t.current, COLUMNS).select("feature", "wasserstein"))
+
+
 @query("m29_shifted_batch_drifts", on_flows(SHIFT + PLAIN))
 def _(t):
     moved = drift.shifted(t.current, SHIFTED)
-    return rounded(drift.drift_table(t.reference, moved, SHIFTED).drop("computed_at"))
+    return rounded(drift.drift_table(t.reference, moved, SHIFTED, exact_up_to=0).drop("computed_at"))
 
 
 @query(
@@ -117,7 +127,7 @@ def _(t):
 @query(
     "m28_column_drift",
     on_flows(DRIFT + CATEGORY.removeprefix(SIDES) + """, judged AS (
-      SELECT feature, 'numeric' AS kind, psi, d AS distance, drifted FROM tested
+      SELECT feature, 'numeric' AS kind, psi, w AS distance, CASE WHEN w > 0.1 THEN 1 ELSE 0 END AS drifted FROM tested JOIN transport USING (feature)
       UNION ALL SELECT feature, 'category', psi, js_distance, CASE WHEN js_distance > 0.1 THEN 1 ELSE 0 END FROM distances)
       SELECT feature, kind, round(psi, 6) AS psi, round(distance, 6) AS distance, drifted,
         round(avg(drifted) OVER (), 6) AS share_drifted, CASE WHEN avg(drifted) OVER () > 0.5 THEN 1 ELSE 0 END AS dataset_drift_detected

@@ -1,9 +1,10 @@
 import math
+from itertools import combinations
 
 import numpy as np
 import pytest
 
-from flowlake.operators import drift
+from flowlake.operators import brackets, drift
 
 
 def frame(spark, **columns):
@@ -102,3 +103,61 @@ def test_column_drift_joins_kinds(spark):
 )
 def test_chi_square_tail(statistic, freedom, p):
     assert drift._upper_gamma(freedom / 2, statistic / 2) == pytest.approx(p, rel=1e-4)
+
+
+# ---- exact figures from counts between edges ---------------------------------
+
+
+def wasserstein(ref, cur):
+    points = np.union1d(ref, cur)
+    cdf = lambda v: np.searchsorted(np.sort(v), points, side="right") / len(v)
+    return float((np.abs(cdf(ref) - cdf(cur))[:-1] * np.diff(points)).sum()) / max(np.std(ref), 0.001)
+
+
+@pytest.mark.parametrize("edges, together, sampled", [(256, 4_000_000, 100_000), (4, 4_000_000, 50), (2, 20, 30)])
+def test_figures_do_not_depend_on_the_edges(spark, monkeypatch, edges, together, sampled):
+    """Few edges from a small sample, and stretches that need edges of their own."""
+    monkeypatch.setattr(brackets, "EDGES", edges)
+    monkeypatch.setattr(brackets, "TOGETHER", together)
+    monkeypatch.setattr(brackets, "SAMPLED", sampled)
+    rng = np.random.default_rng(edges)
+    ref = {"a": rng.normal(size=400), "b": rng.integers(0, 4, 400), "c": np.full(400, 3.0), "d": rng.exponential(size=400), "e": np.where(rng.random(400) < 0.6, 1.5, rng.normal(size=400))}
+    cur = {"a": rng.normal(0.05, 1, 300), "b": rng.integers(0, 6, 300), "c": np.full(300, 3.0), "d": rng.exponential(size=300) ** 2, "e": np.where(rng.random(300) < 0.5, 1.5, rng.normal(size=300))}
+    sides = frame(spark, **ref).repartition(3), frame(spark, **cur).repartition(2)
+    found = {r["feature"]: r for r in drift.numeric_distances(*sides, list(ref)).collect()}
+    for name in ref:
+        assert found[name]["psi"] == pytest.approx(psi(ref[name], cur[name]), abs=1e-12)
+        assert found[name]["ks_statistic"] == pytest.approx(ks(ref[name], cur[name]), abs=1e-12)
+        assert found[name]["wasserstein"] == pytest.approx(wasserstein(ref[name], cur[name]), abs=1e-9)
+
+
+def test_no_rows_and_no_values(spark):
+    some, none = frame(spark, a=[1, 2, 3]), frame(spark, a=[None, math.nan])
+    for ref, cur in ((some, none), (none, some), (some, some.limit(0)), (some.limit(0), some)):
+        assert drift.numeric_distances(ref, cur, ["a"]).count() == 0
+    row = drift.numeric_distances(some.limit(1), some.limit(1), ["a"]).first()
+    assert (row["ks_statistic"], row["wasserstein"], row["psi"], row["n"]) == (0.0, 0.0, 0.0, 1)
+
+
+@pytest.mark.parametrize("n, m", [(1, 1), (2, 3), (4, 4), (5, 3), (6, 4)])
+def test_exact_p_against_all_orders(n, m):
+    gaps = []
+    for picked in combinations(range(n + m), n):
+        mine = np.isin(np.arange(n + m), picked)
+        gaps.append(np.abs(np.cumsum(mine) / n - np.cumsum(~mine) / m).max())
+    for d in sorted(set(np.round(gaps, 12))):
+        assert drift.lattice_p(d, n, m) == pytest.approx(np.mean(np.array(gaps) >= d - 1e-9))
+        assert drift.lattice_p(d, m, n) == pytest.approx(drift.lattice_p(d, n, m))
+    assert drift.lattice_p(0.0, n, m) == 1.0
+
+
+def test_exact_p_meets_the_series_where_both_hold(spark):
+    exact = drift.lattice_p(0.06, 2000, 1800)
+    lam = math.sqrt(2000 * 1800 / 3800) * 0.06
+    series = 2 * sum((-1) ** (j - 1) * math.exp(-2 * j * j * lam * lam) for j in range(1, 101))
+    assert exact == pytest.approx(series, rel=0.08) and drift.lattice_p(0.9, 500, 400) < 1e-100
+    rng = np.random.default_rng(2)
+    ref, cur = frame(spark, a=rng.normal(size=50)), frame(spark, a=rng.normal(size=40))
+    small, large = (drift.drift_table(ref, cur, exact_up_to=k).first() for k in (10_000, 45))
+    d = drift.numeric_distances(ref, cur, ["a"]).first()["ks_statistic"]
+    assert small["ks_p_value"] == pytest.approx(drift.lattice_p(d, 50, 40)) and large["ks_p_value"] != small["ks_p_value"]
