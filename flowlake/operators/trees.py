@@ -61,6 +61,16 @@ class FlatTrees:
             starts("leaf_start", entries), whole("leaf_output"), whole("leaf_value"),
         )
 
+    def part(self, first: int, last: int) -> FlatTrees:
+        """Some consecutive trees."""
+        low, high = int(self.start[first]), int(self.start[last])
+        a, b = int(self.leaf_start[low]), int(self.leaf_start[high])
+        child = lambda x: np.where(x[low:high] >= 0, x[low:high] - low, -1)
+        return FlatTrees(
+            self.outputs, self.start[first:last + 1] - low, self.feature[low:high], self.cut[low:high], child(self.left), child(self.right),
+            self.cover[low:high], self.leaf_start[low:high + 1] - a, self.leaf_output[a:b], self.leaf_value[a:b],
+        )
+
     def dense(self, nodes: np.ndarray) -> np.ndarray:
         """Values of leaves, one column per output."""
         out = np.zeros((len(nodes), self.outputs))

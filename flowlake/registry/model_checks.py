@@ -17,9 +17,6 @@ LEVELS = {
 }
 HEAD = [*contract.NUMERIC, *contract.INDICATORS]
 
-# Boosted models train one tree after the other. These queries show the whole
-# path with fewer rounds than the library's default.
-ROUNDS = 10
 PAIR = ("Benign", "UDPFlood")
 
 
@@ -179,30 +176,28 @@ def _logistic(t):
 def _forest(t):
     return t.kept(
         "forest",
-        lambda: train.fit_forest(
-            _weighted(t), _encoder(t).columns, "attack_type", trees=20, depth=8, encoder=_encoder(t)
-        ),
+        lambda: train.fit_forest(_weighted(t), _encoder(t).columns, "attack_type", encoder=_encoder(t)),
     )
 
 
 def _malicious(t):
-    return t.kept("malicious", lambda: train.fit_malicious(_part(t, "train"), _encoder(t).columns, rounds=ROUNDS))
+    return t.kept("malicious", lambda: train.fit_malicious(_part(t, "train"), _encoder(t).columns))
 
 
 def _boosted(t):
-    return t.kept("boosted", lambda: train.fit_boosted(_weighted(t), _encoder(t).columns, "attack_type", rounds=ROUNDS))
+    return t.kept("boosted", lambda: train.fit_boosted(_weighted(t), _encoder(t).columns, "attack_type"))
 
 
 def _manual(t):
     def make():
         weighted = train.with_manual_weight(_part(t, "train"), "attack_type")
-        return train.fit_boosted(weighted, _encoder(t).columns, "attack_type", rounds=ROUNDS)
+        return train.fit_boosted(weighted, _encoder(t).columns, "attack_type")
 
     return t.kept("manual", make)
 
 
 def _specialist(t):
-    return t.kept("specialist", lambda: train.fit_specialist(_part(t, "train"), _encoder(t).columns, pair=PAIR, rounds=ROUNDS))
+    return t.kept("specialist", lambda: train.fit_specialist(_part(t, "train"), _encoder(t).columns, pair=PAIR))
 
 
 def _report(t, model, label="attack_type", part="val"):
@@ -300,6 +295,12 @@ def _(t):
     return _long(explain.forest_contributions(test, _forest(t), ["event_id"]), _forest(t))
 
 
+@query("m21_boosted_contributions")
+def _(t):
+    test = _part(t, "test").select("event_id", *[f"`{c}`" for c in _encoder(t).columns])
+    return _long(explain.forest_contributions(test, _boosted(t), ["event_id"]), _boosted(t))
+
+
 def _long(found, model):
     """The contribution of every feature to the sum, as one total per row and class."""
     names = F.array(*[F.lit(c) for c in model.classes])
@@ -312,7 +313,7 @@ def _long(found, model):
 
 @query("m22_global_importance")
 def _(t):
-    return explain.global_importance(_part(t, "test"), _forest(t))
+    return explain.global_importance(_part(t, "test"), _boosted(t))
 
 
 @query("m22_linear_importance")
@@ -322,16 +323,11 @@ def _(t):
 
 @query("m23_local_explanation")
 def _(t):
-    scored = score.score_matrix(_part(t, "test"), _forest(t))
-    found = explain.explain_rows(scored, _forest(t), ["event_id"])
+    scored = score.score_matrix(_part(t, "test"), _boosted(t))
+    found = explain.explain_rows(scored, _boosted(t), ["event_id"])
     return found.select("event_id", "predicted_class", "probability", F.inline("top_features"))
 
 
-@query("b8_top_features")
-def _(t):
-    return kpi.top_importance(explain.global_importance(_part(t, "test"), _logistic(t)), 10)
-
-
 @query("b10_model_card")
 def _(t):
     scored = score.score_matrix(_part(t, "test"), _logistic(t))
@@ -530,3 +526,22 @@ def _(t):
     parts = F.array(*[F.col(c) * PARTS[c] for c in names])
     top = explain.top_features(row, parts, names)
     return rounded(t.flows.select("event_id", F.inline(top)))
+
+
+@query(
+    "b8_top_features",
+    on_flows(PARTS_SQL + """, means AS (SELECT class, feature, avg(abs(contribution)) AS v FROM parts GROUP BY 1, 2),
+      overall AS (SELECT feature, avg(v) AS v FROM means GROUP BY 1)
+      SELECT '1' AS model_version, 'Overall' AS class, feature, round(v, 6) AS mean_abs_shap, row_number() OVER (ORDER BY v DESC, feature) AS feature_rank
+      FROM overall QUALIFY feature_rank <= 5"""),
+)
+def _(t):
+    means = [F.avg(F.abs(F.col(c) * w)).alias(c) for c, w in PARTS.items()]
+    wide = t.flows.groupBy(F.col("attack_type").alias("class")).agg(*means)
+    ranked = explain.importance_table(wide.unpivot("class", list(PARTS), "feature", "mean_abs_shap"), "1")
+    return rounded(kpi.top_importance(ranked, 5))
+
+
+@query("b8_top_features_of_model")
+def _(t):
+    return kpi.top_importance(explain.global_importance(_part(t, "test"), _logistic(t)), 10)

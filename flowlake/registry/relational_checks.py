@@ -80,11 +80,19 @@ def _(t):
 
 @query(
     "f3_non_null_statistic",
-    on_flows('SELECT count(*) AS n, round(avg("dTtl"), 6) AS mean FROM flows WHERE "dTtl" IS NOT NULL'),
+    on_flows("""SELECT feature, count(*) FILTER (day < 15 AND v IS NOT NULL) AS n, count(*) FILTER (day >= 15 AND v IS NOT NULL) AS m FROM (
+      SELECT 'dTtl' AS feature, day(ingestion_timestamp) AS day, CAST("dTtl" AS double) AS v FROM flows
+      UNION ALL SELECT 'sHops', day(ingestion_timestamp), CASE WHEN ingestion_timestamp < TIMESTAMP '2024-01-15' THEN "sHops" END FROM flows
+      UNION ALL SELECT 'Rate', day(ingestion_timestamp), CASE WHEN ingestion_timestamp >= TIMESTAMP '2024-01-15' THEN "Rate" END FROM flows)
+      GROUP BY 1 HAVING n > 0 AND m > 0"""),
 )
 def _(t):
-    kept = t.flows.filter(F.col("dTtl").isNotNull())
-    return rounded(kept.agg(F.count(F.lit(1)).alias("n"), F.avg("dTtl").alias("mean")))
+    """Columns without values on one side have no distance."""
+    from flowlake.operators import drift
+
+    current = t.current.withColumn("sHops", F.lit(None).cast("double"))
+    reference = t.reference.withColumn("Rate", F.lit(None).cast("double"))
+    return drift.numeric_distances(reference, current, ["dTtl", "sHops", "Rate"]).select("feature", "n", "m")
 
 
 @query(
