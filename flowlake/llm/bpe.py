@@ -37,6 +37,8 @@ from flowlake.llm import worker
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PART = 1 << 20
 WHOLE = float("inf")
+#: Bytes of a remembered border test.
+BORDER = worker.ENTRY + 40
 
 
 def byte_letters() -> list[str]:
@@ -113,7 +115,8 @@ class Vocabulary:
         have a merge before either is taken up; at the same rank the one further left
         goes first.
         """
-        known = self.borders.get((left, right))
+        pair = left << 32 | right
+        known = self.borders.get(pair)
         if known is not None:
             return known
         a, b, a_end, b_end, apart = left, right, WHOLE, WHOLE, True
@@ -131,8 +134,8 @@ class Vocabulary:
                 b, b_end = self.halves[b][0], b_born
         if self.borders.full:
             self.borders.clear()
-        self.borders[left, right] = apart
-        self.borders.grow((left, right), left, right)
+        self.borders[pair] = apart
+        self.borders.size += BORDER
         return apart
 
     def encode_piece(self, piece: str) -> bytes:
