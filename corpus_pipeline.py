@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowlake.llm import bpe, decontamination, language, near_dups, outliers
@@ -37,17 +38,32 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, purpose: str) -> DataFrame:
+    """The documents with ``__row``, a number of their own that every scan gives alike.
+
+    It is the number of the file and the place in it, so nothing is stored; documents that do not come
+    straight from files are stored first. The table of files goes to all tasks: it is the list
+    that the driver has read them by."""
+    try:
+        place = docs.select(*docs.columns, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__index"))
+    except AnalysisException:
+        return numbered(stored(docs, f"{purpose}-rows"), purpose)
+    names = sorted(r[0] for r in place.select("__file").distinct().collect())
+    files = docs.sparkSession.createDataFrame(list(enumerate(names)), "__number bigint, __name string")
+    found = place.join(F.broadcast(files), F.col("__file") == F.col("__name"))
+    return found.select(*docs.columns, F.shiftleft("__number", 40).bitwiseOR(F.col("__index")).alias("__row"))
+
+
 def judged_by_row(docs: DataFrame, rejected: Callable[[DataFrame, DataFrame], DataFrame], purpose: str) -> DataFrame:
     """The documents without the rows that are rejected.
 
     A number per row takes the place of ``doc_id`` while a stage judges, so rows without an id
     and rows that share one are told apart. ``rejected`` gets these rows and, per number, the
     id of the document (``own_id``) and a digest of id and text."""
+    rows = numbered(docs, purpose)
     digest = F.sha2(F.to_json(F.struct("doc_id", "text"), {"ignoreNullFields": "false"}).cast("binary"), 256)
-    rows = stored(docs.withColumns({"__row": F.monotonically_increasing_id(), "__digest": digest}), f"{purpose}-rows")
-    numbered = rows.drop("doc_id", "__digest").withColumnRenamed("__row", "doc_id")
-    owners = rows.select(F.col("__row").alias("doc_id"), F.col("doc_id").alias("own_id"), F.col("__digest").alias("digest"))
-    left = without(rows.withColumnRenamed("doc_id", "__id").withColumnRenamed("__row", "doc_id"), rejected(numbered, owners), purpose)
+    owners = rows.select(F.col("__row").alias("doc_id"), F.col("doc_id").alias("own_id"), digest.alias("digest"))
+    left = without(rows.withColumnRenamed("doc_id", "__id").withColumnRenamed("__row", "doc_id"), rejected(rows.drop("doc_id").withColumnRenamed("__row", "doc_id"), owners), purpose)
     return left.select(*[F.col("__id").alias(c) if c == "doc_id" else c for c in docs.columns])
 
 
