@@ -55,8 +55,8 @@ pieces AS (
   FROM turns t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
 placed AS (
   SELECT *, row_number() OVER w AS k, CAST(sum(length(head) + length(body)) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto
-  FROM pieces WINDOW w AS (PARTITION BY conv_id, segment, perspective ORDER BY turn NULLS FIRST, role, text))
-SELECT conv_id, perspective, segment, CAST(count(*) AS INTEGER) AS n_turns, string_agg(head || body, '' ORDER BY k) AS text,
+  FROM pieces WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY segment, turn NULLS FIRST, role, text))
+SELECT conv_id, perspective, segment, CAST(min(upto - length(head) - length(body)) AS BIGINT) AS start, CAST(count(*) AS INTEGER) AS n_turns, string_agg(head || body, '' ORDER BY k) AS text,
   coalesce(string_agg(CAST(upto - length(body) AS VARCHAR) || '-' || CAST(upto - 1 AS VARCHAR), ',' ORDER BY k) FILTER (own), '') AS mask
 FROM placed GROUP BY conv_id, segment, perspective
 """

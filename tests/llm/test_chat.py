@@ -18,14 +18,22 @@ def test_query_against_sql(spark, folder, con):
 
 
 def test_segments_join_to_the_whole(spark, monkeypatch):
-    turns = [(7, i, "ann" if i % 3 else "bob", f"t{i}") for i in range(40)]
+    turns = [(7, i, "ann" if i % 3 else "bob" if i < 20 else "system", f"t{i} <|im_end|>") for i in range(40)]
     frame = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
-    whole = {r["perspective"]: r["text"] for r in chat.perspectives(frame).collect()}
+    unsegmented = chat.perspectives(frame).collect()
+    whole = {r["perspective"]: r["text"] for r in unsegmented}
     monkeypatch.setattr(chat, "SEGMENT", 6)
     parts = {}
     for r in sorted(chat.perspectives(frame).collect(), key=lambda r: r["segment"]):
         parts.setdefault(r["perspective"], []).append(r["text"])
     assert {who: "".join(p) for who, p in parts.items()} == whole and len(parts["ann"]) == 7
+    # Starts and masks count from the dialogue's beginning.
+    masks = {r["perspective"]: [tuple(m) for m in r["mask"]] for r in unsegmented}
+    rows = sorted(chat.perspectives(frame).collect(), key=lambda r: r["segment"])
+    for who in whole:
+        mine = [r for r in rows if r["perspective"] == who]
+        assert [tuple(m) for r in mine for m in r["mask"]] == masks[who]
+        assert all(whole[who][r["start"]:r["start"] + len(r["text"])] == r["text"] for r in mine)
 
 
 def test_odd_rows(spark):
