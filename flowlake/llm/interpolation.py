@@ -262,7 +262,7 @@ def score_documents(docs: DataFrame, doc_id: str, text: str, train: Column, held
     """One row per document: tokens, known tokens, unigram and model log10-probability.
 
     ``train`` says which rows teach the model; of these a share, by a hash of the id, is
-    held out for the weights.
+    held out for the weights. Rows without an id are counted.
     """
     spark = docs.sparkSession
     identity = F.col(f"`{doc_id}`").cast("bigint")
@@ -270,7 +270,7 @@ def score_documents(docs: DataFrame, doc_id: str, text: str, train: Column, held
         identity.alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"), F.coalesce(train, F.lit(False)).alias("train"),
     )
     dev = F.pmod(F.xxhash64("doc_id"), F.lit(10_000)) < round(10_000 * held_out_share)
-    blocks = store_blocks(rows.withColumn("dev", F.col("train") & dev))
+    blocks = store_blocks(rows.withColumn("dev", F.col("train") & F.col("doc_id").isNotNull() & dev))
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

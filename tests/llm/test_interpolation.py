@@ -118,3 +118,11 @@ def test_query(spark, folder):
         assert row["base_score"] == pytest.approx(want[3], rel=1e-9)
     held = [r for r in rows.values() if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def test_rows_without_an_id_are_counted(spark):
+    """None of them is held out: the same as without any held-out share."""
+    rows = [(None, f"a b c{i % 7} d{i}") for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = [sorted(r["score"] for r in interpolation.score_documents(frame, "doc_id", "text", F.lit(True), share).collect()) for share in (0.5, 0.0)]
+    assert got[0] == pytest.approx(got[1])
