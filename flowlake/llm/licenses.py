@@ -74,6 +74,52 @@ TEMPLATES = [
         "provided that the above copyright notice and this permission notice appear in all copies",
         "for any purpose with or without fee",
     ),
+    (
+        "lgpl",
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public "
+        "license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+        "gnu lesser general public license",
+    ),
+    (
+        "agpl-3.0",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public "
+        "license as published by the free software foundation either version 3 of the license or at your option any later version",
+        "gnu affero general public license",
+    ),
+    (
+        "bsd-3-clause",
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission",
+        "endorse or promote products derived from this software",
+    ),
+    (
+        "epl-2.0",
+        "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0",
+        "eclipse public license",
+    ),
+    (
+        "artistic-2.0",
+        "you may use modify and distribute this package under the terms of the artistic license 2 0",
+        "artistic license 2 0",
+    ),
+    (
+        "bsl-1.0",
+        "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and "
+        "accompanying documentation covered by this license to use reproduce display distribute execute and transmit the software",
+        "covered by this license",
+    ),
+    (
+        "zlib",
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any "
+        "damages arising from the use of this software permission is granted to anyone to use this software for any purpose "
+        "including commercial applications and to alter it and redistribute it freely",
+        "redistribute it freely",
+    ),
+    (
+        "cc0-1.0",
+        "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work",
+        "waived all copyright and related or neighboring rights",
+    ),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license v 2 0"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "released into the public domain"),
     ("cc-by-4.0", "this work is licensed under a creative commons attribution 4 0 international license", "creative commons attribution"),
@@ -225,6 +271,14 @@ def scan(
         def ahead(x: Column, y: Column) -> Column:
             return near(x, y) & ((y["there"] > x["there"]) | (y["there"] == x["there"]) & (y["at"] < x["at"]))
 
+        # Hits are in order and no two of a template are at one place, so those within a shift are
+        # at most as many entries away.
+        reach = max(max(1, len(notice) // 5) for notice in notices)
+        steps = F.array(*[F.lit(d) for d in range(-reach, reach + 1) if d])
+
+        def beside(name: str, x: Column, i: Column, holds) -> Column:
+            return F.exists(steps, lambda d: F.coalesce(holds(x, F.get(name, i + d)), F.lit(False)))
+
         def placed(l: Column) -> Column:
             notice = F.get(table, l["t"])
             return F.struct(
@@ -234,12 +288,14 @@ def scan(
 
         in_place = lambda w, i, shift: F.get(words, i) == w
         around = lambda w, i, shift: F.array_contains(part(i - shift, i + shift + 1), w)
-        rows = rows.withColumn("__alone", F.transform("__laid", lambda l: with_weight(l, weight(l, in_place))))
-        rows = rows.withColumn("__alone", F.filter("__alone", lambda l: judge(l, l["there"], F.lit(0))))
-        rows = rows.withColumn("__joined", F.filter("__laid", lambda x: ~F.exists("__alone", lambda y: near(x, y))))
+        rows = rows.withColumn("__laid", F.transform(F.array_sort("__laid"), lambda l: with_weight(l, weight(l, in_place))))
+        whole = lambda l: judge(l, l["there"], F.lit(0))
+        rows = rows.withColumn("__laid", F.transform("__laid", lambda l: F.struct(l["t"].alias("t"), l["at"].alias("at"), l["there"].alias("there"), whole(l).alias("alone"))))
+        rows = rows.withColumn("__alone", F.transform(F.filter("__laid", lambda l: l["alone"]), lambda l: with_weight(l, l["there"])))
+        rows = rows.withColumn("__joined", F.filter("__laid", lambda x, i: ~x["alone"] & ~beside("__laid", x, i, lambda x, y: y["alone"] & near(x, y))))
         rows = rows.withColumn("__joined", F.transform("__joined", lambda l: with_weight(l, weight(l, around))))
         rows = rows.withColumn("__joined", F.filter("__joined", lambda l: judge(l, l["there"], F.get(table, l["t"])["shift"])))
-        joined = F.filter("__joined", lambda x: ~F.exists("__joined", lambda y: ahead(x, y)))
+        joined = F.filter("__joined", lambda x, i: ~beside("__joined", x, i, ahead))
         rows = rows.withColumn("places", F.array_sort(F.array_distinct(F.transform(F.concat("__alone", joined), placed))).cast(place)).drop("__alone", "__joined")
     else:
         rows = rows.withColumn("places", F.array().cast(place))

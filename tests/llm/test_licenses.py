@@ -115,3 +115,12 @@ def test_query(spark, folder):
         n, places, first, last, labels = base(docs[row["doc_id"]])
         assert (row["n_words"], row["n_base"], row["first_word"], row["last_word"], row["base_labels"]) == (n, places, first, last, ",".join(labels))
         assert set(labels) <= set(filter(None, row["labels"].split(",")))
+
+
+def test_many_equal_notices_in_one_text(spark):
+    """Work follows the hits, not their square; every notice is found at its own place."""
+    notice = "x y released under the mit license z. "
+    rows = spark.createDataFrame([(1, notice * 5000), (2, "released under the mit license")], "doc_id int, text string")
+    found = {r["doc_id"]: r for r in licenses.scan(rows).collect()}
+    assert found[1]["n_base"] == 5000 and found[1]["labels"] == ["mit"]
+    assert [p["first_word"] for p in found[1]["places"] if p["label"] == "mit"][:3] == [2, 10, 18] and len(found[1]["places"]) >= 5000
