@@ -44,14 +44,27 @@ def read_capture(spark: SparkSession, path: str) -> DataFrame:
 def capture_groups(spark: SparkSession, path: str) -> list[list[str]]:
     """The capture's files by header line; empty files are in none.
 
-    A task returns the first line of its file. The file names are the driver's business in
-    any scan; the lines are as few as there are files.
+    Only the first line of each file is read, while the files are listed, so the capture itself is scanned once.
     """
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
-    first = lines.filter("at = 0").groupBy("file").agg(F.first("value").alias("header"))
+    jvm, settings = spark._jvm, spark._jsc.hadoopConfiguration()
+    given = jvm.org.apache.hadoop.fs.Path(path)
+    files = given.getFileSystem(settings)
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(settings)
     groups: dict[str, list[str]] = {}
-    for row in first.collect():
-        groups.setdefault(row["header"], []).append(row["file"])
+    for root in files.globStatus(given) or []:
+        listing = files.listFiles(root.getPath(), True)
+        while listing.hasNext():
+            file = listing.next().getPath()
+            if file.getName().startswith(("_", ".")):
+                continue
+            stream = files.open(file)
+            codec = codecs.getCodec(file)
+            text = codec.createInputStream(stream) if codec is not None else stream
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(text, "UTF-8"))
+            line = reader.readLine()
+            reader.close()
+            if line is not None:
+                groups.setdefault(line, []).append(file.toString())
     return [sorted(files) for _, files in sorted(groups.items())]
 
 
