@@ -23,7 +23,7 @@ HEADLINE = [
     "m17_threshold_sweep", "m18_class_report", "m19_binary_metrics",
     "m27_drift_table", "m28_column_drift",
     "a8_distinct_counts", "a14_exact_quantiles", "a16_duplicate_rows", "w3_segment_ids", "w5_label_blocks",
-    "m10_logistic_regression", "m11_random_forest", "m16_batch_scoring", "m22_global_importance", "m23_local_explanation",
+    "m10_logistic_regression", "m11_random_forest", "m12_boosted_classes", "m16_batch_scoring", "m22_global_importance", "m23_local_explanation",
 ]
 
 

@@ -48,20 +48,22 @@ def add_engineered(df: DataFrame) -> DataFrame:
     return df.withColumns(engineered_columns())
 
 
-def vocabulary(df: DataFrame, columns: tuple[str, ...] = contract.CATEGORICAL) -> dict[str, list[str]]:
+def vocabulary(
+    df: DataFrame, columns: tuple[str, ...] = contract.CATEGORICAL, max_levels: int = MAX_LEVELS
+) -> dict[str, list[str]]:
     """Sorted levels of each categorical column, found in one pass.
 
     Every level becomes a column of the matrix, so a table with more levels than
-    a matrix can hold is refused rather than cut.
+    a matrix can hold (``max_levels`` over all columns) is refused rather than cut.
     """
     present = [name for name in columns if name in df.columns]
     pairs = F.explode(
         F.array(*[F.struct(F.lit(n).alias("name"), quoted(n).cast("string").alias("level")) for n in present])
     )
     levels = df.select(pairs.alias("p")).select("p.*").filter("level IS NOT NULL").distinct()
-    rows = levels.limit(MAX_LEVELS + 1).collect()
-    if len(rows) > MAX_LEVELS:
-        raise ValueError(f"more than {MAX_LEVELS} category levels; these columns cannot be one-hot encoded")
+    rows = levels.limit(max_levels + 1).collect()
+    if len(rows) > max_levels:
+        raise ValueError(f"more than {max_levels} category levels; these columns cannot be one-hot encoded")
     return {name: sorted(r["level"] for r in rows if r["name"] == name) for name in present}
 
 

@@ -7,6 +7,7 @@ from typing import Callable
 
 import pandas as pd
 from pyspark import StorageLevel
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -210,19 +211,31 @@ def start_ingestion(
     ]
 
 
-def finish(queries: list[StreamingQuery]) -> None:
-    """Wait for queries that stop by themselves; the first failure stops the others."""
+def finish(queries: list[StreamingQuery], seconds: int = 10) -> None:
+    """Wait for queries that stop by themselves; the first failure of any of them stops the others."""
     try:
+        while any(query.isActive for query in queries):
+            failed = [query for query in queries if not query.isActive and query.exception() is not None]
+            if failed:
+                break
+            await_any(seconds)
         for query in queries:
-            query.awaitTermination()
+            if not query.isActive:
+                query.awaitTermination()
     finally:
         for query in queries:
             if query.isActive:
                 query.stop()
 
 
-def await_any(spark: SparkSession) -> None:
-    spark.streams.awaitAnyTermination()
+def await_any(seconds: int) -> None:
+    """Wait until a stream of the session ends, for so long at most; how it ended is asked of the stream itself."""
+    streams = SparkSession.active().streams
+    streams.resetTerminated()
+    try:
+        streams.awaitAnyTermination(seconds)
+    except StreamingQueryException:
+        pass
 
 
 def read_silver(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

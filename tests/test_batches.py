@@ -183,3 +183,18 @@ def test_headers_are_read_without_a_scan(spark, tmp_path):
     spark.createDataFrame([("x,y\n3,4",)], "t string").coalesce(1).write.option("compression", "gzip").text(f"{tmp_path}/packed")
     groups = readers.capture_groups(spark, str(tmp_path))
     assert sorted(sorted(f.rsplit("/", 1)[1][:1] for f in g) for g in groups) == [["a", "c", "p"], ["b"]]
+
+
+def test_the_failure_of_one_stream_stops_the_others(spark, tmp_path):
+    """Also of the second, while the first would go on for ever."""
+    publish(spark, f"{tmp_path}/topic", [event(0)])
+    stream = lambda: readers.event_stream(spark, "json", f"{tmp_path}/topic")
+    endless = ingest.start_raw_sink(stream(), f"{tmp_path}/raw", f"{tmp_path}/one", "1 second")
+
+    def fail(batch, number):
+        raise ValueError("no such luck")
+
+    failing = stream().writeStream.foreachBatch(fail).option("checkpointLocation", f"{tmp_path}/two").start()
+    with pytest.raises(Exception, match="no such luck"):
+        ingest.finish([endless, failing], seconds=2)
+    assert not endless.isActive
