@@ -98,13 +98,13 @@ class Vocabulary:
         for i, token in tokens.items():
             self.matches.add_word(token, (i, len(token)))
         self.matches.make_automaton()
-        self.borders = worker.Memory()
+        self.borders = worker.Memory(3 * worker.MEMORY_BYTES)
         self.pattern = regex.compile(PATTERN)
         # The pattern library and the vocabulary's own library know different Unicode
         # versions; they agree on everything before this block.
         self.newer = re.compile("[^\x00-ԯ]")
         self.specials = re.compile("|".join(map(re.escape, self.special)) or "(?!)")
-        self.kept = worker.Memory()
+        self.kept = worker.Memory(3 * worker.MEMORY_BYTES)
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether ``left`` and ``right`` stay apart when their bytes are encoded together.

@@ -43,7 +43,7 @@ from flowlake.session import scratch_path
 
 WORDS_AT_ONCE = 500_000
 #: Characters of text in one block.
-BLOCK = 12_000_000
+BLOCK = 4_000_000
 
 #: Bytes of words to themselves, A-Z to lower case, all others to a space.
 FOLD = bytes(

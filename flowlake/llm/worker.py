@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType, StructField, StructType
 
 #: Bytes of remembered words of one kind, about; rows that are worked on and sent on together.
-MEMORY_BYTES = 48_000_000
+MEMORY_BYTES = 16_000_000
 SLICE = 256
 #: Bytes of rows that Spark hands to a worker at once, where the session does not say.
 BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
