@@ -252,6 +252,23 @@ def test_boosting_odd_tables(spark, data):
         boosting.fit(same, "features", "label", 3, bins=300)
 
 
+def test_blocks_of_one_file_are_dealt_over_the_cores(spark, data, monkeypatch):
+    """Rows that come in one part are added up by all cores, and only bins that a feature has are sent."""
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 50)
+    rows = data.coalesce(1).withColumns({"label": F.when(F.col("y") == "a", 0).otherwise(1), "flag": F.lit(7.0)})
+    rows = rows.withColumn("features", train.feature_vector(["x1", "flag"]))
+    edges = boosting.bin_edges(rows, "features", 2, 16)
+    blocks, parts = boosting.dealt(boosting.store_blocks(rows, "features", "label", None, edges, 1))
+    cores = spark.sparkContext.defaultParallelism
+    assert parts == cores and len(blocks.groupBy(F.spark_partition_id()).count().collect()) > 1
+    counts = [len(e) + 1 for e in edges]
+    todo = boosting.Pass(1, counts, 16, [], [boosting.Tree()], [[0]])
+    sums = todo.histograms(iter(blocks.toArrow().to_batches()))
+    assert sums.shape == (1, 2, sum(counts)) and sum(counts) < 2 * 16
+    labels = np.array([r["label"] for r in rows.collect()])
+    assert np.allclose(sums[0, 0, :counts[0]].sum(), (0.5 - labels).sum()) and np.allclose(sums[0, 1, counts[0]:].sum(), 0.25 * len(labels))
+
+
 @pytest.mark.parametrize("kind", ["forest", "boosted_binary", "boosted"])
 def test_contributions_add_up(spark, data, forest, kind):
     model = {
