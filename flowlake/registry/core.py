@@ -40,9 +40,7 @@ class Tables:
     @cached_property
     def flows(self) -> DataFrame:
         """Contract flows with ``row_id`` and ``Seq``; times as session timestamps."""
-        return event_flows(self.spark, self.events).withColumn(
-            "ingestion_timestamp", F.col("ingestion_timestamp").cast("timestamp")
-        )
+        return flows_of(self.spark, self.events)
 
     @cached_property
     def staging(self) -> DataFrame:
@@ -79,6 +77,10 @@ class Tables:
         return store[name]
 
 
+def flows_of(spark: SparkSession, events: DataFrame) -> DataFrame:
+    return event_flows(spark, events).withColumn("ingestion_timestamp", F.col("ingestion_timestamp").cast("timestamp"))
+
+
 def add_rule_score(flows: DataFrame) -> DataFrame:
     """A fixed rule in place of a model, so that results can be checked in SQL."""
     k = F.col("TotPkts") - 1

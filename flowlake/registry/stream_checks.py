@@ -1,14 +1,18 @@
 """Sources, sinks and streams. Each query writes to its own scratch folder and returns what was stored."""
 
+import math
+
 from pyspark.sql import functions as F
 
 from flowlake import contract
 from flowlake.operators import sampling
 from flowlake.operators.score import score_with
-from flowlake.registry.core import ALERTS_SQL, SCORED_SQL, add_rule_score, on_flows, plain_times, query, rounded
+from flowlake.registry.core import ALERTS_SQL, SCORED_SQL, add_rule_score, flows_of, on_flows, plain_times, query, rounded
 from flowlake.sources import batches, readers, tables, writers
 from flowlake.streaming import gold, ingest
 
+#: Events in a file of the topic.
+FILE_EVENTS = 50_000
 EVENT_ID = "concat('evt_00000000_', substr(sha256(concat(schema_version, chr(31), CAST(row_id AS varchar))), 1, 24))"
 SILVER = on_flows(
     f"SELECT {EVENT_ID} AS event_id, "
@@ -18,9 +22,9 @@ SILVER = on_flows(
 )
 
 
-def _events(t):
+def _events(t, flows=None):
     """The flows as JSON events, as a producer would send them."""
-    spaced = t.flows.withColumnsRenamed({v: k for k, v in contract.LABEL_RENAMES.items()})
+    spaced = (t.flows if flows is None else flows).withColumnsRenamed({v: k for k, v in contract.LABEL_RENAMES.items()})
     return writers.as_events(spaced, F.col("ingestion_timestamp"), content=[F.col("row_id")])
 
 
@@ -36,9 +40,13 @@ def as_records(events):
 
 
 def _published(t):
-    """The events in files that look like a message log, several files for several micro-batches."""
-    path = t.scratch("topic")
-    as_records(_events(t).repartition(4, "key")).write.json(path)
+    """The events in files that look like a message log, several files for several micro-batches.
+
+    There is a file per ``FILE_EVENTS`` events, so that no task's share grows with the table. Rows are dealt out by
+    their id, of which the key is a digest, before they become text; the text is stored compressed."""
+    path, files = t.scratch("topic"), max(4, math.ceil(t.events.count() / FILE_EVENTS))
+    flows = flows_of(t.spark, t.events.repartition(files, "event_id"))
+    as_records(_events(t, flows)).write.option("compression", "gzip").json(path)
     return path
 
 

@@ -147,3 +147,19 @@ def test_batch_without_alerts_writes_none(spark, flows, tmp_path):
     gold.scoring_batch_writer(add_rule_score, f"{tmp_path}/p", f"{tmp_path}/a")(benign, 0)
     assert gold.read_predictions(spark, f"{tmp_path}/p").count() == benign.count()
     assert readers.read_if_present(spark, f"{tmp_path}/a") is None
+
+
+def test_published_files_grow_with_the_events(spark, folder, monkeypatch):
+    """No file of the topic holds more than its share, equal keys lie in one file, and the rows are all there."""
+    from flowlake.registry import stream_checks
+    from flowlake.registry.core import Tables
+
+    monkeypatch.setattr(stream_checks, "FILE_EVENTS", 50)
+    t = Tables(spark, folder)
+    t.events = t.events.limit(600).unionAll(t.events.limit(3))
+    stored = spark.read.schema(readers.RECORD_SCHEMA).json(stream_checks._published(t)).withColumn("file", F.input_file_name())
+    sizes = [r["count"] for r in stored.groupBy("file").count().collect()]
+    assert len(sizes) > 10 and sum(sizes) == t.events.count() and max(sizes) < 120
+    assert stored.groupBy("key").agg(F.count_distinct("file").alias("n")).filter("n > 1").count() == 0
+    want = {r["value"] for r in stream_checks._events(t).collect()}
+    assert {r["value"] for r in stored.select(F.col("value").cast("string").alias("value")).collect()} == want
