@@ -107,3 +107,18 @@ def test_forest_deeper_than_thirty(spark):
     assert model.model.trees.start[-1] > 3
     with pytest.raises(ValueError, match="no rows"):
         train.fit_forest(rows.filter("false"), ["x"], "y", weight=None, classes=["0", "1"])
+
+
+@pytest.mark.parametrize(
+    "column, value, message",
+    [
+        ("label", "cast(null as int)", "Labels MUST NOT"), ("weight", "cast(null as double)", "Weights MUST NOT"), ("weight", "-1.0D", "Weights MUST NOT"),
+        ("weight", "double('nan')", "Weights MUST NOT"), ("x2", "double('nan')", "Vector values MUST NOT"), ("x2", "double('inf')", "Vector values MUST NOT"),
+    ],
+)
+def test_rows_that_cannot_be_learnt_from_are_errors(data, column, value, message):
+    """One such row among many is not left out."""
+    odd = data.withColumn(column, F.expr(f"CASE WHEN x1 = 0 THEN {value} ELSE {column} END"))
+    odd = odd.withColumn("features", train.feature_vector(NAMES))
+    with pytest.raises(Exception, match=message):
+        forest.fit(odd, "features", "label", 3, "weight", trees=1, depth=2)
