@@ -8,13 +8,13 @@ from typing import Any, Callable
 
 from pyspark import StorageLevel
 from pyspark.ml import functions as MF
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, StringIndexer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from flowlake.contract import SCHEMA_VERSION
 from flowlake.functions.scalar import quoted
-from flowlake.operators import boosting, forest
+from flowlake.operators import boosting, forest, logistic
 from flowlake.operators.features import FlowEncoder
 from flowlake.operators.lookup import lookup_join
 from flowlake.operators.sampling import balanced_weights
@@ -36,7 +36,7 @@ FINGERPRINT_COLUMN = "sMeanPktSz"
 SEED = 42
 
 LOADERS = {
-    "logistic": lambda spark, path: LogisticRegressionModel.load(path),
+    "logistic": logistic.LogisticModel.load,
     "forest": forest.ForestModel.load,
     "boosted": boosting.BoostedModel.load,
     "boosted_binary": boosting.BoostedModel.load,
@@ -67,10 +67,10 @@ class Classifier:
         return scale(self.scaler, vectors)
 
     def save(self, spark: SparkSession, path: str) -> None:
-        if self.kind != "logistic":
-            self.model.save(spark, f"{path}/model")
-        else:
+        if isinstance(self.model, LogisticRegressionModel):
             self.model.write().overwrite().save(f"{path}/model")
+        else:
+            self.model.save(spark, f"{path}/model")
         if self.scaler is not None:
             self.scaler.write().overwrite().save(f"{path}/scaler")
         about = {
@@ -78,6 +78,7 @@ class Classifier:
             "version": self.version, "scaled": self.scaler is not None,
             "encoder": self.encoder.to_json() if self.encoder else None,
             "schema_version": self.schema_version,
+            "by_spark": isinstance(self.model, LogisticRegressionModel),
         }
         spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.mode(
             "overwrite"
@@ -86,9 +87,14 @@ class Classifier:
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "Classifier":
         about = json.loads(spark.read.text(f"{path}/about").first()[0])
+        # Logistic models were once fitted and stored by Spark.
+        if about["kind"] == "logistic" and about.get("by_spark", True):
+            model = LogisticRegressionModel.load(f"{path}/model")
+        else:
+            model = LOADERS[about["kind"]](spark, f"{path}/model")
         return cls(
             about["kind"],
-            LOADERS[about["kind"]](spark, f"{path}/model"),
+            model,
             about["features"],
             about["classes"],
             about["version"],
@@ -145,7 +151,7 @@ def _fit(
     train: DataFrame,
     features: list[str],
     label: str,
-    make: Callable[[DataFrame, int], Any],
+    make: Callable[..., Any],
     weight: str | None,
     scaled: bool = False,
     classes: list[str] | None = None,
@@ -157,17 +163,17 @@ def _fit(
     vectors = encode_label(train, label, classes).select(
         "label_index", *kept, feature_vector(features).alias("features")
     )
-    scaler = None
     if scaled:
+        # The rows are stored once and standardised where they are read.
         scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True).fit(vectors)
-        vectors = scale(scaler, vectors)
+        return Classifier(kind, make(vectors, scaler), features, classes, version, scaler, encoder)
     # Training reads its input many times.
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = make(vectors, len(classes))
     finally:
         vectors.unpersist()
-    return Classifier(kind, model, features, classes, version, scaler, encoder)
+    return Classifier(kind, model, features, classes, version, None, encoder)
 
 
 def fit_logistic(
@@ -176,18 +182,13 @@ def fit_logistic(
 ) -> Classifier:
     """Multinomial logistic regression on standardised columns.
 
-    ``strength`` divides the penalty of a summed loss; Spark averages the loss,
-    so the penalty is divided by the total weight as well. Training stops at
+    ``strength`` divides the penalty of a summed loss. Training stops at
     ``tolerance`` or after ``iterations``.
     """
 
-    def make(vectors: DataFrame, k: int):
-        total = vectors.agg(F.sum(F.col(weight) if weight else F.lit(1.0))).first()[0]
-        extra = {"weightCol": weight} if weight else {}
-        return LogisticRegression(
-            featuresCol="features", labelCol="label_index", family="multinomial", maxIter=iterations,
-            tol=tolerance, regParam=1.0 / (strength * total), standardization=False, **extra,
-        ).fit(vectors)
+    def make(vectors: DataFrame, scaler: StandardScalerModel):
+        means, spread = scaler.mean.toArray(), scaler.std.toArray()
+        return logistic.fit(vectors, "features", "label_index", weight, means, spread, strength, iterations, tolerance)
 
     return _fit("logistic", train, features, label, make, weight, scaled=True, **kw)
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from flowlake import contract
 from flowlake.operators import evaluate, explain, features, sampling, score, train
 from flowlake.plans import kpi
-from flowlake.registry.core import CLASSES, SCORED_SQL, on_flows, query, rounded
+from flowlake.registry.core import CLASSES, SCORED_SQL, flows_of, on_flows, query, rounded
 from flowlake.session import materialize
 
 LEVELS = {
@@ -152,8 +152,12 @@ def _split(t):
     """Model matrix with its split, stored once for all models of a session."""
 
     def make():
-        matrix = _encoder(t).transform(t.flows, ["event_id", "ingestion_timestamp", "attack_type"])
-        return materialize(sampling.stratified_split(matrix, "attack_type", "event_id"), "split")
+        # Rows are dealt evenly, however few parts the file has, and split before they become wide.
+        cores = t.spark.sparkContext.defaultParallelism
+        flows = flows_of(t.spark, t.events.repartition(4 * cores))
+        marked = sampling.stratified_split(flows, "attack_type", "event_id")
+        matrix = _encoder(t).transform(marked, ["event_id", "ingestion_timestamp", "attack_type", "split"])
+        return materialize(matrix.select(*[F.col(f"`{c}`") for c in matrix.columns if c != "split"], "split"), "split")
 
     return t.kept("split", make)
 
