@@ -39,6 +39,9 @@ LOCAL = 100_000
 TOGETHER = 4_000_000_000
 #: Bytes of histograms that one task adds up at a time.
 SUMS = 64_000_000
+#: Nodes in a stored row, and bytes of rows that are written at a time.
+PIECE = 100_000
+WRITTEN = 128_000_000
 LEAST_GAIN = 1e-9
 SAVED = ("feature", "cut", "left", "right", "cover", "leaf_start", "leaf_output", "leaf_value")
 ROWS = "tree int, node bigint, labels binary, weights binary, bins binary"
@@ -383,19 +386,51 @@ class ForestModel:
         return scored.withColumns({"rawPrediction": MF.array_to_vector(raw), "probability": MF.array_to_vector("__p")}).drop("__p")
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """A row per tree, its nodes and the entries of its leaves as arrays."""
-        trees, rows = self.trees, []
-        for tree, (low, high) in enumerate(zip(trees.start[:-1], trees.start[1:])):
+        """A row per tree, or per ``PIECE`` nodes of a larger one, with the nodes and the entries of leaves as arrays."""
+        held, size, mode = [], 0, "overwrite"
+        for row in self.pieces():
+            held.append(pa.Table.from_pylist([row]))
+            size += held[-1].nbytes
+            if size > WRITTEN:
+                self.write(spark, held, path, mode)
+                held, size, mode = [], 0, "append"
+        if held:
+            self.write(spark, held, path, mode)
+
+    def pieces(self) -> Iterator[dict]:
+        trees = self.trees
+        for tree, low in enumerate(trees.start[:-1]):
             one = trees.part(tree, tree + 1)
-            rows.append({"tree": tree, "outputs": trees.outputs, "gain": self.gains[low:high]} | {n: getattr(one, n) for n in SAVED})
-        spark.createDataFrame(pa.Table.from_pylist(rows)).write.mode("overwrite").parquet(path)
+            nodes = len(one.feature)
+            for piece, first in enumerate(range(0, nodes, PIECE)):
+                last = min(nodes, first + PIECE)
+                entries = slice(int(one.leaf_start[first]), int(one.leaf_start[last]))
+                row = {n: getattr(one, n)[entries if n in ("leaf_output", "leaf_value") else slice(first, last + (n == "leaf_start" and last == nodes))] for n in SAVED}
+                about = {"tree": tree, "piece": piece, "outputs": trees.outputs, "forest_nodes": len(trees.feature)}
+                yield about | {"gain": self.gains[low + first:low + last]} | row
+
+    @staticmethod
+    def write(spark: SparkSession, held: list[pa.Table], path: str, mode: str) -> None:
+        """Each piece is a partition of its own, so that no task carries more than one."""
+        spark.createDataFrame(pa.concat_tables(held)).write.mode(mode).parquet(path)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> ForestModel:
-        table = spark.read.parquet(path).toArrow().sort_by("tree")
-        column = lambda name, i: table[name][i].values.to_numpy()
-        parts = [FlatTrees(table["outputs"][i].as_py(), np.array([0, len(table["feature"][i])]), *(column(n, i) for n in SAVED)) for i in range(len(table))]
-        return cls(FlatTrees.joined(parts, parts[0].outputs), np.concatenate([column("gain", i) for i in range(len(table))]))
+        table = spark.read.parquet(path).toArrow()
+        # Forests were once stored with a row per tree.
+        table = table.sort_by([("tree", "ascending"), *([("piece", "ascending")] if "piece" in table.column_names else [])])
+        column = lambda name, rows: np.concatenate([table[name][i].values.to_numpy() for i in rows])
+        by_tree: dict[int, list[int]] = {}
+        for i, tree in enumerate(table["tree"].to_pylist()):
+            by_tree.setdefault(tree, []).append(i)
+        parts, outputs = [], table["outputs"][0].as_py()
+        for rows in by_tree.values():
+            arrays = [column(n, rows) for n in SAVED]
+            parts.append(FlatTrees(outputs, np.array([0, len(arrays[0])]), *arrays))
+        trees = FlatTrees.joined(parts, outputs)
+        if "forest_nodes" in table.column_names and table["forest_nodes"][0].as_py() != len(trees.feature):
+            raise ValueError(f"the forest in {path} is not complete")
+        return cls(trees, column("gain", range(len(table))))
 
 
 def flat(tree: Nodes, edges: list[np.ndarray], share: float) -> FlatTrees:

@@ -122,3 +122,32 @@ def test_rows_that_cannot_be_learnt_from_are_errors(data, column, value, message
     odd = odd.withColumn("features", train.feature_vector(NAMES))
     with pytest.raises(Exception, match=message):
         forest.fit(odd, "features", "label", 3, "weight", trees=1, depth=2)
+
+
+def test_stored_forest_comes_in_pieces(spark, tmp_path, monkeypatch):
+    """A task is sent a bounded part of the nodes, whatever the size of the forest or of a tree."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 3))
+    rows = [(int(i % 3), *map(float, r)) for i, r in enumerate(x)]
+    frame = spark.createDataFrame(rows, "label int, a double, b double, c double").withColumn("features", train.feature_vector(["a", "b", "c"]))
+    model = forest.fit(frame, "features", "label", 3, None, trees=5, depth=8)
+    monkeypatch.setattr(forest, "PIECE", 20)
+    monkeypatch.setattr(forest, "WRITTEN", 4000)
+    path = str(tmp_path / "forest")
+    model.save(spark, path)
+    stored = spark.read.parquet(path)
+    assert stored.selectExpr("max(size(feature))").first()[0] <= 20 < np.diff(model.trees.start).max()
+    assert stored.select(F.input_file_name()).distinct().count() == stored.count() > 5
+    again = forest.ForestModel.load(spark, path)
+    for name, value in vars(model.trees).items():
+        assert np.array_equal(getattr(again.trees, name), value)
+    assert np.array_equal(again.gains, model.gains)
+    part = str(tmp_path / "part")
+    stored.filter("tree < 4").write.parquet(part)
+    with pytest.raises(ValueError, match="not complete"):
+        forest.ForestModel.load(spark, part)
+    old = str(tmp_path / "old")
+    monkeypatch.setattr(forest, "PIECE", 1_000_000)
+    model.save(spark, old + "-whole")
+    spark.read.parquet(old + "-whole").drop("piece", "forest_nodes").write.parquet(old)
+    assert np.array_equal(forest.ForestModel.load(spark, old).trees.leaf_value, model.trees.leaf_value)
