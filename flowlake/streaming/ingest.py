@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Callable
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -123,33 +125,63 @@ def read_quarantine(spark: SparkSession, path: str, fmt: str = "parquet") -> Dat
 REPEATED = "event_id string, first_seen timestamp, seen_again timestamp, batch_rows bigint"
 
 
-def _watch_id(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One id: remembered from its first row, reported when it comes again, forgotten with the watermark."""
-    if state.hasTimedOut:
+#: Ids are watched in so many groups by hash. It is part of what a checkpoint holds: another number needs a new one.
+ID_GROUPS = 512
+
+
+def _watch_ids(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The ids of a group: remembered from their first row, reported when they come again, forgotten with the watermark."""
+    watermark = state.getCurrentWatermarkMs()
+    columns = {"first": "int64", "last": "int64", "until": "int64", "logged": "bool"}
+    held = pd.DataFrame({"event_id": pd.Series(dtype=object)} | {c: pd.Series(dtype=kind) for c, kind in columns.items()})
+    if state.exists:
+        held = pa.ipc.open_stream(state.get[0]).read_pandas()
+    held = held.set_index("event_id")
+    sums = [] if state.hasTimedOut else [b.groupby("event_id")["seen"].agg(["min", "max", "size"]) for b in batches if len(b)]
+    # An id is forgotten in the first batch without it after its time.
+    stays = held["until"] >= watermark
+    if sums:
+        found = pd.concat(sums).groupby(level=0).agg({"min": "min", "max": "max", "size": "sum"})
+        earliest, latest = (found[c].astype("datetime64[ns]").astype("int64") for c in ("min", "max"))
+        place = held.index.get_indexer(found.index)
+        known = place >= 0
+        # Times are whole numbers throughout: as floating-point numbers they would lose microseconds.
+        old = lambda name, new: np.where(known, held[name].to_numpy()[place], new) if len(held) else new
+        first, last = old("first", earliest.to_numpy()), np.maximum(old("last", latest.to_numpy()), latest.to_numpy())
+        logged = old("logged", np.zeros(len(found), bool))
+        again = known | (found["size"].to_numpy() > 1)
+        new = again & ~logged
+        if new.any():
+            yield pd.DataFrame({
+                "event_id": found.index[new], "first_seen": pd.to_datetime(first[new]), "seen_again": pd.to_datetime(latest.to_numpy()[new]),
+                "batch_rows": found["size"].to_numpy()[new],
+            })
+        until = np.maximum(last // 1_000_000, watermark) + 1
+        now = pd.DataFrame({"first": first, "last": last, "until": until, "logged": logged | again}, index=found.index)
+        held = pd.concat([held[stays & ~held.index.isin(found.index)], now])
+    else:
+        held = held[stays]
+    if not len(held):
         state.remove()
         return
-    rows, earliest, latest = 0, None, None
-    for batch in batches:
-        rows += len(batch)
-        low, high = batch["seen"].min(), batch["seen"].max()
-        earliest, latest = (low, high) if earliest is None else (min(earliest, low), max(latest, high))
-    first, last, logged = state.get if state.exists else (int(earliest.value), int(latest.value), False)
-    again = state.exists or rows > 1
-    last = max(last, int(latest.value))
-    if again and not logged:
-        yield pd.DataFrame({"event_id": [key[0]], "first_seen": [pd.Timestamp(first)], "seen_again": [latest], "batch_rows": [rows]})
-    state.update((first, last, bool(logged or again)))
-    state.setTimeoutTimestamp(max(last // 1_000_000, state.getCurrentWatermarkMs()) + 1)
+    out = pa.BufferOutputStream()
+    table = pa.Table.from_pandas(held.rename_axis("event_id").reset_index().astype(columns), preserve_index=False)
+    with pa.ipc.new_stream(out, table.schema) as stream:
+        stream.write_table(table)
+    state.update((out.getvalue().to_pybytes(),))
+    state.setTimeoutTimestamp(int(held["until"].min()))
 
 
 def repeated_ids(flows: DataFrame, delay: str = "1 day", time: str = "ingestion_timestamp") -> DataFrame:
     """Ids that come more than once in a stream, in one batch or in several: one row when an id is first seen again.
 
-    A state per id holds its first and last time and whether it was reported; it goes when the watermark, ``delay``
-    behind the latest time, has passed it. Rows without an id or time are not looked at."""
+    Of each id the first and last time and whether it was reported are remembered, until the watermark, ``delay``
+    behind the latest time, has passed it. Rows without an id or time are not looked at. The state is kept by groups of ids, as a
+    call per id costs milliseconds; a batch rewrites the groups that its ids fall in."""
     seen = flows.select("event_id", F.col(time).cast("timestamp").alias("seen")).filter("event_id IS NOT NULL AND seen IS NOT NULL")
-    return seen.withWatermark("seen", delay).groupBy("event_id").applyInPandasWithState(
-        _watch_id, REPEATED, "first bigint, last bigint, logged boolean", "append", GroupStateTimeout.EventTimeTimeout
+    seen = seen.withColumn("id_group", F.pmod(F.xxhash64("event_id"), F.lit(ID_GROUPS)).cast("int"))
+    return seen.withWatermark("seen", delay).groupBy("id_group").applyInPandasWithState(
+        _watch_ids, REPEATED, "ids binary", "append", GroupStateTimeout.EventTimeTimeout
     )
 
 

@@ -1,5 +1,7 @@
 """Commits, snapshots and merging: what readers and followers see while the table changes."""
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -198,3 +200,72 @@ def test_the_failure_of_one_stream_stops_the_others(spark, tmp_path):
     with pytest.raises(Exception, match="no such luck"):
         ingest.finish([endless, failing], seconds=2)
     assert not endless.isActive
+
+
+class _State:
+    """A group's state between calls, as the stream keeps it."""
+
+    def __init__(self):
+        self.value, self.timeout, self.watermark, self.hasTimedOut = None, None, 0, False
+
+    exists = property(lambda self: self.value is not None)
+    get = property(lambda self: self.value)
+
+    def update(self, value):
+        self.value = value
+
+    def remove(self):
+        self.value = self.timeout = None
+
+    def getCurrentWatermarkMs(self):
+        return self.watermark
+
+    def setTimeoutTimestamp(self, at):
+        assert at >= self.watermark
+        self.timeout = at
+
+
+def test_a_group_remembers_each_of_its_ids():
+    """Ids of one group are reported, kept and forgotten one by one, and times keep their microseconds."""
+    rng, state, log, told = np.random.default_rng(0), _State(), {}, []
+    ids = [f"e{i}" for i in range(30)]
+    for batch in range(60):
+        state.watermark = batch * 40
+        if batch % 7 == 6:  # a batch without rows of the group
+            if state.timeout is not None and state.timeout < state.watermark:
+                state.hasTimedOut = True
+                assert list(ingest._watch_ids((0,), iter([]), state)) == []
+                state.hasTimedOut = False
+            log = {i: x for i, x in log.items() if x[2] >= state.watermark}
+            assert state.timeout == (min(x[2] for x in log.values()) if log else None)
+            continue
+        seen = rng.choice(ids, rng.integers(1, 6))
+        times = 1_000_001 * (state.watermark + rng.integers(1, 100, len(seen))).astype("int64") // 1000 * 1000
+        frame = pd.DataFrame({"event_id": seen, "seen": pd.to_datetime(times)})
+        got = [r for out in ingest._watch_ids((0,), iter([frame[:2], frame[2:]]), state) for r in out.itertuples(index=False)]
+        want = {}
+        for i in set(seen):
+            own = times[seen == i]
+            first, last, _, logged = log.get(i, (own.min(), own.max(), 0, False))
+            again = i in log or len(own) > 1
+            if again and not logged:
+                want[i] = (first, own.max(), len(own))
+            last = max(last, own.max())
+            log[i] = (first, last, max(last // 1_000_000, state.watermark) + 1, logged or again)
+        log = {i: x for i, x in log.items() if i in seen or x[2] >= state.watermark}
+        assert {r.event_id: (r.first_seen.value, r.seen_again.value, r.batch_rows) for r in got} == want
+        told += want
+    assert len(told) > len(set(told)) > 10  # some were forgotten and reported anew
+
+
+def test_many_ids_make_few_calls(spark, tmp_path, monkeypatch):
+    """A call per id costs milliseconds, so ids are watched in groups."""
+    monkeypatch.setattr(ingest, "ID_GROUPS", 4)
+    ids = spark.range(5000).select(F.col("id").cast("string").alias("event_id"), F.lit("2024-02-05 10:00:00").cast("timestamp").alias("ingestion_timestamp"))
+    ids.union(ids.filter("event_id < '2'")).repartition(1).write.parquet(str(tmp_path / "in"))
+    stream = ingest.repeated_ids(spark.readStream.schema(ids.schema).parquet(str(tmp_path / "in")))
+    query = stream.writeStream.format("memory").queryName("few_calls").outputMode("append").option("checkpointLocation", str(tmp_path / "at")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.table("few_calls").count() == ids.filter("event_id < '2'").count()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert max(held) == 4
