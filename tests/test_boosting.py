@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from flowlake.operators import boosting, train
+from flowlake.operators import boosting, train, trees
 from tests.test_models import NAMES, data, reference_boosting  # noqa: F401
 
 
@@ -86,3 +86,25 @@ def test_first_of_equal_splits():
         noisy = sums.copy()
         noisy[0, 3:] *= 1 + step
         assert search.best(noisy)[:2] == (0, 0)
+
+
+def test_answers_do_not_depend_on_how_rows_are_taken(monkeypatch):
+    """Rows go to their leaves some at a time; missing values go right, a leaf may have no, one or several outputs."""
+    flat = trees.FlatTrees(
+        3, np.array([0, 5, 6]), np.array([0, -1, 1, -1, -1, -1]), np.array([0.5, 0, -0.2, 0, 0, 0]), np.array([1, -1, 3, -1, -1, -1]),
+        np.array([2, -1, 4, -1, -1, -1]), np.ones(6), np.array([0, 0, 1, 1, 3, 3, 4]), np.array([1, 0, 2, 0]), np.array([9.0, 1.0, 2.0, 0.5]),
+    )
+    rows = np.random.default_rng(0).normal(size=(50, 2))
+    rows[3], rows[4, 1] = np.nan, np.nan
+    want = np.zeros((50, 3))
+    for line, (a, b) in zip(want, rows):
+        line[0] += 0.5
+        if a <= 0.5:
+            line[1] += 9.0
+        elif b <= -0.2:
+            line[[0, 2]] += 1.0, 2.0
+    for at_once, steps in ((4096, 5), (7, 1), (7, 9)):
+        monkeypatch.setattr(trees, "AT_ONCE", at_once)
+        monkeypatch.setattr(trees, "STEPS", steps)
+        assert np.array_equal(flat.answers(rows), want)
+    assert flat.answers(rows[:0]).shape == (0, 3)
